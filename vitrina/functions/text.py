@@ -14,6 +14,9 @@ BLANK_CLASS = (r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
 STRIP_PATTERN = rf"^{BLANK_CLASS}+|{BLANK_CLASS}+$"
 # A run of letters or a run of anything else (title-case tokens).
 TITLE_TOKENS = r"(\p{L}+|[^\p{L}]+)"
+# Fixed value: a word starting with sharp s is title-cased to "Ss" (as Python
+# does); plain upper-casing would give "SS".
+SHARP_S, SHARP_S_TITLE = "\u00df", "Ss"
 
 
 def _c(c) -> Column:
@@ -31,7 +34,11 @@ def title_case(c) -> Column:
     first letter and lower-case rest; title restarts after any non-letter,
     so ``o'neil-smith`` -> ``O'Neil-Smith``."""
     toks = F.regexp_extract_all(F.lower(ustrip(c)), F.lit(TITLE_TOKENS), 1)
-    cased = F.transform(toks, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
+    def cap(t):
+        first = F.substring(t, 1, 1)
+        head = F.when(first == SHARP_S, F.lit(SHARP_S_TITLE)).otherwise(F.upper(first))
+        return F.concat(head, F.substring(t, 2, 1 << 30))
+    cased = F.transform(toks, cap)
     return F.when(_c(c).isNull(), F.lit(None)).otherwise(F.array_join(cased, ""))
 
 

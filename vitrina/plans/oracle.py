@@ -72,7 +72,8 @@ def ustrip(e: str) -> str:
 def title(e: str) -> str:
     toks = f"regexp_extract_all(lower({ustrip(e)}), '(\\p{{L}}+|[^\\p{{L}}]+)', 1)"
     return (f"CASE WHEN {e} IS NULL THEN NULL ELSE array_to_string(list_transform({toks}, "
-            f"lambda t: upper(substr(t, 1, 1)) || substr(t, 2)), '') END")
+            f"lambda t: CASE WHEN substr(t, 1, 1) = chr(223) THEN 'Ss' ELSE upper(substr(t, 1, 1)) END "
+            f"|| substr(t, 2)), '') END")
 
 
 def preview(e: str, n: int = 50) -> str:
