@@ -1,3 +1,348 @@
-"""Registered warehouse queries: merges, SCD2, dimensions, facts, views, quality."""
+"""Registered warehouse queries: merges, SCD2, dimensions, facts, views and
+quality checks, each over the whole driver tables."""
 
 from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vitrina.operators import dims, facts, kpi, merge, quality, scd2, views
+from vitrina.operators.clean import clean_orders_simple
+from vitrina.plans.queries import RUN_DATE, register
+from vitrina.session import cut_lineage
+from vitrina.sources import standins as st
+from vitrina.sources.tables import read_table
+
+# Fixed parameters of the registered warehouse runs.
+SCD_RUN_1 = "1994-01-01"   # first load of the customer dimension
+SCD_RUN_2 = "1998-01-01"   # second load, with changes
+SPLIT_DATE = "1998-01-01"  # upsert: target holds dates before, source from the overlap start
+OVERLAP_START = "1997-07-01"
+
+
+# ---------------------------------------------------------------- SCD2
+def customer_batches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Batch 1: customers outside ASIA. Batch 2: every customer; BUILDING moves
+    city (change), MACHINERY upper-cases e-mail (case only: no change),
+    FURNITURE shifts a letter from last to first name (same concatenation: no
+    change), HOUSEHOLD arrives twice (new e-mail, then the old one again:
+    two chained versions)."""
+    c = st.customers(spark, d).select("customer_id", "first_name", "last_name", "email", "city", "country",
+                                      "customer_segment")
+    seq = (F.col("customer_id") * 2).alias("seq")
+    cols = ["customer_id", "first_name", "last_name", "email", "city"]
+    b1 = c.where(F.col("country") != "ASIA").select(*cols, seq)
+    seg = F.col("customer_segment")
+    first = F.when(seg == "FURNITURE", F.concat("first_name", F.substring("last_name", 1, 1))).otherwise(
+        F.col("first_name"))
+    last = F.when(seg == "FURNITURE", F.substring("last_name", 2, 1 << 20)).otherwise(F.col("last_name"))
+    email = (F.when(seg == "MACHINERY", F.upper("email"))
+              .when(seg == "HOUSEHOLD", F.concat(F.lit("new."), F.col("email"))).otherwise(F.col("email")))
+    city = F.when(seg == "BUILDING", F.concat(F.col("city"), F.lit(" 2"))).otherwise(F.col("city"))
+    main = c.select("customer_id", first.alias("first_name"), last.alias("last_name"), email.alias("email"),
+                    city.alias("city"), seq)
+    again = c.where(seg == "HOUSEHOLD").select(*cols, (F.col("customer_id") * 2 + 1).alias("seq"))
+    return b1, main.unionByName(again)
+
+
+def customer_dimension(spark: SparkSession, d: str):
+    """(dimension after both loads, counts of the second load)."""
+    b1, b2 = customer_batches(spark, d)
+    dim1, _, _ = scd2.scd2_merge(scd2.empty_dim(spark), b1, SCD_RUN_1, ["seq"])
+    dim1 = cut_lineage(dim1)
+    dim2, counts, _ = scd2.scd2_merge(dim1, b2, SCD_RUN_2, ["seq"])
+    return cut_lineage(dim2), counts
+
+
+@register("scd2_customers")
+def q_scd2_customers(spark, d):
+    """K-5: customer dimension after two loads (all versions)."""
+    return customer_dimension(spark, d)[0]
+
+
+@register("scd2_counts")
+def q_scd2_counts(spark, d):
+    """A-13: new / updated / unchanged of the second load."""
+    return customer_dimension(spark, d)[1]
+
+
+@register("current_customers")
+def q_current_customers(spark, d):
+    """V-1."""
+    return views.current_customers(customer_dimension(spark, d)[0])
+
+
+@register("customer_history")
+def q_customer_history(spark, d):
+    """V-2."""
+    return views.customer_history(customer_dimension(spark, d)[0])
+
+
+def product_dimension(spark: SparkSession, d: str) -> DataFrame:
+    """B-4: products loaded twice; the second load changes the price of
+    SMALL-type parts and the brand case of others (case only: no change)."""
+    p = st.products(spark, d)
+    b1 = p.select("product_id", "product_name", "category", "brand", "unit_price",
+                  F.col("product_id").alias("seq"))
+    small = F.col("category").startswith("SMALL")
+    b2 = p.select("product_id", "product_name", "category", F.lower("brand").alias("brand"),
+                  F.when(small, F.col("unit_price") + 1).otherwise(F.col("unit_price")).alias("unit_price"),
+                  F.col("product_id").alias("seq"))
+    dim1, _, _ = scd2.scd2_merge(scd2.empty_dim(spark, scd2.PRODUCTS), b1, SCD_RUN_1, ["seq"], spec=scd2.PRODUCTS)
+    dim2, _, _ = scd2.scd2_merge(cut_lineage(dim1), b2, SCD_RUN_2, ["seq"], spec=scd2.PRODUCTS)
+    return cut_lineage(dim2)
+
+
+@register("scd2_products")
+def q_scd2_products(spark, d):
+    """B-4: product dimension with versions."""
+    return product_dimension(spark, d)
+
+
+# ---------------------------------------------------------------- merges
+def _kpi_frame(orders: DataFrame) -> DataFrame:
+    return kpi.daily_kpis(orders)
+
+
+@register("upsert_full")
+def q_upsert_full(spark, d):
+    """K-2 / K-11: KPI rows per date. Target: dates before the split, with
+    extra columns the load does not write; source: dates from the overlap
+    start. Matched dates get the new measures and updated_at; other columns
+    keep their value; new dates are inserted."""
+    o = clean_orders_simple(st.orders(spark, d, with_city=True))
+    tgt = (o.where(F.col("order_date") < F.lit(SPLIT_DATE).cast("date")).groupBy(F.col("order_date")
+           .alias("analytics_date"))
+           .agg(F.count(F.lit(1)).alias("total_orders"), kpi.money_sum("total_amount").alias("total_revenue"),
+                F.count_if(F.col("status") == "Pending").alias("new_orders"),
+                F.count_if(F.col("status") == "Cancelled").alias("cancelled_orders"))
+           .withColumn("created_at", F.lit("1997-12-31 00:00:00").cast("timestamp_ntz"))
+           .withColumn("updated_at", F.lit(None).cast("timestamp_ntz")))
+    src = _kpi_frame(o.where(F.col("order_date") >= F.lit(OVERLAP_START).cast("date")))
+    now = F.lit(f"{RUN_DATE} 09:00:00").cast("timestamp_ntz")
+    return merge.upsert(tgt.withColumn("avg_order_value", F.lit(None).cast("double"))
+                        .withColumn("top_city", F.lit(None).cast("string")),
+                        src, "analytics_date", ["total_orders", "total_revenue", "avg_order_value", "top_city"],
+                        touch={"updated_at": now}, insert_only={"created_at": now})
+
+
+@register("upsert_partial")
+def q_upsert_partial(spark, d):
+    """K-3 (dim_customers_simple): only city, country, segment are updated;
+    other columns keep the old value even when it is NULL."""
+    old = st.customers(spark, d).where(F.col("country") != "AFRICA").select(
+        "customer_id", F.when(F.col("customer_segment") == "AUTOMOBILE", F.lit(None).cast("string"))
+        .otherwise(F.col("first_name")).alias("first_name"), "last_name", "email", "phone", "city", "country",
+        "customer_segment")
+    from vitrina.operators.clean import clean_customers_simple
+    new = clean_customers_simple(st.customers_raw(spark, d))
+    return merge.upsert(old, new, "customer_id", ["city", "country", "customer_segment"])
+
+
+def daily_loads(spark: SparkSession, d: str) -> DataFrame:
+    """fact_orders_simple rows of every daily load: the load of day L takes
+    the orders with L - 7 <= order_date <= L, so each order is loaded on the
+    8 days from its order date (key (order_id, load_date): kept as is)."""
+    o = clean_orders_simple(st.orders(spark, d, with_city=True))
+    rows = facts.simple_order_rows(o, RUN_DATE)
+    return rows.withColumn("load_date", F.explode(F.sequence(F.col("order_date"), F.date_add("order_date", 7))))
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, d):
+    """K-4 / B-9: fact_orders_simple keyed (order_id, load_date). Target: the
+    loads before the split date; source: every load, delivered twice (the
+    second copy, with another payment method, must not win)."""
+    rows = daily_loads(spark, d)
+    tgt = rows.where(F.col("load_date") < F.lit(SPLIT_DATE).cast("date"))
+    src = (rows.withColumn("seq", F.lit(0))
+           .unionByName(rows.withColumn("payment_method", F.lit("retry")).withColumn("seq", F.lit(1))))
+    return merge.insert_if_absent(tgt, src, ["order_id", "load_date"], ["seq"])
+
+
+@register("tolerant_load")
+def q_tolerant_load(spark, d):
+    """K-9: amounts as text; rows that do not convert are set aside with a
+    reason, the rest load."""
+    e = read_table(spark, d, "events")
+    raw = (F.when(F.col("event_type") == "error", F.lit("n/a"))
+            .when(F.col("event_type") == "signup", F.lit(None).cast("string"))
+            .otherwise(F.col("value").cast("string")))
+    df = e.select(F.col("event_id").alias("payment_id"), F.col("user_id").cast("string").alias("customer_id"),
+                  raw.alias("amount"))
+    valid, rejected = merge.tolerant_load(df, {"customer_id": "bigint", "amount": "decimal(12,2)"})
+    return (valid.select("payment_id", F.col("amount").cast("string").alias("amount"),
+                         F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(rejected.select("payment_id", "amount", "reject_reason")))
+
+
+@register("fact_feedback")
+def q_fact_feedback(spark, d):
+    """B-7 / P-13 / K-1 / K-8: full refresh with keys 1..n, default ids
+    FB_0000... by document order, text capped at 500, rating int or 0."""
+    fb = st.feedback(spark, d).select("doc_id", "comment", F.col("rating_raw").alias("rating"))
+    return facts.fact_feedback(fb, RUN_DATE, ["doc_id"])
+
+
+# ---------------------------------------------------------------- dimensions
+@register("dim_date")
+def q_dim_date(spark, d):
+    """B-1 over the span of order dates."""
+    return dims.dim_date_between(read_table(spark, d, "orders"), "o_orderdate")
+
+
+@register("orders_by_time_of_day")
+def q_orders_by_time_of_day(spark, d):
+    """B-2 + J-4: orders bound to the time dimension by computed time_key."""
+    from vitrina.functions.keys import time_key_from_text
+    o = st.orders(spark, d).select(time_key_from_text("order_time").alias("time_key"))
+    t = dims.dim_time(spark)
+    return (o.join(t, "time_key").groupBy("time_of_day", "am_pm")
+            .agg(F.count(F.lit(1)).alias("orders"), F.min("hour_12").alias("min_hour_12"),
+                 F.max("hour_12").alias("max_hour_12")))
+
+
+@register("orders_by_status")
+def q_orders_by_status(spark, d):
+    """B-3 + J-4: the status seed inserted twice (insert-if-absent keeps 6
+    rows), orders bound by upper(status)."""
+    seed = dims.order_status_seed(spark)
+    statuses = merge.insert_if_absent(seed, seed, "status_code")
+    o = st.orders(spark, d).select(F.col("status").alias("order_status"))
+    return (facts.status_lookup(o, statuses).groupBy("status_key", "order_status")
+            .agg(F.count(F.lit(1)).alias("orders")))
+
+
+# ---------------------------------------------------------------- facts
+def fact_orders_frame(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    dim_c, _ = customer_dimension(spark, d)
+    dim_p = product_dimension(spark, d)
+    lines = facts.order_lines(st.orders(spark, d, with_city=True), st.order_items(spark, d), st.products(spark, d))
+    seed = dims.order_status_seed(spark)
+    return facts.fact_orders(lines, dim_c, dim_p, seed, RUN_DATE)
+
+
+@register("fact_orders")
+def q_fact_orders(spark, d):
+    """B-5 / J-3 / J-4 / J-5: one row per order item, bound to the customer
+    and product versions valid on the order date."""
+    return fact_orders_frame(spark, d)[0]
+
+
+@register("daily_sales")
+def q_daily_sales(spark, d):
+    """V-3 / A-12 / J-2: facts joined to the date dimension, per date."""
+    f = fact_orders_frame(spark, d)[0]
+    dd = dims.dim_date_between(read_table(spark, d, "orders"), "o_orderdate")
+    return views.daily_sales(f, dd)
+
+
+@register("fact_payments")
+def q_fact_payments(spark, d):
+    """B-6: purchase events as payments, bound to the customer version valid
+    on the payment date (events are from 2024: the current versions)."""
+    dim_c, _ = customer_dimension(spark, d)
+    return facts.fact_payments(st.payments(spark, d), dim_c, RUN_DATE)
+
+
+@register("orphan_payments")
+def q_orphan_payments(spark, d):
+    """J-6: payments whose customer does not exist."""
+    return facts.orphans(st.payments(spark, d), read_table(spark, d, "customer"), "customer_id", "c_custkey")
+
+
+# ---------------------------------------------------------------- quality
+def _line_checks():
+    return {"quantity_positive": F.col("l_quantity") > 0,
+            "discount_in_range": F.col("l_discount").between(0, 0.09),
+            "tax_non_negative": F.col("l_tax") >= 0}
+
+
+@register("constraint_violations")
+def q_constraint_violations(spark, d):
+    """Q-3: lineitem rows failing a CHECK, with the failed check names."""
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    _, bad = merge.split_valid(li, _line_checks())
+    return bad.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+                      F.array_join("failed_checks", ",").alias("failed_checks"))
+
+
+@register("duplicate_keys")
+def q_duplicate_keys(spark, d):
+    """Q-4: (l_orderkey, l_linenumber) occurring more than once."""
+    return quality.duplicate_keys(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def metrics_frame(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem")
+    o = read_table(spark, d, "orders")
+    c = read_table(spark, d, "customer")
+    return reduce(DataFrame.unionByName, [
+        quality.quality_metrics("lineitem", li, ["l_orderkey", "l_linenumber"], _line_checks(), RUN_DATE),
+        quality.quality_metrics("orders", o, "o_orderkey", {"price_positive": F.col("o_totalprice") > 0}, RUN_DATE),
+        quality.quality_metrics("customer", c, "c_custkey", {"balance_non_negative": F.col("c_acctbal") >= 0},
+                                SCD_RUN_2),
+    ])
+
+
+@register("quality_metrics")
+def q_quality_metrics(spark, d):
+    """Q-5: one metrics row per source."""
+    return metrics_frame(spark, d)
+
+
+@register("latest_quality")
+def q_latest_quality(spark, d):
+    """V-4: metrics of the newest run date (customer was checked earlier, so
+    it is not shown)."""
+    return views.latest_quality(metrics_frame(spark, d))
+
+
+@register("validation_report")
+def q_validation_report(spark, d):
+    """Q-1 over products with a required column that is absent."""
+    p = st.products(spark, d)
+    return quality.validation_report(p, ["product_id", "product_name", "supplier"])
+
+
+@register("check_suite")
+def q_check_suite(spark, d):
+    """Q-2: post-load checks over the loaded tables."""
+    o = read_table(spark, d, "orders")
+    li = read_table(spark, d, "lineitem")
+    dup = quality.duplicate_keys(li, ["l_orderkey", "l_linenumber"])
+    orph = facts.orphans(st.payments(spark, d), read_table(spark, d, "customer"), "customer_id", "c_custkey")
+    return quality.check_suite([
+        ("orders_loaded", o.agg((F.count(F.lit(1)) > 0).alias("passed"), F.count(F.lit(1)).alias("value"))),
+        ("lineitem_keys_unique", dup.agg((F.count(F.lit(1)) == 0).alias("passed"), F.count(F.lit(1)).alias("value"))),
+        ("payments_have_customer", orph.agg((F.count(F.lit(1)) == 0).alias("passed"),
+                                            F.count(F.lit(1)).alias("value"))),
+        ("revenue_positive", o.agg((F.sum("o_totalprice") > 0).alias("passed"),
+                                   F.sum("o_totalprice").alias("value"))),
+    ])
+
+
+@register("load_report")
+def q_load_report(spark, d):
+    """Q-6: long-format report of a run: table counts, product statistics,
+    top categories, average rating, latest KPI row."""
+    p = st.products(spark, d).withColumnRenamed("brand", "supplier")
+    counts = kpi.table_counts({n: read_table(spark, d, n) for n in ["customer", "orders", "lineitem", "part"]})
+    counts_row = counts.groupBy().pivot("table_name", ["customer", "orders", "lineitem", "part", "TOTAL"]).agg(
+        F.first("row_count"))
+    top3 = kpi.top_by_count(p, "category", 3).agg(
+        F.array_join(F.collect_list(F.concat_ws(":", "category", F.col("count").cast("string"))), ",")
+        .alias("categories"))
+    fb = st.feedback(spark, d)
+    rating = kpi.rating_stats(fb.select(F.coalesce(F.col("rating_raw").try_cast("int"), F.lit(0)).alias("rating")))
+    latest = views.latest_row(kpi.daily_kpis(clean_orders_simple(st.orders(spark, d, with_city=True))))
+    return quality.pipeline_report({"table_counts": counts_row, "csv_stats": kpi.product_stats(p),
+                                    "top_categories": top3, "feedback": rating, "latest_kpi": latest})
+
+
+@register("latest_kpi")
+def q_latest_kpi(spark, d):
+    """T-1: newest KPI row."""
+    return views.latest_row(kpi.daily_kpis(clean_orders_simple(st.orders(spark, d, with_city=True))))
