@@ -177,6 +177,7 @@ def scd2_merge(dim: DataFrame, batch: DataFrame, run_date: str, order_cols: list
     y1 = (y.join(F.broadcast(s2), "_b", "left")
           .withColumn("_current", ~F.coalesce(later_here, F.lit(False)) & ~cross)
           .drop("_lak", "_later"))
+    # read three times below (key offsets, new rows, closed rows): materialise once
     y1 = cut_lineage(y1)
 
     # pass 3: dense surrogate keys for the new versions, in (key, order) order

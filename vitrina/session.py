@@ -69,9 +69,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (survives executor
-    loss, unlike a local checkpoint)."""
+    loss, unlike a local checkpoint).
+
+    The frame is persisted first: an eager checkpoint runs one job to count and
+    a second one to write the files, and without the cache the second job would
+    compute the whole plan again. The cache is dropped once the files exist.
+    """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def env_int(name: str, default: int) -> int:
