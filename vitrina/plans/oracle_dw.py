@@ -303,3 +303,22 @@ SELECT order_date AS analytics_date, count(*) AS total_orders, CAST(sum(total_am
     count(DISTINCT customer_id) AS active_customers,
     coalesce(mode() WITHIN GROUP (ORDER BY shipping_city), 'Не указан') AS top_city
 FROM oc GROUP BY order_date ORDER BY analytics_date DESC LIMIT 1"""
+
+_CSV = """csv AS (SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name, p_type AS category,
+    p_brand AS subcategory, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price, p_size AS stock_quantity,
+    'Supplier "' || p_brand || '"' AS supplier, CASE WHEN p_size < 5 THEN NULL ELSE 'Russia' END AS country_of_origin,
+    CAST(p_size / 10 AS DECIMAL(6,2)) AS weight_kg,
+    CASE WHEN p_size = 1 OR p_size BETWEEN 10 AND 19 THEN NULL ELSE '10x20x30' END AS dimensions
+  FROM part WHERE p_size <> 50)"""
+
+SQL["csv_products"] = f"""WITH {_CSV}
+SELECT row_number() OVER (ORDER BY product_id) AS csv_product_key, product_id, substr(product_name, 1, 255)
+    AS product_name, substr(category, 1, 100) AS category, substr(subcategory, 1, 100) AS subcategory, unit_price,
+  coalesce(stock_quantity, 0) AS stock_quantity, substr(supplier, 1, 100) AS supplier,
+  substr(country_of_origin, 1, 100) AS country_of_origin, weight_kg, substr(dimensions, 1, 100) AS dimensions,
+  'csv_source' AS source_system, DATE '{RUN_DATE}' AS load_date FROM csv"""
+
+SQL["csv_product_stats"] = f"""WITH {_CSV}
+SELECT count(*) AS total_products, CAST(sum(stock_quantity) AS BIGINT) AS total_stock,
+  coalesce(CAST(sum(unit_price) AS DOUBLE) / count(unit_price), 0.0) AS avg_price,
+  count(DISTINCT category) AS categories_count, count(DISTINCT supplier) AS suppliers_count FROM csv"""

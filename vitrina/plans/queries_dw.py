@@ -346,3 +346,46 @@ def q_load_report(spark, d):
 def q_latest_kpi(spark, d):
     """T-1: newest KPI row."""
     return views.latest_row(kpi.daily_kpis(clean_orders_simple(st.orders(spark, d, with_city=True))))
+
+
+# ---------------------------------------------------------------- CSV source
+def part_csv_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Every part as one CSV text line of the csv_products layout: quoted
+    names, '""' inside quotes, 'N/A' and empty cells, an unparseable
+    timestamp, a line with one field too many (p_size 50) and one cut short
+    (p_size 1)."""
+    p = read_table(spark, d, "part")
+    size = F.col("p_size")
+    q = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
+    head = [F.col("p_partkey").cast("string"), q(F.col("p_name")), F.col("p_type"), F.col("p_brand"),
+            F.col("p_retailprice").cast("string"), size.cast("string"),
+            q(F.concat(F.lit('Supplier "'), F.col("p_brand"), F.lit('"'))),
+            F.when(size < 5, F.lit("N/A")).otherwise(F.lit("Russia")),
+            (size / 10).cast("string")]
+    tail = [F.when(size.between(10, 19), F.lit("")).otherwise(F.lit("10x20x30")), F.lit("2024-01-01 10:00:00"),
+            F.when(size > 45, F.lit("not a date")).otherwise(F.lit("2024-02-01 12:30:00"))]
+    full = F.concat_ws(",", *head, *tail)
+    line = (F.when(size == 50, F.concat(full, F.lit(",EXTRA")))
+             .when(size == 1, F.concat_ws(",", *head)).otherwise(full))
+    return p.select(line.alias("value"))
+
+
+@register("csv_products")
+def q_csv_products(spark, d):
+    """S-6 / S-7 / S-8 / B-8 / P-14: CSV files written from part, read back
+    with the pandas rules (NA tokens, over-long lines dropped, short lines
+    padded, bad timestamps NULL), loaded with keys 1..n."""
+    from vitrina.session import scratch_path
+    from vitrina.sources.csv import read_csv
+    path = scratch_path(spark, "csv-products")
+    part_csv_lines(spark, d).write.mode("overwrite").text(path)
+    df = read_csv(spark, path, header=False)
+    rows, _ = facts.csv_products_rows(df, RUN_DATE, ["product_id"])
+    return rows
+
+
+@register("csv_product_stats")
+def q_csv_product_stats(spark, d):
+    """A-4 over the loaded csv_products: count, stock, mean price, distinct
+    categories and suppliers."""
+    return kpi.product_stats(q_csv_products(spark, d))

@@ -42,7 +42,12 @@ def apply_bad_line_policy(raw: DataFrame, columns: list[str]) -> DataFrame:
     too few is kept and padded with NULL. Spark flags both as corrupt; the
     long ones are those flagged although their last field is filled."""
     last = columns[-1]
-    too_long = F.col(_CORRUPT).isNotNull() & F.col(last).isNotNull()
+    # This always-true test references every column: with CSV column pruning
+    # the parser would otherwise read only the projected fields and miss extra
+    # ones, so which rows are dropped would depend on the caller's projection.
+    # (A null test of a hash would be folded away by the optimizer.)
+    whole_row = F.length(F.concat_ws("\u0001", *[F.col(c) for c in columns])) >= 0
+    too_long = F.col(_CORRUPT).isNotNull() & F.col(last).isNotNull() & whole_row
     return raw.withColumn("_too_long", too_long)
 
 
