@@ -1,0 +1,126 @@
+"""Synthetic shop data (G-1 ... G-5) as Spark jobs.
+
+Ids come from a frame (e.g. the keys of a driver table), so the work grows with
+the input; every random choice is a pick by ``xxhash64(id, salt)``, so a row's
+values do not depend on partitioning or on the order of execution. Foreign
+keys pick a dense id 1..n of the parent and copy parent attributes through an
+equi-join (sort-merge or, when AQE measures a small parent, broadcast).
+Checked by rules (ranges, key closure), not by values.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from vitrina.operators.surrogate import dense_index
+
+# The generator's choice lists.
+CITIES = ["Москва", "Санкт-Петербург", "Новосибирск", "Екатеринбург", "Казань"]
+COUNTRIES = ["Россия"]
+SEGMENTS = ["Standard", "Premium", "VIP"]
+CATEGORIES = ["Электроника", "Одежда", "Книги", "Бытовая техника", "Мебель"]
+BRANDS = ["Apple", "Samsung", "Sony", "Bosch", "IKEA", "Zara", "Nike"]
+STATUSES = ["Pending", "Processing", "Shipped", "Delivered", "Cancelled"]
+PAYMENT_METHODS = ["Карта", "Наличные", "Перевод", "Криптовалюта"]
+COMMENTS = ["Отличный товар!", "Хорошее качество", "Быстрая доставка", "Не понравилось", "Можно лучше",
+            "Рекомендую!"]
+FIRST_NAME, LAST_NAME, EMAIL, PRODUCT_NAME, SUBCATEGORY = "Имя_{}", "Фамилия_{}", "customer{}@example.com", \
+    "Товар {}", "Подкатегория {}"
+
+REF_DATE = "2024-01-31"  # 'today' of a generated data set (fixed, so runs repeat)
+
+
+def _h(salt: str, *cols) -> Column:
+    return F.xxhash64(F.lit(salt), *[F.col(c) if isinstance(c, str) else c for c in cols])
+
+
+def pick(values: list, salt: str, *cols) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(_h(salt, *cols), F.lit(len(values))) + 1)
+                        .cast("int"))
+
+
+def uniform_int(lo: int, hi: int, salt: str, *cols) -> Column:
+    return (F.lit(lo) + F.pmod(_h(salt, *cols), F.lit(hi - lo + 1))).cast("int")
+
+
+def uniform_money(lo: float, hi: float, salt: str, *cols) -> Column:
+    cents = F.pmod(_h(salt, *cols), F.lit(int(round((hi - lo) * 100)) + 1))
+    return (F.lit(lo) + cents / 100).cast("decimal(12,2)")
+
+
+def _fmt(template: str, c: str) -> Column:
+    return F.format_string(template.replace("{}", "%s"), F.col(c))
+
+
+def customers(ids: DataFrame, id_col: str) -> DataFrame:
+    """G-1: ids renumbered 1..n (dense, in id order) and filled by rule."""
+    c = dense_index(ids.select(F.col(id_col).alias("src_id")), ["src_id"], name="customer_id")
+    ref = F.lit(REF_DATE).cast("date")
+    return c.select(
+        "customer_id", _fmt(FIRST_NAME, "customer_id").alias("first_name"),
+        _fmt(LAST_NAME, "customer_id").alias("last_name"), _fmt(EMAIL, "customer_id").alias("email"),
+        F.format_string("+7916%07d", uniform_int(1000000, 9999999, "phone", "customer_id")).alias("phone"),
+        pick(CITIES, "city", "customer_id").alias("city"), pick(COUNTRIES, "country", "customer_id").alias("country"),
+        F.date_sub(ref, uniform_int(1, 365, "reg", "customer_id")).alias("registration_date"),
+        pick(SEGMENTS, "segment", "customer_id").alias("customer_segment"))
+
+
+def products(ids: DataFrame, id_col: str) -> DataFrame:
+    """G-2."""
+    p = dense_index(ids.select(F.col(id_col).alias("src_id")), ["src_id"], name="product_id")
+    return p.select(
+        "product_id", _fmt(PRODUCT_NAME, "product_id").alias("product_name"),
+        pick(CATEGORIES, "category", "product_id").alias("category"),
+        F.format_string(SUBCATEGORY.replace("{}", "%d"), uniform_int(1, 3, "sub", "product_id")).alias("subcategory"),
+        pick(BRANDS, "brand", "product_id").alias("brand"),
+        uniform_money(100, 10000, "price", "product_id").cast("decimal(10,2)").alias("unit_price"),
+        uniform_money(50, 5000, "cost", "product_id").cast("decimal(10,2)").alias("cost_price"),
+        uniform_int(0, 100, "stock", "product_id").alias("stock_quantity"))
+
+
+def orders(ids: DataFrame, id_col: str, customers_df: DataFrame, n_customers: int) -> DataFrame:
+    """G-3: a hashed customer per order; city and country copied from it."""
+    ref = F.lit(REF_DATE).cast("date")
+    o = ids.select(F.col(id_col).alias("order_id")).select(
+        "order_id", (F.pmod(_h("customer", "order_id"), F.lit(n_customers)) + 1).alias("customer_id"),
+        F.date_sub(ref, uniform_int(0, 30, "date", "order_id")).alias("order_date"),
+        F.format_string("%02d:%02d:%02d", uniform_int(0, 23, "hh", "order_id"), uniform_int(0, 59, "mm", "order_id"),
+                        uniform_int(0, 59, "ss", "order_id")).alias("order_time"),
+        uniform_money(1000, 50000, "amount", "order_id").alias("total_amount"),
+        pick(STATUSES, "status", "order_id").alias("status"),
+        pick(PAYMENT_METHODS, "method", "order_id").alias("payment_method"))
+    c = customers_df.select("customer_id", F.col("city").alias("shipping_city"),
+                            F.col("country").alias("shipping_country"))
+    return o.join(c, "customer_id")
+
+
+def order_items(orders_df: DataFrame, products_df: DataFrame, n_products: int) -> DataFrame:
+    """G-4: 1..5 items per order, hashed product, quantity 1..3, price copied
+    from the product; total_price = quantity x unit_price."""
+    items = orders_df.select("order_id", F.explode(F.sequence(F.lit(1), uniform_int(1, 5, "n", "order_id")))
+                             .alias("line"))
+    items = items.select("order_id", "line",
+                         (F.pmod(_h("product", "order_id", "line"), F.lit(n_products)) + 1).alias("product_id"),
+                         uniform_int(1, 3, "qty", "order_id", "line").alias("quantity"))
+    p = products_df.select("product_id", "unit_price")
+    j = items.join(p, "product_id")
+    return j.select((F.col("order_id") * 10 + F.col("line")).alias("order_item_id"), "order_id", "product_id",
+                    "quantity", "unit_price", (F.col("quantity") * F.col("unit_price")).cast("decimal(12,2)")
+                    .alias("total_price"))
+
+
+def feedback(ids: DataFrame, id_col: str, customers_df: DataFrame, n_customers: int, products_df: DataFrame,
+             n_products: int) -> DataFrame:
+    """G-5: feedback documents with hashed customer and product."""
+    ref = F.lit(REF_DATE).cast("date")
+    f = dense_index(ids.select(F.col(id_col).alias("src_id")), ["src_id"], name="n").select(
+        F.format_string("FB_%04d", F.col("n")).alias("feedback_id"), "n",
+        (F.pmod(_h("customer", "n"), F.lit(n_customers)) + 1).alias("customer_id"),
+        (F.pmod(_h("product", "n"), F.lit(n_products)) + 1).alias("product_id"),
+        uniform_int(1, 5, "rating", "n").alias("rating"), pick(COMMENTS, "comment", "n").alias("comment"),
+        F.date_sub(ref, uniform_int(0, 30, "date", "n")).alias("feedback_date"),
+        uniform_int(0, 50, "votes", "n").alias("helpful_votes"),
+        (F.pmod(_h("verified", "n"), F.lit(2)) == 0).alias("verified_purchase"))
+    return (f.join(customers_df.select("customer_id", F.col("email").alias("customer_email")), "customer_id")
+            .join(products_df.select("product_id", "product_name"), "product_id").drop("n"))

@@ -322,3 +322,10 @@ SQL["csv_product_stats"] = f"""WITH {_CSV}
 SELECT count(*) AS total_products, CAST(sum(stock_quantity) AS BIGINT) AS total_stock,
   coalesce(CAST(sum(unit_price) AS DOUBLE) / count(unit_price), 0.0) AS avg_price,
   count(DISTINCT category) AS categories_count, count(DISTINCT supplier) AS suppliers_count FROM csv"""
+
+SQL["datagen_rules"] = """SELECT 'customers' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS violations
+  FROM customer
+UNION ALL SELECT 'products', count(*), 0 FROM part
+UNION ALL SELECT 'orders', count(*), 0 FROM orders
+UNION ALL SELECT 'order_items', NULL, 0
+UNION ALL SELECT 'feedback', count(*), 0 FROM documents"""

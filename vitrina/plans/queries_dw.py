@@ -389,3 +389,53 @@ def q_csv_product_stats(spark, d):
     """A-4 over the loaded csv_products: count, stock, mean price, distinct
     categories and suppliers."""
     return kpi.product_stats(q_csv_products(spark, d))
+
+
+# ---------------------------------------------------------------- synthetic data
+def generated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """G-1 ... G-5 with ids from the driver tables: a customer per customer
+    key, a product per part key, an order per order key, feedback per
+    document."""
+    from vitrina.operators import datagen
+    cust = cut_lineage(datagen.customers(read_table(spark, d, "customer"), "c_custkey"))
+    prod = cut_lineage(datagen.products(read_table(spark, d, "part"), "p_partkey"))
+    n_c, n_p = cust.count(), prod.count()
+    orders = datagen.orders(read_table(spark, d, "orders"), "o_orderkey", cust, n_c)
+    items = datagen.order_items(orders, prod, n_p)
+    fb = datagen.feedback(read_table(spark, d, "documents"), "doc_id", cust, n_c, prod, n_p)
+    return {"customers": cust, "products": prod, "orders": orders, "order_items": items, "feedback": fb}
+
+
+for _name in ("customers", "products", "orders", "order_items", "feedback"):
+    def _q(spark, d, _name=_name):
+        return generated(spark, d)[_name]
+    _q.__doc__ = f"G: generated {_name} (checked by rules: rows only)."
+    register(f"datagen_{_name}")(_q)
+
+
+@register("datagen_rules")
+def q_datagen_rules(spark, d):
+    """G-1 ... G-5 rule check: rows and rule violations per generated table
+    (ranges, key closure, copied attributes)."""
+    from vitrina.operators import datagen
+    g = generated(spark, d)
+    c, p, o, it, fb = (g[k] for k in ("customers", "products", "orders", "order_items", "feedback"))
+
+    def row(name, df, bad, count=True):
+        return df.agg((F.count(F.lit(1)) if count else F.lit(None).cast("long")).alias("row_count"),
+                      F.count_if(bad).alias("violations")).select(F.lit(name).alias("table_name"), "*")
+    cust_city = c.select("customer_id", F.col("city").alias("_city"))
+    o2 = o.join(cust_city, "customer_id", "left")
+    it2 = it.join(p.select("product_id", F.col("unit_price").alias("_price")), "product_id", "left")
+    in_list = lambda col, values: F.col(col).isin(*values)
+    return reduce(DataFrame.unionByName, [
+        row("customers", c, ~in_list("city", datagen.CITIES) | ~in_list("customer_segment", datagen.SEGMENTS)
+            | ~F.col("email").endswith("@example.com")),
+        row("products", p, ~F.col("unit_price").between(100, 10000) | ~F.col("cost_price").between(50, 5000)
+            | ~F.col("stock_quantity").between(0, 100) | ~in_list("brand", datagen.BRANDS)),
+        row("orders", o2, F.col("_city").isNull() | (F.col("_city") != F.col("shipping_city"))
+            | ~F.col("total_amount").between(1000, 50000) | ~in_list("status", datagen.STATUSES)),
+        row("order_items", it2, F.col("_price").isNull() | (F.col("_price") != F.col("unit_price"))
+            | ~F.col("quantity").between(1, 3), count=False),
+        row("feedback", fb, ~F.col("rating").between(1, 5) | F.col("customer_email").isNull()),
+    ])
