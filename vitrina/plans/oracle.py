@@ -236,8 +236,8 @@ base AS (SELECT order_date, count(*) AS total_orders,
   FROM orders_c GROUP BY order_date),
 firsts AS (SELECT first_date AS order_date, count(*) AS new_customers FROM
   (SELECT customer_id, min(order_date) AS first_date FROM orders_c GROUP BY customer_id) GROUP BY first_date),
-city AS (SELECT order_date, to_json(map_from_entries(list(struct_pack(k := shipping_city, v := n)
-  ORDER BY shipping_city, n))) AS orders_by_city
+city AS (SELECT order_date, CAST(to_json(map_from_entries(list(struct_pack(k := shipping_city, v := n)
+  ORDER BY shipping_city, n))) AS VARCHAR) AS orders_by_city
   FROM (SELECT order_date, shipping_city, count(*) AS n FROM orders_c GROUP BY 1, 2) GROUP BY order_date),
 money AS (SELECT order_date, CAST(sum(total_price) AS DECIMAL(22,2)) AS rev,
   CAST(sum(cost) AS DECIMAL(22,2)) AS total_cost FROM it GROUP BY order_date),
@@ -246,8 +246,8 @@ prod AS (SELECT order_date, arg_max(product_id, (rev, -product_id)) AS top_produ
   FROM (SELECT order_date, product_id, product_name, CAST(sum(total_price) AS DECIMAL(22,2)) AS rev
         FROM it GROUP BY 1, 2, 3) GROUP BY order_date),
 cat AS (SELECT order_date, arg_min(category, (-rev, category)) AS top_category,
-  to_json(map_from_entries(list(struct_pack(k := category, v := CAST(rev AS VARCHAR)) ORDER BY category, rev)))
-    AS revenue_by_category
+  CAST(to_json(map_from_entries(list(struct_pack(k := category, v := CAST(rev AS VARCHAR)) ORDER BY category, rev)))
+    AS VARCHAR) AS revenue_by_category
   FROM (SELECT order_date, category, CAST(sum(total_price) AS DECIMAL(22,2)) AS rev FROM it GROUP BY 1, 2)
   GROUP BY order_date)
 SELECT b.order_date AS analytics_date, b.total_orders, b.new_orders, b.cancelled_orders,

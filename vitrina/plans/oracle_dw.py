@@ -89,7 +89,8 @@ SELECT customer_id, first_name, last_name, city, country, customer_segment, effe
 PROD_B = """
 pb1 AS (SELECT product_id, product_name, category, brand, unit_price, product_id AS seq FROM products_s),
 pb2 AS (SELECT product_id, product_name, category, lower(brand) AS brand,
-  CASE WHEN starts_with(category, 'SMALL') THEN unit_price + 1 ELSE unit_price END AS unit_price,
+  CAST(CASE WHEN starts_with(category, 'SMALL') THEN unit_price + 1 ELSE unit_price END AS DECIMAL(10,2))
+    AS unit_price,
   product_id AS seq FROM products_s),""" + scd2_steps(
     "pb1", "pb2", ["product_name", "category", "brand", "unit_price"], "product_id", "product_key",
     [("subcategory", "VARCHAR"), ("cost_price", "DECIMAL(10,2)"), ("stock_quantity", "INTEGER")], p="p")
