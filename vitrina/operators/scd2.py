@@ -6,8 +6,8 @@ the tracked columns))`` with the key's latest version; no version -> insert
 and insert a new one (*updated*); equal -> nothing (*unchanged*). Keys absent
 from the batch are untouched; a key repeated in a batch chains versions.
 
-Plan. Only current rows and the batch take part; closed history is carried
-over untouched. Current rows (first) and batch rows are range-partitioned on
+Plan. Only the batch and the current rows of its keys take part; closed
+history and current rows of other keys are carried over untouched. Current rows (first) and batch rows are range-partitioned on
 (natural key, batch order) and the partition number becomes a *bucket*: a key
 with a third of all rows spreads over many buckets, so no task holds more
 than about rows / partitions. ``lag``/``lead`` run inside a bucket; what
@@ -117,13 +117,19 @@ def scd2_merge(dim: DataFrame, batch: DataFrame, run_date: str, order_cols: list
     key_type = spec.schema[key].dataType
 
     hist = dim.where(~F.col("is_current"))
-    cur = dim.where(F.col("is_current"))
+    cur_all = dim.where(F.col("is_current"))
 
     # Guard: a run dated before the current version would close it with
     # expiration < effective; such keys are reported and left alone.
-    late = cur.where(F.col("effective_date") > run).select(key).distinct()
+    late = cur_all.where(F.col("effective_date") > run).select(key).distinct()
     rejected = batch.join(late, key, "left_semi")
     batch = batch.join(late, key, "left_anti")
+    # Current rows of keys absent from the batch cannot change: they are
+    # carried over like closed history and skip the bucketed passes, so a
+    # daily batch touching few keys moves only those keys' current rows.
+    batch_keys = batch.select(F.col(key).cast(key_type).alias(key)).distinct()
+    cur = cur_all.join(batch_keys, key, "left_semi")
+    untouched = cur_all.join(batch_keys, key, "left_anti")
 
     for c in spec.tracked:
         if c not in batch.columns:  # row.get(c, '') in the reference
@@ -200,7 +206,8 @@ def scd2_merge(dim: DataFrame, batch: DataFrame, run_date: str, order_cols: list
     # current rows: closed when a newer version was accepted, else unchanged
     cur_out = (y1.where(~side1).withColumn("_closed", ~F.col("_current"))
                .select(*[_close(f.name, run, now) for f in spec.schema.fields]))
-    out = hist.select(*spec.schema.fieldNames()).unionByName(cur_out).unionByName(new_dim_rows)
+    out = (hist.select(*spec.schema.fieldNames()).unionByName(untouched.select(*spec.schema.fieldNames()))
+           .unionByName(cur_out).unionByName(new_dim_rows))
     return out, counts, rejected
 
 
