@@ -144,3 +144,30 @@ def test_csv_reader_pandas_rules(spark):
     assert rows[3]["supplier"] is None and rows[3]["unit_price"] == Decimal("5.50")
     assert rows[4]["unit_price"] is None and rows[4]["stock_quantity"] is None and rows[4]["created_at"] is None
     assert report.first()["rows_dropped"] == 1
+
+
+def test_asof_binding_edges(spark):
+    from vitrina.operators.facts import asof_bind
+    dim = spark.createDataFrame(
+        [(10, 1, dt.date(2024, 1, 1), dt.date(2024, 3, 1)), (11, 1, dt.date(2024, 3, 1), dt.date(2024, 3, 1)),
+         (12, 1, dt.date(2024, 3, 1), dt.date(9999, 12, 31))],
+        "customer_key long, customer_id long, effective_date date, expiration_date date")
+    facts = spark.createDataFrame([(1, 1, dt.date(2023, 12, 31)), (2, 1, dt.date(2024, 2, 29)),
+                                   (3, 1, dt.date(2024, 3, 1)), (4, 1, dt.date(2030, 1, 1)), (5, 2, dt.date(2024, 1, 5))],
+                                  "order_id int, customer_id long, order_date date")
+    got = {r["order_id"]: r["customer_key"]
+           for r in asof_bind(facts, dim, "customer_id", "order_date", "customer_id", "customer_key").collect()}
+    # before the first version: none; on the change date: the new version (zero-length one never matches)
+    assert got == {1: None, 2: 10, 3: 12, 4: 12, 5: None}
+
+
+def test_upsert_touch_and_insert_only(spark):
+    now = F.lit("2024-05-01 09:00:00").cast("timestamp_ntz")
+    tgt = spark.createDataFrame([(1, 5, dt.datetime(2024, 1, 1), None)],
+                                "d int, v int, created_at timestamp_ntz, updated_at timestamp_ntz")
+    src = spark.createDataFrame([(1, 6), (2, 7)], "d int, v int")
+    out = {r["d"]: r for r in merge.upsert(tgt, src, "d", ["v"], touch={"updated_at": now},
+                                           insert_only={"created_at": now}).collect()}
+    assert out[1]["v"] == 6 and out[1]["created_at"] == dt.datetime(2024, 1, 1)
+    assert out[1]["updated_at"] == dt.datetime(2024, 5, 1, 9)
+    assert out[2]["created_at"] == dt.datetime(2024, 5, 1, 9) and out[2]["updated_at"] == dt.datetime(2024, 5, 1, 9)
