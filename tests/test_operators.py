@@ -171,3 +171,19 @@ def test_upsert_touch_and_insert_only(spark):
     assert out[1]["v"] == 6 and out[1]["created_at"] == dt.datetime(2024, 1, 1)
     assert out[1]["updated_at"] == dt.datetime(2024, 5, 1, 9)
     assert out[2]["created_at"] == dt.datetime(2024, 5, 1, 9) and out[2]["updated_at"] == dt.datetime(2024, 5, 1, 9)
+
+
+def test_document_scan_object_ids_and_missing_fields(spark):
+    from vitrina.sources.documents import FEEDBACK_SCHEMA, read_documents, sample_documents
+    path = os.path.join(tempfile.mkdtemp(prefix="vitrina-docs-"), "fb.json")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('{"_id": {"$oid": "65a1b2"}, "feedback_id": "FB001", "customer_id": 1, "rating": 5, '
+                '"comment": "' + "x" * 60 + '", "sentiment_score": 0.9}\n')
+        f.write('{"_id": "plain-id", "feedback_id": "FB002", "customer_id": 2, "rating": 2, '
+                '"customer_name": "Анна", "extra": true}\n')
+    docs = read_documents(spark, path, FEEDBACK_SCHEMA)
+    rows = {r["feedback_id"]: r for r in docs.collect()}
+    assert rows["FB001"]["_id"] == "65a1b2" and rows["FB002"]["_id"] == "plain-id"
+    assert rows["FB001"]["customer_name"] is None and rows["FB002"]["sentiment_score"] is None
+    prev = {r["feedback_id"]: r for r in sample_documents(docs, n=0).collect()}
+    assert prev["FB001"]["comment"] == "x" * 50 + "..." and "_id" not in prev["FB001"].asDict()

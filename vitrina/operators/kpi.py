@@ -83,8 +83,8 @@ def rolling_kpis(orders: DataFrame, lookback_days: int = 7, date_col: str = "ord
 
 def run_kpis(orders: DataFrame, ratings: DataFrame | None, run_date: str, lookback_days: int = 7,
              variant: str = "simple") -> DataFrame:
-    """One KPI row for one run (A-1 / A-2), orders of the look-back window and
-    the ratings of the run in a single aggregate (the two inputs are unioned
+    """One KPI row for one run (A-1 / A-2, D-8 complaint_count = ratings <= 2),
+    orders of the look-back window and the ratings of the run in a single aggregate (the two inputs are unioned
     with a kind marker instead of joined)."""
     lo = F.date_sub(F.lit(run_date).cast("date"), lookback_days)
     o = orders.where(F.col("order_date") >= lo)
@@ -108,7 +108,8 @@ def run_kpis(orders: DataFrame, ratings: DataFrame | None, run_date: str, lookba
                 avg.alias("avg_order_value"),
                 F.countDistinct("customer_id").alias("active_customers"),
                 top_value("shipping_city", fallback).alias("top_city"),
-                F.coalesce(F.avg("rating"), F.lit(0.0)).alias("avg_customer_rating"))
+                F.coalesce(F.avg("rating"), F.lit(0.0)).alias("avg_customer_rating"),
+                F.count_if(~F.col("_is_order") & (F.col("rating") <= 2)).alias("complaint_count"))
     out = out.select(F.lit(run_date).cast("date").alias("analytics_date"), "*")
     if variant == "simple":
         # The simple run writes no row when the window holds no order.

@@ -184,7 +184,8 @@ SELECT DATE '{RUN_DATE}' AS analytics_date, (SELECT count(*) FROM o) AS total_or
   (SELECT CAST(sum(total_amount) AS DOUBLE) / count(total_amount) FROM o) AS avg_order_value,
   (SELECT count(DISTINCT customer_id) FROM o) AS active_customers,
   (SELECT coalesce(mode() WITHIN GROUP (ORDER BY shipping_city), 'Не указан') FROM o) AS top_city,
-  (SELECT coalesce(avg(rating), 0.0) FROM r) AS avg_customer_rating
+  (SELECT coalesce(avg(rating), 0.0) FROM r) AS avg_customer_rating,
+  (SELECT count(*) FILTER (WHERE rating <= 2) FROM r) AS complaint_count
 WHERE (SELECT count(*) FROM o) > 0"""
 
 SQL["top_categories"] = f"""WITH {PRODUCTS}

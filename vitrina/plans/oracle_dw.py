@@ -330,3 +330,6 @@ UNION ALL SELECT 'products', count(*), 0 FROM part
 UNION ALL SELECT 'orders', count(*), 0 FROM orders
 UNION ALL SELECT 'order_items', NULL, 0
 UNION ALL SELECT 'feedback', count(*), 0 FROM documents"""
+
+SQL["current_lookup_payments"] = f"""WITH {CUST_BATCHES}, {PAYMENTS}
+SELECT p.*, c.customer_key FROM payments_s p LEFT JOIN dim2 c ON p.customer_id = c.customer_id AND c.is_current"""

@@ -31,7 +31,8 @@ KPI_SCHEMA = T.StructType([
     T.StructField("analytics_date", T.DateType()), T.StructField("total_orders", T.LongType()),
     T.StructField("total_revenue", T.DecimalType(22, 2)), T.StructField("avg_order_value", T.DoubleType()),
     T.StructField("active_customers", T.LongType()), T.StructField("top_city", T.StringType()),
-    T.StructField("avg_customer_rating", T.DoubleType()), T.StructField("data_source", T.StringType()),
+    T.StructField("avg_customer_rating", T.DoubleType()), T.StructField("complaint_count", T.LongType()),
+    T.StructField("data_source", T.StringType()),
     T.StructField("created_at", T.TimestampNTZType()), T.StructField("updated_at", T.TimestampNTZType()),
     T.StructField("processed_at", T.TimestampNTZType()),
 ])
@@ -86,7 +87,7 @@ def upsert_kpis(spark: SparkSession, target: str, row: DataFrame, run_date: str,
     now = _stamp(run_date)
     src = row.withColumn("data_source", F.lit(source))
     measures = ["total_orders", "total_revenue", "avg_order_value", "active_customers", "top_city",
-                "avg_customer_rating", "data_source"]
+                "avg_customer_rating", "complaint_count", "data_source"]
     touch = {"updated_at": now} if audit == "updated_at" else {}
     insert_only = {"created_at": now, "processed_at": now} if audit == "processed_at" else {"created_at": now}
     out = merge.upsert(cur, src, "analytics_date", measures, touch=touch, insert_only=insert_only)

@@ -439,3 +439,10 @@ def q_datagen_rules(spark, d):
             | ~F.col("quantity").between(1, 3), count=False),
         row("feedback", fb, ~F.col("rating").between(1, 5) | F.col("customer_email").isNull()),
     ])
+
+
+@register("current_lookup_payments")
+def q_current_lookup_payments(spark, d):
+    """J-1: payments bound to the customer's current version only."""
+    dim_c, _ = customer_dimension(spark, d)
+    return facts.current_lookup(st.payments(spark, d), dim_c, "customer_id", "customer_id", "customer_key")
