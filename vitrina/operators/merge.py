@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrina.operators.surrogate import tie_break
+
 _TP, _SP = "_t_present", "_s_present"
 
 
@@ -25,12 +27,12 @@ def _keys(keys) -> list[str]:
 
 
 def last_per_key(df: DataFrame, keys, order_cols: list[str], first: bool = False) -> DataFrame:
-    """One row per key: the last (or first) by ``order_cols``, other columns
-    as tie-break. Partial aggregation, so a key with a third of the rows is
+    """One row per key: the last (or first) by ``order_cols``, a hash of the
+    other columns as tie-break. Partial aggregation, so a key with a third of the rows is
     reduced before the shuffle."""
     keys = _keys(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols + [c for c in rest if c not in order_cols]])
+    order = F.struct(*[F.col(c) for c in order_cols], *tie_break(df, list(order_cols) + keys))
     row = F.struct(*[F.col(c) for c in rest])
     pick = F.min_by(row, order) if first else F.max_by(row, order)
     return (df.groupBy(*keys).agg(pick.alias("_row"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrina.functions.text import full_name, ustrip
-from vitrina.operators.surrogate import max_key
+from vitrina.operators.surrogate import max_key, tie_break
 from vitrina.session import cut_lineage
 
 # Fixed values of the customer dimension.
@@ -135,10 +135,12 @@ def scd2_merge(dim: DataFrame, batch: DataFrame, run_date: str, order_cols: list
         if c not in batch.columns:  # row.get(c, '') in the reference
             batch = batch.withColumn(c, F.lit(None).cast(spec.schema[c].dataType))
     pay = list(spec.tracked) + carry
-    order = list(order_cols) + [c for c in batch.columns if c not in order_cols and c != key]
-    inc_ord = F.struct(F.lit(1).alias("s"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
-    cur_ord = F.struct(F.lit(0).alias("s"), *[F.lit(None).cast(batch.schema[c].dataType).alias(f"o{i}")
-                                              for i, c in enumerate(order)])
+    # batch order, then hashes of the other columns as a small tie-break
+    order = [F.col(c) for c in order_cols] + tie_break(batch, list(order_cols) + [key])
+    inc_ord = F.struct(F.lit(1).alias("s"), *[e.alias(f"o{i}") for i, e in enumerate(order)])
+    types = batch.select(*order).schema
+    cur_ord = F.struct(F.lit(0).alias("s"), *[F.lit(None).cast(f.dataType).alias(f"o{i}")
+                                              for i, f in enumerate(types.fields)])
     inc = batch.select(F.col(key).cast(key_type).alias(key),
                        *[F.col(c).cast(spec.schema[c].dataType).alias(c) for c in pay],
                        inc_ord.alias("_ord"), compare_text(spec.tracked, sep).alias("_cmp"), F.lit(1).alias("_side"))

@@ -21,15 +21,14 @@ _PID, _MID = "_pid", "_mid"
 
 def dense_index(df: DataFrame, order_cols: list[str], name: str = "row_index", start: int | F.Column = 1,
                 stable: bool = True) -> DataFrame:
-    """Add ``name`` = start, start+1, ... in the order of ``order_cols`` (then
-    all other columns, so the order is total).
+    """Add ``name`` = start, start+1, ... in the order of ``order_cols``; rows
+    equal on them are ordered by a hash of their other columns.
 
     ``stable`` checkpoints the sorted frame into the shared checkpoint folder so
     the positions and the counts come from the same materialised rows (and the
     lineage is cut: a lost executor does not re-sort).
     """
-    order = list(order_cols) + [c for c in df.columns if c not in order_cols]
-    s = (df.orderBy(*order)
+    s = (df.orderBy(*order_cols, *tie_break(df, order_cols))
          .withColumn(_PID, F.spark_partition_id())
          .withColumn(_MID, F.monotonically_increasing_id()))
     if stable:
@@ -46,6 +45,16 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "row_index", s
     return out.select(*df.columns, name)
 
 
+def tie_break(df: DataFrame, order_cols: list[str]) -> list[F.Column]:
+    """Small deterministic tie-breakers: two hashes of the columns outside the
+    order. Appending the columns themselves would put whole texts into the
+    sort keys that range partitioning samples to the driver."""
+    rest = [F.col(c) for c in df.columns if c not in order_cols]
+    if not rest:
+        return []
+    return [F.xxhash64(*rest), F.hash(*rest)]
+
+
 def max_key(df: DataFrame, key: str) -> int:
     """Largest existing key (0 for an empty table) -- one scalar to the driver."""
     v = df.agg(F.max(key)).first()[0]
