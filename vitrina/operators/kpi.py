@@ -65,20 +65,37 @@ def rolling_kpis(orders: DataFrame, lookback_days: int = 7, date_col: str = "ord
     orders with order_date >= R - lookback (nothing later exists yet), as one
     row keyed by R; avg_order_value divides by all rows of the window.
 
-    Each order is replicated to the lookback+1 run dates that see it and then
-    aggregated: a fixed (lookback+1)x fan-out, combined map-side.
+    Orders are first reduced per order date (totals), per (date, city)
+    (counts) and per distinct (date, customer); only these reduced rows are
+    replicated to the lookback+1 run dates that see them, then summed per run
+    date. The three results are one row per run date and joined on it.
     """
-    runs = orders.withColumn("analytics_date",
-                             F.explode(F.sequence(F.col(date_col),
-                                                  F.date_add(F.col(date_col), lookback_days))))
-    has_city = "shipping_city" in orders.columns
-    return (runs.groupBy("analytics_date")
-            .agg(F.count(F.lit(1)).alias("total_orders"),
-                 money_sum("total_amount").alias("total_revenue"),
-                 ratio(F.sum(F.col("total_amount").cast(MONEY)), F.count(F.lit(1))).alias("avg_order_value"),
-                 F.countDistinct("customer_id").alias("active_customers"),
-                 (top_value("shipping_city", city_fallback) if has_city else F.lit(city_fallback))
-                 .alias("top_city")))
+    d = F.col(date_col)
+    runs = F.explode(F.sequence(d, F.date_add(d, lookback_days))).alias("analytics_date")
+    totals = (orders.groupBy(d.alias("_d"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("total_amount").cast(MONEY)).alias("_s"))
+              .select(F.explode(F.sequence(F.col("_d"), F.date_add("_d", lookback_days))).alias("analytics_date"),
+                      "_n", "_s")
+              .groupBy("analytics_date")
+              .agg(F.sum("_n").alias("total_orders"), F.sum("_s").cast(MONEY_SUM).alias("total_revenue"),
+                   ratio(F.sum("_s"), F.sum("_n")).alias("avg_order_value")))
+    customers = (orders.select(d, "customer_id").distinct().select(runs, "customer_id")
+                 .groupBy("analytics_date").agg(F.countDistinct("customer_id").alias("active_customers")))
+    out = totals.join(customers, "analytics_date", "left")
+    if "shipping_city" in orders.columns:
+        cities = (orders.where(F.col("shipping_city").isNotNull())
+                  .groupBy(d, "shipping_city").agg(F.count(F.lit(1)).alias("_c"))
+                  .select(runs, "shipping_city", "_c")
+                  .groupBy("analytics_date", "shipping_city").agg(F.sum("_c").alias("_c"))
+                  .groupBy("analytics_date")
+                  .agg(F.min_by("shipping_city", F.struct(-F.col("_c"), F.col("shipping_city"))).alias("_top")))
+        out = out.join(cities, "analytics_date", "left")
+        top = F.coalesce(F.col("_top"), F.lit(city_fallback))
+    else:
+        top = F.lit(city_fallback)
+    return out.select("analytics_date", "total_orders", "total_revenue", "avg_order_value",
+                      F.coalesce("active_customers", F.lit(0).cast("long")).alias("active_customers"),
+                      top.alias("top_city"))
 
 
 def run_kpis(orders: DataFrame, ratings: DataFrame | None, run_date: str, lookback_days: int = 7,
