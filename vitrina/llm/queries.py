@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from vitrina.llm.fingerprints import op10_fingerprints
 from vitrina.llm.line_dedup import OP7_SQL, op7_line_dedup
+from vitrina.llm.near_dedup import OP2_SQL, op2_near_dedup
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
+from vitrina.llm.sentencepiece_codec import op6_sentencepiece
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_near_dedup": op2_near_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
+    "op2_near_dedup": OP2_SQL,
     "op7_line_dedup": OP7_SQL,
 }
