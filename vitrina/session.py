@@ -91,3 +91,21 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors' Python workers, once a session, so that functions of it that run
+    there are found wherever the driver was started. (Under spark-submit --py-files they are there already.)"""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+    sc = spark.sparkContext
+    if getattr(sc, "_vitrina_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = f"{tempfile.mkdtemp(prefix='vitrina-')}/vitrina.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(target)
+    sc._vitrina_shipped = True
