@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrina.session import scratch_path
+from vitrina.session import scratch_path, ship_package
 from vitrina.sources.tables import read_table
 
 # White space that separates words, as characters and as a pattern.
@@ -21,6 +21,7 @@ KEY = "_doc"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return read_table(spark, sf_dir, "documents")
 
 

@@ -7,12 +7,14 @@ from vitrina.llm.line_dedup import OP7_SQL, op7_line_dedup
 from vitrina.llm.near_dedup import OP2_SQL, op2_near_dedup
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
 from vitrina.llm.sentencepiece_codec import op6_sentencepiece
+from vitrina.llm.suffix_dedup import op9_suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dedup": op2_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
 
