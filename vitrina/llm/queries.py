@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from vitrina.llm.fingerprints import op10_fingerprints
+from vitrina.llm.language_id import op3_language_id
+from vitrina.llm.license_scan import op4_license_scan
 from vitrina.llm.line_dedup import OP7_SQL, op7_line_dedup
+from vitrina.llm.mixing import op8_mixing
 from vitrina.llm.near_dedup import OP2_SQL, op2_near_dedup
+from vitrina.llm.quality_classifier import op5_quality_classifier
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
 from vitrina.llm.sentencepiece_codec import op6_sentencepiece
 from vitrina.llm.suffix_dedup import op9_suffix_dedup
@@ -12,8 +16,12 @@ from vitrina.llm.suffix_dedup import op9_suffix_dedup
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dedup": op2_near_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_license_scan": op4_license_scan,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
+    "op8_mixing": op8_mixing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
