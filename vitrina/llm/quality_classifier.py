@@ -28,37 +28,38 @@ def _logit(p: Column) -> Column:
     return F.log(_clip(p) / (1 - _clip(p)))
 
 
-def _strength(groups: DataFrame, mean: Column) -> DataFrame:
-    """One row: the Beta prior strength that explains the spread of the groups' rates ``s / n`` about ``mean``.
+def _strength(groups: DataFrame, mean: Column) -> float:
+    """The Beta prior strength that explains the spread of the groups' rates ``s / n`` about ``mean``.
 
     Variance between groups is what their spread exceeds sampling by; strength is between 1 (rates differ freely) and
     10,000 (all alike)."""
     g = groups.select("n", (F.col("s") / F.col("n")).alias("r"), mean.alias("m"))
-    v = g.agg(F.sum(F.col("n") * (F.col("r") - F.col("m")) ** 2).alias("spread"), F.sum(F.col("m") * (1 - F.col("m"))).alias("chance"),
-              F.sum("n").alias("n"), F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))).alias("most"))
-    between = (F.col("spread") - F.col("chance")) / F.col("n")
-    k = F.when(between > 0, F.col("most") / F.col("n") / between - 1).otherwise(F.lit(10_000.0))
-    return v.select(F.least(F.lit(10_000.0), F.greatest(F.lit(1.0), F.coalesce(k, F.lit(10_000.0)))).alias("strength"))
+    v = g.agg(F.sum(F.col("n") * (F.col("r") - F.col("m")) ** 2).alias("spread"), F.sum("n").alias("n"),
+              F.sum(F.col("m") * (1 - F.col("m"))).alias("chance"),
+              F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))).alias("most")).first()
+    if not v["n"] or v["spread"] <= v["chance"]:
+        return 10_000.0
+    return min(10_000.0, max(1.0, v["most"] / (v["spread"] - v["chance"]) - 1))
 
 
 def quality_posteriors(evidence: DataFrame) -> DataFrame:
     """(_doc, p_document, p_host, p_path, quality) of (_doc, host, path, p).
 
     Sums are map-side combined; hosts and paths come back to documents by a join that adaptive execution splits for a
-    hot host. One-row tables (global rate, strengths) are broadcast.
+    hot host. Three numbers come to the driver: the global rate and the two strengths.
     """
-    paths = evidence.groupBy("host", "path").agg(F.sum("p").alias("s"), F.count(F.lit(1)).cast("double").alias("n"))
-    paths = stored(paths, "paths")
+    paths = stored(evidence.groupBy("host", "path").agg(F.sum("p").alias("s"), F.count(F.lit(1)).cast("double").alias("n")),
+                   "paths")
     hosts = paths.groupBy("host").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    total = hosts.agg((F.sum("s") / F.sum("n")).alias("mean"))
-    one = total.crossJoin(_strength(hosts.crossJoin(F.broadcast(total)), F.col("mean")))  # one row by one row
-    hosts = hosts.crossJoin(F.broadcast(one)).select(
-        "host", "mean", ((F.col("s") + F.col("strength") * F.col("mean")) / (F.col("n") + F.col("strength"))).alias("p_host"))
+    total = hosts.agg((F.sum("s") / F.sum("n")).alias("mean")).first()["mean"]
+    mean = F.lit(0.5 if total is None else total)
+    k = _strength(hosts, mean)
+    hosts = hosts.select("host", ((F.col("s") + k * mean) / (F.col("n") + k)).alias("p_host"))
     paths = paths.join(hosts, "host")
-    paths = paths.crossJoin(F.broadcast(_strength(paths, F.col("p_host"))))
+    k = _strength(paths, F.col("p_host"))
     d = evidence.join(paths, ["host", "path"])
-    rest = (F.col("s") - F.col("p") + F.col("strength") * F.col("p_host")) / (F.col("n") - 1 + F.col("strength"))
-    odds = _logit(F.col("p")) + _logit(rest) - _logit(F.col("mean"))
+    rest = (F.col("s") - F.col("p") + k * F.col("p_host")) / (F.col("n") - 1 + k)
+    odds = _logit(F.col("p")) + _logit(rest) - _logit(mean)
     return d.select(KEY, F.col("p").alias("p_document"), "p_host", rest.alias("p_path"), (1 / (1 + F.exp(-odds))).alias("quality"))
 
 
