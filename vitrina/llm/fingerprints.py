@@ -82,10 +82,9 @@ def with_next(docs: DataFrame, k: int = K) -> DataFrame:
     heads = with_sketch(d.withColumn("rn", F.row_number().over(inside)).where("rn = 1").drop("rn"), "text", "next_sketch", k)
     tails = with_sketch(d.withColumn("rn", F.row_number().over(up)).where("rn = 1").drop("rn"), "text", "sketch", k)
     order = dense_index(d.select("block").distinct(), ["block"], "nth")
-    last = order.agg(F.max("nth").alias("last"))
+    last = order.agg(F.max("nth")).first()[0]
     # block with index i is followed by i - 1; the first one by the last
-    links = (order.crossJoin(F.broadcast(last))  # one row: the number of blocks
-             .select("block", F.when(F.col("nth") == 1, F.col("last")).otherwise(F.col("nth") - 1).alias("nth"))
+    links = (order.select("block", F.when(F.col("nth") == 1, F.lit(last)).otherwise(F.col("nth") - 1).alias("nth"))
              .join(order.select("nth", F.col("block").alias("next_block")), "nth").drop("nth"))
     heads = heads.select(F.col("block").alias("next_block"), F.col("text").alias("next_text"), "next_sketch")
     edges = tails.join(links, "block").join(heads, "next_block").select(KEY, "text", "sketch", "next_text", "next_sketch")
