@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 BLANK_CLASS = (r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
                r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 STRIP_PATTERN = rf"^{BLANK_CLASS}+|{BLANK_CLASS}+$"
-# A run of letters or a run of anything else (title-case tokens).
-TITLE_TOKENS = r"(\p{L}+|[^\p{L}]+)"
-# Fixed value: a word starting with sharp s is title-cased to "Ss" (as Python
-# does); plain upper-casing would give "SS".
-SHARP_S, SHARP_S_TITLE = "\u00df", "Ss"
+# Letters with case; a title-cased run starts at one that follows anything else.
+CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
+TITLE_START = f"(?<![{CASED}])(?=[{CASED}])"
 
 
 def _c(c) -> Column:
@@ -30,16 +28,12 @@ def ustrip(c) -> Column:
 
 
 def title_case(c) -> Column:
-    """Python ``str.strip().title()``: each run of letters gets an upper-case
-    first letter and lower-case rest; title restarts after any non-letter,
-    so ``o'neil-smith`` -> ``O'Neil-Smith``."""
-    toks = F.regexp_extract_all(F.lower(ustrip(c)), F.lit(TITLE_TOKENS), 1)
-    def cap(t):
-        first = F.substring(t, 1, 1)
-        head = F.when(first == SHARP_S, F.lit(SHARP_S_TITLE)).otherwise(F.upper(first))
-        return F.concat(head, F.substring(t, 2, 1 << 30))
-    cased = F.transform(toks, cap)
-    return F.when(_c(c).isNull(), F.lit(None)).otherwise(F.array_join(cased, ""))
+    """Python ``str.strip().title()``: a letter with case is title-cased where it
+    follows anything but such a letter, else lower-cased, so ``o'neil-smith`` ->
+    ``O'Neil-Smith`` and ``\u4e2dabc`` -> ``\u4e2dAbc``. The text is cut before each start;
+    a piece has one run of such letters, so initcap serves for it."""
+    pieces = F.split(F.lower(ustrip(c)), TITLE_START)
+    return F.array_join(F.transform(pieces, F.initcap), "")
 
 
 def email_norm(c) -> Column:

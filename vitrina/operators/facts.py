@@ -6,8 +6,8 @@
   AQE measures a small dimension, broadcast) join on the key; a customer
   holding a third of the facts is split by AQE's skew-join handling, the
   dimension side of that key being just its few versions.
-* Lookups of bounded tables (6 statuses) are broadcast; date and time keys
-  are computed, not joined.
+* Date and time keys are computed, not joined; small lookups are left to
+  AQE's measured sizes.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrina.functions.coerce import to_date, to_int
 from vitrina.functions.keys import date_key, time_key_from_text
 from vitrina.functions.text import truncate
 from vitrina.operators.clean import NOT_GIVEN
@@ -44,10 +45,9 @@ def current_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
 
 
 def status_lookup(facts: DataFrame, statuses: DataFrame, status_col: str = "order_status") -> DataFrame:
-    """J-4: status_key by code, case-insensitive ('Pending' vs 'PENDING').
-    The status table is a fixed seed of a few rows: broadcast."""
+    """J-4: status_key by code, case-insensitive ('Pending' vs 'PENDING')."""
     s = statuses.select(F.col("status_code").alias("_code"), "status_key")
-    return (facts.join(F.broadcast(s), F.upper(F.col(status_col)) == F.col("_code"), "left").drop("_code"))
+    return (facts.join(s, F.upper(F.col(status_col)) == F.col("_code"), "left").drop("_code"))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -58,24 +58,28 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def order_lines(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """J-5: one row per order item with its order and product attributes,
-    cost = quantity x cost_price, profit = total - cost."""
+    cost = quantity x cost_price, profit = total - cost. An item without an
+    order stays, with ``order_found`` false; ``fact_orders`` rejects it."""
     o = orders.select("order_id", "customer_id", "order_date", "order_time", F.col("status").alias("order_status"),
-                      "payment_method", *[c for c in ("shipping_city",) if c in orders.columns])
+                      "payment_method", *[c for c in ("shipping_city",) if c in orders.columns],
+                      F.lit(True).alias("order_found"))
     p = products.select("product_id", "cost_price")
     li = (items.select("order_id", "product_id", "quantity", F.col("total_price").alias("total_amount"))
-          .join(o, "order_id").join(p, "product_id", "left"))
+          .join(o, "order_id", "left").join(p, "product_id", "left"))
     cost = (F.col("quantity") * F.col("cost_price")).cast(MONEY)
     return li.select(
         "order_id", "customer_id", "product_id", "order_date", "order_time", "order_status", "payment_method",
         *[c for c in ("shipping_city",) if c in orders.columns], "quantity",
         F.try_divide(F.col("total_amount"), F.col("quantity")).cast("decimal(10,2)").alias("unit_price"),
         F.col("total_amount").cast(MONEY).alias("total_amount"), cost.alias("cost_amount"),
-        (F.col("total_amount") - cost).cast(MONEY).alias("profit_amount"))
+        (F.col("total_amount") - cost).cast(MONEY).alias("profit_amount"),
+        F.coalesce("order_found", F.lit(False)).alias("order_found"))
 
 
 def fact_checks() -> dict[str, Column]:
-    """Q-3 CHECK constraints of fact_orders."""
-    return {"quantity_positive": F.col("quantity") > 0,
+    """Q-3 CHECK constraints of fact_orders, and J-6: the item has its order."""
+    return {"order_exists": F.col("order_found"),
+            "quantity_positive": F.col("quantity") > 0,
             "unit_price_non_negative": F.col("unit_price") >= 0,
             "total_amount_non_negative": F.col("total_amount") >= 0}
 
@@ -123,24 +127,28 @@ def fact_feedback(feedback: DataFrame, load_date: str, order_cols: list[str], wi
     feedback_id: the document's own, else 'FB_%04d' of its position (from 0)
     when the column is absent; text: ``feedback`` preferred over ``comment``,
     capped at 500 characters; rating: integer or 0; customer_id / product_id
-    stay 0 unless ``with_ids``.
+    stay 0 unless ``with_ids``. Columns are cut to what the fact needs before
+    rows are sorted, so whole texts are not moved; rows equal on
+    ``order_cols`` are ordered by those columns.
     """
     pos = "_pos"
-    idx = dense_index(feedback, order_cols, name=pos, start=id_base)
     fid = (F.col("feedback_id").cast("string") if "feedback_id" in feedback.columns
            else F.format_string(FEEDBACK_ID_FORMAT, F.col(pos)))
     texts = [F.col(c) for c in ("feedback", "comment") if c in feedback.columns]
     text = truncate(F.coalesce(*texts, F.lit("")), FEEDBACK_TEXT_MAX)
-    rating = F.coalesce(F.col("rating").try_cast("int"), F.lit(0)) if "rating" in feedback.columns else F.lit(0)
+    rating = to_int("rating", 0) if "rating" in feedback.columns else F.lit(0)
 
     def ident(c: str) -> Column:
         if with_ids and c in feedback.columns:
-            return F.coalesce(F.col(c).try_cast("int"), F.lit(0))
+            return to_int(c, 0)
         return F.lit(0)
-    return idx.select(
+    own = [F.col("feedback_id")] if "feedback_id" in feedback.columns else []
+    rows = feedback.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)], *own,
+                           text.alias("feedback_text"), ident("customer_id").alias("customer_id"),
+                           ident("product_id").alias("product_id"), rating.alias("rating"))
+    return dense_index(rows, [f"_o{i}" for i in range(len(order_cols))], name=pos, start=id_base).select(
         (F.col(pos) - F.lit(id_base) + 1).alias("feedback_key"), truncate(fid, 50).alias("feedback_id"),
-        text.alias("feedback_text"), ident("customer_id").alias("customer_id"),
-        ident("product_id").alias("product_id"), rating.alias("rating"),
+        "feedback_text", "customer_id", "product_id", "rating",
         F.lit(FEEDBACK_SOURCE).alias("source_system"), F.lit(load_date).cast("date").alias("load_date"))
 
 
@@ -153,16 +161,17 @@ def csv_products_rows(csv_df: DataFrame, load_date: str, order_cols: list[str])
     are rejected instead of failing the load."""
     valid, rejected = split_valid(csv_df, {"product_id_present": F.col("product_id").isNotNull(),
                                            "unit_price_present": F.col("unit_price").isNotNull()})
-    keyed = dense_index(valid, order_cols, name="csv_product_key")
-    out = keyed.select(
-        "csv_product_key", F.col("product_id").cast("int").alias("product_id"),
+    out = dense_index(valid.select(
+        F.col("product_id").cast("int").alias("product_id"),
         *[truncate(c, CSV_CAPS[c]).alias(c) if c in CSV_CAPS else F.col(c)
           for c in ("product_name", "category", "subcategory")],
         F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
         F.coalesce(F.col("stock_quantity").cast("int"), F.lit(0)).alias("stock_quantity"),
         *[truncate(c, CSV_CAPS[c]).alias(c) for c in ("supplier", "country_of_origin")],
-        F.col("weight_kg").cast("decimal(6,2)").alias("weight_kg"), truncate("dimensions", 100).alias("dimensions"),
-        F.lit("csv_source").alias("source_system"), F.lit(load_date).cast("date").alias("load_date"))
+        F.col("weight_kg").cast("decimal(6,2)").alias("weight_kg"), truncate("dimensions", 100).alias("dimensions")),
+        order_cols, name="csv_product_key")
+    out = out.select("csv_product_key", *[c for c in out.columns if c != "csv_product_key"],
+                     F.lit("csv_source").alias("source_system"), F.lit(load_date).cast("date").alias("load_date"))
     return out, rejected
 
 
@@ -175,20 +184,25 @@ SIMPLE_ORDERS_SCHEMA = T.StructType([
 ])
 
 
+# What each converted column of an order must convert to, and whether it may be missing (K-9).
+SIMPLE_ORDER_TYPES = {"order_id": "bigint", "customer_id": "bigint", "total_amount": "decimal(12,2)"}
+
+
 def simple_order_rows(orders: DataFrame, load_date: str, product_id: Column | None = None) -> DataFrame:
     """B-9 / P-12 / P-15 / P-19: fact_orders_simple rows of one load; missing
     order_date -> load date, customer_id 0 when the column is absent, product
-    id 1 (parity) unless given."""
+    id 1 (parity) unless given. Values must have passed ``tolerant_load`` with
+    SIMPLE_ORDER_TYPES: one that does not convert would be NULL here."""
     run = F.lit(load_date).cast("date")
     cols = orders.columns
 
-    def get(c, default):
-        return F.col(c) if c in cols else F.lit(default)
+    def get(c, kind, default):
+        return F.col(c).try_cast(kind) if c in cols else F.lit(default).cast(kind)
     return orders.select(
-        F.col("order_id").cast("long").alias("order_id"), get("customer_id", 0).cast("long").alias("customer_id"),
+        get("order_id", "long", None).alias("order_id"), get("customer_id", "long", 0).alias("customer_id"),
         (product_id if product_id is not None else F.lit(1)).cast("long").alias("product_id"),
-        F.coalesce(F.col("order_date").cast("date"), run).alias("order_date"),
-        get("total_amount", 0).cast("decimal(12,2)").alias("total_amount"),
-        get("status", "Pending").cast("string").alias("status"),
-        get("payment_method", NOT_GIVEN).cast("string").alias("payment_method"),
-        get("shipping_city", NOT_GIVEN).cast("string").alias("shipping_city"), run.alias("load_date"))
+        F.coalesce(to_date("order_date"), run).alias("order_date"),
+        get("total_amount", "decimal(12,2)", 0).alias("total_amount"),
+        get("status", "string", "Pending").alias("status"),
+        get("payment_method", "string", NOT_GIVEN).alias("payment_method"),
+        get("shipping_city", "string", NOT_GIVEN).alias("shipping_city"), run.alias("load_date"))

@@ -1,16 +1,18 @@
 """Business indicators and simple statistics (A-1 ... A-11, D-1 ... D-8).
 
-Every indicator is a partial+final hash aggregate (combined map-side, so a
-hot date or city is reduced before the shuffle). Distinct counts are
-planned by Catalyst as a two-level aggregate on (group, value), which
-spreads a hot group over many reducers.
+Every indicator is a chain of partial+final hash aggregates, combined
+map-side: orders are first reduced per (date, customer) and per (date, city),
+items per (date, product), so a hot date, city or product is spread over the
+second key and reduced before it meets; only reduced rows go on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitrina.operators.clean import NOT_GIVEN
@@ -34,29 +36,46 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def top_value(c, fallback: str | None = None) -> Column:
-    """Most frequent non-NULL value; ties -> the smallest value (A-3).
+def _most_frequent(rows: DataFrame, by: list[str], value: str, n: str = "_c") -> DataFrame:
+    """Per ``by`` the value with the greatest count, ties to the smallest value
+    (A-3). ``rows``: counts per (by, value); NULL values are left out."""
+    pick = F.min_by(value, F.struct(-F.col(n), F.col(value))).alias("_top")
+    rows = rows.where(F.col(value).isNotNull())
+    return rows.groupBy(*by).agg(pick) if by else rows.agg(pick)
 
-    Spark's ``mode`` keeps one counter per distinct value of the group and
-    merges partial results, so memory follows the number of distinct values
-    (e.g. cities), not the number of rows.
-    """
-    m = F.mode(F.col(c) if isinstance(c, str) else c, True)
-    return F.coalesce(m, F.lit(fallback)) if fallback is not None else m
+
+def _per_customer(orders: DataFrame, *by: Column) -> DataFrame:
+    """Orders reduced per (by, customer): rows, sum of amounts, amounts."""
+    amount = F.col("total_amount").cast(MONEY)
+    return orders.groupBy(*by, "customer_id").agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_s"),
+                                                  F.count(amount).alias("_a"))
+
+
+def _totals(variant: str = "simple") -> list[Column]:
+    """Measures over rows of ``_per_customer``. A window whose amounts are all
+    missing has revenue 0; the final run divides by all rows, the simple one
+    by those with an amount."""
+    revenue = F.coalesce(F.sum("_s"), F.lit(0).cast(MONEY))
+    return [F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_orders"),
+            revenue.cast(MONEY_SUM).alias("total_revenue"),
+            ratio(revenue, F.sum("_n" if variant == "final" else "_a")).alias("avg_order_value"),
+            F.count("customer_id").alias("active_customers")]
 
 
 def daily_kpis(orders: DataFrame, date_col: str = "order_date",
                city_fallback: str = SIMPLE_TOP_CITY_FALLBACK) -> DataFrame:
     """A-2 per date: total_orders, total_revenue, avg_order_value,
-    active_customers, top_city. One aggregate, one shuffle on the date."""
-    has_city = "shipping_city" in orders.columns
-    return (orders.groupBy(F.col(date_col).alias("analytics_date"))
-            .agg(F.count(F.lit(1)).alias("total_orders"),
-                 money_sum("total_amount").alias("total_revenue"),
-                 ratio(F.sum(F.col("total_amount").cast(MONEY)), F.count("total_amount")).alias("avg_order_value"),
-                 F.countDistinct("customer_id").alias("active_customers"),
-                 (top_value("shipping_city", city_fallback) if has_city else F.lit(city_fallback))
-                 .alias("top_city")))
+    active_customers, top_city. Orders are reduced per (date, customer) and,
+    for the city, per (date, city); both meet per date."""
+    date = F.col(date_col).alias("analytics_date")
+    out = _per_customer(orders, date).groupBy("analytics_date").agg(*_totals())
+    if "shipping_city" not in orders.columns:
+        return out.withColumn("top_city", F.lit(city_fallback))
+    cities = orders.groupBy(date, "shipping_city").agg(F.count(F.lit(1)).alias("_c"))
+    top = _most_frequent(cities, ["analytics_date"], "shipping_city")
+    same = F.col("t.analytics_date").eqNullSafe(F.col("c.analytics_date"))  # orders without a date are one row
+    return (out.alias("t").join(top.alias("c"), same, "left")
+            .select("t.*", F.coalesce("_top", F.lit(city_fallback)).alias("top_city")))
 
 
 def rolling_kpis(orders: DataFrame, lookback_days: int = 7, date_col: str = "order_date",
@@ -77,18 +96,17 @@ def rolling_kpis(orders: DataFrame, lookback_days: int = 7, date_col: str = "ord
               .select(F.explode(F.sequence(F.col("_d"), F.date_add("_d", lookback_days))).alias("analytics_date"),
                       "_n", "_s")
               .groupBy("analytics_date")
-              .agg(F.sum("_n").alias("total_orders"), F.sum("_s").cast(MONEY_SUM).alias("total_revenue"),
-                   ratio(F.sum("_s"), F.sum("_n")).alias("avg_order_value")))
+              .agg(F.sum("_n").alias("total_orders"),
+                   F.coalesce(F.sum("_s"), F.lit(0)).cast(MONEY_SUM).alias("total_revenue"),
+                   ratio(F.coalesce(F.sum("_s"), F.lit(0)), F.sum("_n")).alias("avg_order_value")))
     customers = (orders.select(d, "customer_id").distinct().select(runs, "customer_id")
                  .groupBy("analytics_date").agg(F.countDistinct("customer_id").alias("active_customers")))
     out = totals.join(customers, "analytics_date", "left")
     if "shipping_city" in orders.columns:
-        cities = (orders.where(F.col("shipping_city").isNotNull())
-                  .groupBy(d, "shipping_city").agg(F.count(F.lit(1)).alias("_c"))
+        cities = (orders.groupBy(d, "shipping_city").agg(F.count(F.lit(1)).alias("_c"))
                   .select(runs, "shipping_city", "_c")
-                  .groupBy("analytics_date", "shipping_city").agg(F.sum("_c").alias("_c"))
-                  .groupBy("analytics_date")
-                  .agg(F.min_by("shipping_city", F.struct(-F.col("_c"), F.col("shipping_city"))).alias("_top")))
+                  .groupBy("analytics_date", "shipping_city").agg(F.sum("_c").alias("_c")))
+        cities = _most_frequent(cities, ["analytics_date"], "shipping_city")
         out = out.join(cities, "analytics_date", "left")
         top = F.coalesce(F.col("_top"), F.lit(city_fallback))
     else:
@@ -100,34 +118,29 @@ def rolling_kpis(orders: DataFrame, lookback_days: int = 7, date_col: str = "ord
 
 def run_kpis(orders: DataFrame, ratings: DataFrame | None, run_date: str, lookback_days: int = 7,
              variant: str = "simple") -> DataFrame:
-    """One KPI row for one run (A-1 / A-2, D-8 complaint_count = ratings <= 2),
-    orders of the look-back window and the ratings of the run in a single aggregate (the two inputs are unioned
-    with a kind marker instead of joined)."""
+    """One KPI row for one run (A-1 / A-2, D-8 complaint_count = ratings <= 2)
+    over the orders of the look-back window and the ratings of the run. Three
+    one-row aggregates, put together by a last one."""
     lo = F.date_sub(F.lit(run_date).cast("date"), lookback_days)
     o = orders.where(F.col("order_date") >= lo)
-    cols = ["customer_id", "total_amount", "shipping_city"]
-    o = o.select(*[F.col(c) if c in o.columns else F.lit(None).cast("string").alias(c) for c in cols],
-                 F.lit(None).cast("double").alias("rating"), F.lit(True).alias("_is_order"))
-    parts = [o]
+    for c in ("customer_id", "total_amount", "shipping_city"):
+        if c not in o.columns:
+            o = o.withColumn(c, F.lit(None).cast("string"))
+    parts = [_per_customer(o).agg(*_totals(variant)),
+             _most_frequent(o.groupBy("shipping_city").agg(F.count(F.lit(1)).alias("_c")), [], "shipping_city")]
     if ratings is not None:
-        parts.append(ratings.select(F.lit(None).cast(o.schema["customer_id"].dataType).alias("customer_id"),
-                                    F.lit(None).cast(o.schema["total_amount"].dataType).alias("total_amount"),
-                                    F.lit(None).cast("string").alias("shipping_city"),
-                                    F.col("rating").cast("double").alias("rating"),
-                                    F.lit(False).alias("_is_order")))
-    u = reduce(DataFrame.unionByName, parts)
-    n = F.count_if(F.col("_is_order"))
+        r = F.col("rating").cast("double")
+        parts.append(ratings.agg(F.avg(r).alias("_rating"), F.count_if(r <= 2).alias("_complaints")))
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    u = u.agg(*[F.max(c).alias(c) for c in u.columns])
     fallback = FINAL_TOP_CITY_FALLBACK if variant == "final" else SIMPLE_TOP_CITY_FALLBACK
-    avg = (ratio(F.sum(F.col("total_amount").cast(MONEY)), n) if variant == "final"
-           else ratio(F.sum(F.col("total_amount").cast(MONEY)), F.count("total_amount")))
-    out = u.agg(n.alias("total_orders"),
-                money_sum("total_amount").alias("total_revenue"),
-                avg.alias("avg_order_value"),
-                F.countDistinct("customer_id").alias("active_customers"),
-                top_value("shipping_city", fallback).alias("top_city"),
-                F.coalesce(F.avg("rating"), F.lit(0.0)).alias("avg_customer_rating"),
-                F.count_if(~F.col("_is_order") & (F.col("rating") <= 2)).alias("complaint_count"))
-    out = out.select(F.lit(run_date).cast("date").alias("analytics_date"), "*")
+    rating, complaints = (F.col("_rating"), F.col("_complaints")) if ratings is not None else (F.lit(None), F.lit(None))
+    average = F.col("avg_order_value")
+    out = u.select(F.lit(run_date).cast("date").alias("analytics_date"), "total_orders", "total_revenue",
+                   (F.coalesce(average, F.lit(0.0)) if variant == "final" else average).alias("avg_order_value"),
+                   "active_customers", F.coalesce("_top", F.lit(fallback)).alias("top_city"),
+                   F.coalesce(rating.cast("double"), F.lit(0.0)).alias("avg_customer_rating"),
+                   F.coalesce(complaints.cast("long"), F.lit(0).cast("long")).alias("complaint_count"))
     if variant == "simple":
         # The simple run writes no row when the window holds no order.
         out = out.where(F.col("total_orders") > 0)
@@ -151,11 +164,23 @@ def product_stats(df: DataFrame, stock="stock_quantity", price="unit_price",
                   F.countDistinct(supplier).alias("suppliers_count"))
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def table_counts(tables: dict[str, DataFrame | Callable[[], DataFrame]]) -> DataFrame:
     """A-6: one row per table (table_name, row_count) plus a 'TOTAL' row.
-    Each count is a map-side partial count; the union is of one-row frames."""
+
+    A table may be given as a function that reads it; one that can't be read
+    (no such path or table) is left out, as the total leaves it out. Each count
+    is a map-side partial count; the union is of one-row frames.
+    """
+    found = {}
+    for name, table in tables.items():
+        try:
+            found[name] = table() if callable(table) else table
+        except AnalysisException:
+            continue
     rows = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-            for name, df in tables.items()]
+            for name, df in found.items()]
+    if not rows:
+        raise ValueError(f"none of the tables can be read: {', '.join(tables)}")
     u = reduce(DataFrame.unionByName, rows)
     total = u.agg(F.sum("row_count").cast("long").alias("row_count")).select(F.lit("TOTAL").alias("table_name"),
                                                                             "row_count")
@@ -200,42 +225,49 @@ def declared_kpis(orders: DataFrame, items: DataFrame, products: DataFrame) -> D
       orders per city and revenue per category as JSON.
     * delivery_success_rate = delivered / (delivered + cancelled + refunded).
 
-    Shuffles: items ⋈ orders on order_id and items ⋈ products on product_id
-    (Catalyst/AQE broadcast products when it is small), then aggregates.
+    Items are reduced per (date, product) once; money, top product, categories
+    and their map all come from that. Orders are reduced per (date, customer)
+    and per (date, city). An item without its order has no date and is left to
+    the rejected rows of the facts; one without its product counts for revenue
+    under the category NOT_GIVEN at no cost.
     """
     o = orders.select("order_id", "customer_id", "order_date", "status", "shipping_city")
-    it = (items.select("order_id", "product_id", "quantity", "total_price")
-          .join(o.select("order_id", "order_date"), "order_id")
-          .join(products.select("product_id", "product_name", "category", "cost_price"), "product_id")
-          .withColumn("cost", (F.col("quantity") * F.col("cost_price")).cast(MONEY)))
-
-    base = (o.groupBy("order_date")
-            .agg(F.count(F.lit(1)).alias("total_orders"),
-                 F.count_if(F.col("status") == "Pending").alias("new_orders"),
-                 F.count_if(F.col("status") == "Cancelled").alias("cancelled_orders"),
-                 F.countDistinct("customer_id").alias("active_customers"),
-                 F.count_if(F.col("status") == "Delivered").alias("_delivered"),
-                 F.count_if(F.col("status").isin("Delivered", "Cancelled", "Refunded")).alias("_closed")))
-    first = (o.groupBy("customer_id").agg(F.min("order_date").alias("order_date"))
-             .groupBy("order_date").agg(F.count(F.lit(1)).alias("new_customers")))
-    city = (o.groupBy("order_date", "shipping_city").agg(F.count(F.lit(1)).alias("n"))
+    rollup = (items.select("order_id", "product_id", "quantity", "total_price")
+              .join(o.select("order_id", "order_date"), "order_id")
+              .groupBy("order_date", "product_id")
+              .agg(F.sum("quantity").alias("_q"), money_sum("total_price").alias("rev")))
+    rollup = (rollup.join(products.select("product_id", "product_name", "category", "cost_price"), "product_id", "left")
+              .withColumn("cost", F.coalesce((F.col("_q") * F.col("cost_price")), F.lit(0)).cast(MONEY_SUM))
+              .withColumn("category", F.coalesce("category", F.lit(NOT_GIVEN))))
+    best = F.struct(F.col("rev"), -F.col("product_id"))
+    sold = (rollup.groupBy("order_date", "category")
+            .agg(F.sum("rev").cast(MONEY_SUM).alias("rev"), F.sum("cost").cast(MONEY_SUM).alias("cost"),
+                 F.max_by(F.struct("product_id", "product_name", "rev"), best).alias("_p"))
             .groupBy("order_date")
+            .agg(F.sum("rev").cast(MONEY_SUM).alias("_rev"), F.sum("cost").cast(MONEY_SUM).alias("total_cost"),
+                 F.max_by("_p", F.struct(F.col("_p.rev"), -F.col("_p.product_id"))).alias("_p"),
+                 F.min_by("category", F.struct(-F.col("rev"), F.col("category"))).alias("top_category"),
+                 F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+                     F.col("category"), F.col("rev").cast("string")))))).alias("revenue_by_category")))
+
+    per_customer = o.groupBy("order_date", "customer_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col("status").isin(*which)).alias(name) for name, which in
+          (("_new", ["Pending"]), ("_cancelled", ["Cancelled"]), ("_delivered", ["Delivered"]),
+           ("_closed", ["Delivered", "Cancelled", "Refunded"]))])
+    # a customer's window has one row a date
+    first = F.min("order_date").over(Window.partitionBy("customer_id")) == F.col("order_date")
+    base = (per_customer.withColumn("_first", F.col("customer_id").isNotNull() & first)
+            .groupBy("order_date")
+            .agg(F.sum("_n").alias("total_orders"), F.sum("_new").alias("new_orders"),
+                 F.sum("_cancelled").alias("cancelled_orders"), F.count("customer_id").alias("active_customers"),
+                 F.count_if("_first").alias("new_customers"), F.sum("_delivered").alias("_delivered"),
+                 F.sum("_closed").alias("_closed")))
+    city = (o.groupBy("order_date", F.coalesce("shipping_city", F.lit(NOT_GIVEN)).alias("shipping_city"))
+            .agg(F.count(F.lit(1)).alias("n")).groupBy("order_date")
             .agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("shipping_city", "n")))))
                  .alias("orders_by_city")))
-    money = (it.groupBy("order_date")
-             .agg(money_sum("total_price").alias("_rev"), money_sum("cost").alias("total_cost")))
-    prod = (it.groupBy("order_date", "product_id", "product_name").agg(money_sum("total_price").alias("rev"))
-            .groupBy("order_date")
-            .agg(F.max_by(F.struct("product_id", "product_name", "rev"),
-                          F.struct(F.col("rev"), -F.col("product_id"))).alias("_p")))
-    cat = (it.groupBy("order_date", "category").agg(money_sum("total_price").alias("rev"))
-           .groupBy("order_date")
-           .agg(F.min_by("category", F.struct(-F.col("rev"), F.col("category"))).alias("top_category"),
-                F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("category"),
-                                                                                 F.col("rev").cast("string"))))))
-                .alias("revenue_by_category")))
-    out = (base.join(first, "order_date", "left").join(city, "order_date", "left")
-           .join(money, "order_date", "left").join(prod, "order_date", "left").join(cat, "order_date", "left"))
+    out = base.join(city, "order_date", "left").join(sold, "order_date", "left")
     profit = (F.col("_rev") - F.col("total_cost")).cast(MONEY_SUM)
     return out.select(
         F.col("order_date").alias("analytics_date"), "total_orders", "new_orders", "cancelled_orders",
@@ -243,8 +275,7 @@ def declared_kpis(orders: DataFrame, items: DataFrame, products: DataFrame) -> D
         F.coalesce(profit, F.lit(0).cast(MONEY_SUM)).alias("total_profit"),
         F.round(F.try_divide(profit.cast("double"), F.col("_rev").cast("double")) * 100, 2).alias("profit_margin"),
         "active_customers",
-        F.coalesce("new_customers", F.lit(0).cast("long")).alias("new_customers"),
-        (F.col("active_customers") - F.coalesce("new_customers", F.lit(0).cast("long"))).alias("returning_customers"),
+        "new_customers", (F.col("active_customers") - F.col("new_customers")).alias("returning_customers"),
         F.col("_p.product_id").alias("top_product_id"), F.col("_p.product_name").alias("top_product_name"),
         F.col("_p.rev").alias("top_product_revenue"),
         "orders_by_city", "top_category", "revenue_by_category",

@@ -5,19 +5,20 @@ tolerant load, partial-column insert, full refresh and versioned commits
 Parquet tables have no MERGE, so a merge is a join that produces the next
 version of the table, written to a new directory and committed by a marker
 (K-10). Both sides of every merge join are unique on the key (the source is
-reduced per key first with a map-side-combinable ``max_by``/``min_by``), so
-no key can be hot in the join.
+always reduced per key first with a map-side-combinable ``max_by``/``min_by``),
+so no key can be hot in the join. Tables that are only ever added to are
+directories of appended parts instead (``append_absent``): a load reads the
+partitions that its rows belong to and writes its new rows, nothing else.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrina.operators.surrogate import tie_break
+from vitrina.session import cut_lineage
 
 _TP, _SP = "_t_present", "_s_present"
 
@@ -48,14 +49,15 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols: list[str] |
       columns keep the target's value on a match -- even a NULL one -- and take
       the source value (or NULL) on an insert.
     * ``order_cols``: batch order of the source; with several source rows of
-      one key the last wins (row-by-row inserts).
+      one key the last wins (row-by-row inserts), without an order the one
+      with the greatest hash.
     * ``touch``: columns set to a value on update and on insert (e.g.
       updated_at = now, K-11); ``insert_only``: set on insert, kept on update
       (e.g. processed_at / created_at).
     Output has the target's columns; one full outer join on the keys.
     """
     keys = _keys(keys)
-    src = last_per_key(source, keys, order_cols) if order_cols is not None else source
+    src = last_per_key(source, keys, order_cols or [])
     upd = [c for c in (update_cols if update_cols is not None else src.columns) if c not in keys]
     touch, insert_only = touch or {}, insert_only or {}
     t = target.withColumn(_TP, F.lit(True)).alias("t")
@@ -88,7 +90,7 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys, order_cols: lis
     new key is inserted, everything else is ignored. Target rows pass
     untouched; the anti join reads only the target's key columns."""
     keys = _keys(keys)
-    src = last_per_key(source, keys, order_cols, first=True) if order_cols is not None else source
+    src = last_per_key(source, keys, order_cols or [], first=True)
     new = src.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(conform(new, target.schema))
 
@@ -140,10 +142,6 @@ def split_valid(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, Da
             tagged.where(F.size("_failed") > 0).withColumnRenamed("_failed", "failed_checks"))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 # ------------------------------------------------------------------ storage
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -151,18 +149,20 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def committed_versions(spark: SparkSession, base: str) -> list[int]:
-    """Versions under ``base`` whose write finished (Spark's _SUCCESS marker)."""
+def _versions(spark: SparkSession, base: str) -> dict[int, bool]:
+    """Version -> whether its write finished (Spark's _SUCCESS marker)."""
     fs, p, jvm = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
+    out = {}
+    for st in fs.listStatus(p) if fs.exists(p) else []:
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
+            out[int(name[2:])] = bool(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))
+    return out
+
+
+def committed_versions(spark: SparkSession, base: str) -> list[int]:
+    """Versions under ``base`` whose write finished."""
+    return sorted(v for v, done in _versions(spark, base).items() if done)
 
 
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -181,16 +181,48 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     """K-10 all-or-nothing: write the next version to a new directory. Readers
     see it only once the job committed (``_SUCCESS``); a failed job leaves the
     previous version current. Returns the new directory."""
-    spark = df.sparkSession
-    vs = committed_versions(spark, base)
-    path = f"{base.rstrip('/')}/v={(vs[-1] + 1 if vs else 1):06d}"
-    w = df.write.mode("overwrite")
+    path = f"{base.rstrip('/')}/v={max(_versions(df.sparkSession, base), default=0) + 1:06d}"
+    w = df.write.mode("errorifexists")  # of two writers at once the second fails
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
+def read_appended(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """A table of appended parts: the rows of every committed part; filters on
+    the partition column skip the files of other partitions."""
+    parts = [f"{base.rstrip('/')}/v={v:06d}" for v in committed_versions(spark, base)]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    frames = [spark.read.schema(schema).parquet(p) for p in parts]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.select(*schema.fieldNames())
+
+
+def append_absent(spark: SparkSession, base: str, schema: T.StructType, source: DataFrame, keys,
+                  partition_col: str, order_cols: list[str] | None = None) -> int:
+    """K-4 on storage: ``ON CONFLICT (keys) DO NOTHING`` for a table partitioned
+    by a column that is part of the key. Only the partitions that the source
+    has rows of are read, only new rows are written, as one more committed
+    part; no file that exists is touched. Returns the rows added. Idempotent:
+    the same source again adds nothing."""
+    keys = _keys(keys)
+    if partition_col not in keys:
+        raise ValueError(f"{partition_col} must be part of the key")
+    new = last_per_key(conform(source, schema), keys, order_cols or [], first=True)
+    # one value per load date of the batch; a load has one, a catch-up run a few
+    dates = [r[0] for r in new.select(partition_col).distinct().collect()]
+    there = read_appended(spark, base, schema).where(F.col(partition_col).isin(dates)).select(*keys)
+    new = cut_lineage(new.join(there, keys, "left_anti").select(*schema.fieldNames()))
+    added = new.count()
+    if added:
+        write_version(new, base, [partition_col])
+    return added
+
+
 def ensure_table(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """K-6 ``CREATE TABLE IF NOT EXISTS``: an empty first version."""
     if not committed_versions(spark, base):

@@ -8,14 +8,14 @@ from __future__ import annotations
 RUN_DATE = "1998-08-02"
 
 GEO = """geo AS (SELECT n_nationkey, n_name AS city, r_name AS country
-  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
 CUSTOMERS = GEO + """,
 customers_s AS (SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
   split_part(c_name, '#', 2) AS last_name,
   lower(split_part(c_name, '#', 1)) || '.' || split_part(c_name, '#', 2) || '@example.com' AS email,
   '+7' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS phone, city, country, c_mktsegment AS customer_segment
-  FROM customer JOIN geo ON c_nationkey = n_nationkey)"""
+  FROM customer LEFT JOIN geo ON c_nationkey = n_nationkey)"""
 
 CUSTOMERS_RAW = GEO + """,
 customers_raw AS (SELECT c_custkey AS customer_id,
@@ -26,7 +26,7 @@ customers_raw AS (SELECT c_custkey AS customer_id,
   CASE WHEN c_acctbal < 0 THEN NULL ELSE city END AS city,
   CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE country END AS country,
   CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_mktsegment END AS customer_segment
-  FROM customer JOIN geo ON c_nationkey = n_nationkey)"""
+  FROM customer LEFT JOIN geo ON c_nationkey = n_nationkey)"""
 
 STATUS = """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'Refunded'
        WHEN o_orderstatus = 'F' THEN 'Delivered'
@@ -42,7 +42,7 @@ ORDERS = f"""orders_s AS (SELECT {ORDER_COLS} FROM orders)"""
 
 ORDERS_CITY = GEO + f""",
 orders_c AS (SELECT {ORDER_COLS}, city AS shipping_city, country AS shipping_country
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN geo ON c_nationkey = n_nationkey)"""
 
 PRODUCTS = """products_s AS (SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
   p_brand AS brand, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,

@@ -20,7 +20,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation -> (city, country). 25 rows by definition: safe to broadcast."""
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
                        .select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("country")))
 
 
@@ -30,7 +30,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     first = F.split_part(c.c_name, F.lit("#"), F.lit(1))
     last = F.split_part(c.c_name, F.lit("#"), F.lit(2))
-    return (c.join(_geo(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
+    return (c.join(_geo(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"), "left")
             .select(c.c_custkey.alias("customer_id"),
                     first.alias("first_name"),
                     last.alias("last_name"),
@@ -45,7 +45,7 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     names and e-mails, missing city / country / segment."""
     c = read_table(spark, sf_dir, "customer")
     g = _geo(spark, sf_dir)
-    j = c.join(g, c.c_nationkey == g.n_nationkey)
+    j = c.join(g, c.c_nationkey == g.n_nationkey, "left")
     seg, city = F.col("c_mktsegment"), F.col("city")
     first = (F.when(F.col("c_acctbal") < 0,
                     F.concat(F.lit("\t"), F.lower(seg), F.lit("'"), F.lower(city), F.lit(" ")))
@@ -63,7 +63,7 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_status(col) -> F.Column:
+def order_status() -> F.Column:
     """Shop status from (o_orderstatus, o_orderpriority)."""
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
     return (F.when((st == "F") & (pr == "1-URGENT"), "Refunded")
@@ -75,21 +75,22 @@ def order_status(col) -> F.Column:
 
 def orders(spark: SparkSession, sf_dir: str, with_city: bool = False) -> DataFrame:
     """order_id, customer_id, order_date, order_time ('HH:mm:ss'), total_amount
-    decimal(12,2), status, payment_method [, shipping_city, shipping_country]."""
+    decimal(12,2), status, payment_method [, shipping_city, shipping_country].
+    An order whose customer or nation is missing stays, without a city."""
     o = read_table(spark, sf_dir, "orders")
     cols = [o.o_orderkey.alias("order_id"),
             o.o_custkey.alias("customer_id"),
             o.o_orderdate.cast("date").alias("order_date"),
             seconds_to_hms((o.o_orderkey * 7919) % 86400).alias("order_time"),
             o.o_totalprice.cast("decimal(12,2)").alias("total_amount"),
-            order_status(None).alias("status"),
+            order_status().alias("status"),
             o.o_orderpriority.alias("payment_method")]
     if not with_city:
         return o.select(*cols)
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     g = _geo(spark, sf_dir)
-    return (o.join(c, o.o_custkey == c.c_custkey)
-             .join(g, F.col("c_nationkey") == g.n_nationkey)
+    return (o.join(c, o.o_custkey == c.c_custkey, "left")
+             .join(g, F.col("c_nationkey") == g.n_nationkey, "left")
              .select(*cols, F.col("city").alias("shipping_city"), F.col("country").alias("shipping_country")))
 
 
@@ -115,7 +116,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchase events as payments."""
+    """Payments are the purchase events, by definition of this stand-in; other
+    events are not payments."""
     e = read_table(spark, sf_dir, "events")
     return (e.where(e.event_type == "purchase")
              .select(e.event_id.alias("payment_id"),
