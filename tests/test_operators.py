@@ -8,7 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from vitrina.functions import clip_rating, email_norm, title_case, to_date, to_decimal, truncate, ustrip
+from vitrina.functions import clip_rating, email_norm, title_case, to_date, to_decimal, to_int, truncate, ustrip
 from vitrina.operators import clean, dims, kpi, merge, quality
 from vitrina.operators.surrogate import dense_index
 from vitrina.sources.csv import read_csv
@@ -187,3 +187,112 @@ def test_document_scan_object_ids_and_missing_fields(spark):
     assert rows["FB001"]["customer_name"] is None and rows["FB002"]["sentiment_score"] is None
     prev = {r["feedback_id"]: r for r in sample_documents(docs, n=0).collect()}
     assert prev["FB001"]["comment"] == "x" * 50 + "..." and "_id" not in prev["FB001"].asDict()
+
+
+def test_title_case_is_pythons(spark):
+    rows = ["中abc", "ǆan", "ﬁx it", "ΑΣ ΟΔΟΣ", "éCOLE 3rd a1b", "ªb cª", "ⅷa ⅷ", "they're", "a__b--c  d", "ÅNGSTRÖM", ""]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, s string").orderBy("i")
+    assert col_values(df.select(title_case("s")), 0) == [s.strip().title() for s in rows]
+
+
+def test_numbers_beyond_the_type_are_not_zero(spark):
+    df = spark.createDataFrame([("10000000000.00",), ("x",), ("7",)], "s string")
+    assert col_values(df.select(to_decimal("s", 12, 2, default=0)), 0) == [None, Decimal("0.00"), Decimal("7.00")]
+    df = spark.createDataFrame([("5.0",), ("7",), ("4.5",), ("x",), ("1e20",)], "s string")
+    assert col_values(df.select(to_int("s", 0)), 0) == [5, 7, 0, 0, 0]
+
+
+def test_dates_in_other_forms(spark):
+    rows = ["2024-01-05", "01/05/2024", "20240105", "Jan 5 2024", "2024-01-05T10:00:00", "5 Jan 2024", "2024/1/5"]
+    df = spark.createDataFrame([(r,) for r in rows], "s string")
+    assert col_values(df.select(to_date("s")), 0) == [dt.date(2024, 1, 5)] * len(rows)
+
+
+def test_csv_by_name_with_line_breaks_and_long_rows(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="vitrina-csv-"), "p.csv")
+    lines = ["stock_quantity,product_name,product_id,more,created_at,unit_price",
+             '5.0,"two\nlines, quoted",7.0,x,2024-01-01,1.50',
+             "1,long,2,x,2024-01-01T10:00:00,,EXTRA",
+             "1,short,3",
+             "n,stamp,4,x,2024-01-01T10:00:00,2"]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines))
+    df, report = read_csv(spark, path, with_report=True)
+    rows = {r["product_id"]: r for r in df.collect()}
+    assert sorted(rows) == [3, 4, 7] and "supplier" not in df.columns
+    assert rows[7]["product_name"] == "two\nlines, quoted" and rows[7]["stock_quantity"] == 5
+    assert rows[7]["created_at"] == dt.datetime(2024, 1, 1) and rows[4]["created_at"] == dt.datetime(2024, 1, 1, 10)
+    assert rows[4]["stock_quantity"] is None and rows[3]["created_at"] is None
+    assert tuple(report.first()) == (4, 1, 1)
+    rep = quality.validation_report(df, ["product_id", "supplier"]).first()
+    assert not rep["is_valid"] and rep["errors"] == ["missing required column: supplier"]
+
+
+def test_malformed_documents_are_returned(spark):
+    from vitrina.sources.documents import read_documents
+    path = os.path.join(tempfile.mkdtemp(prefix="vitrina-docs-"), "d.json")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('{"a": 1}\n{"a": \n{"a": 2, "b": "x"}\n')
+    good, bad = read_documents(spark, path, "a INT, b STRING", malformed=True)
+    assert sorted(r["a"] for r in good.collect()) == [1, 2] and [r["line"] for r in bad.collect()] == ['{"a": ']
+    assert good.count() == 2 and good.select("b").count() == 2
+
+
+def test_merges_without_an_order_keep_keys_unique(spark):
+    tgt = spark.createDataFrame([(1, "old")], "id int, v string")
+    src = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id int, v string")
+    assert sorted(r["id"] for r in merge.upsert(tgt, src, "id").collect()) == [1, 2]
+    assert sorted(r["id"] for r in merge.insert_if_absent(tgt, src, "id").collect()) == [1, 2]
+
+
+def test_defaults_of_absent_columns(spark):
+    schema = spark.createDataFrame([], "id long, state string, created_at date").schema
+    df = spark.createDataFrame([(1, None)], "id int, state string")
+    out = merge.conform(df, schema, {"state": "new", "created_at": F.lit("2024-01-01").cast("date")})
+    assert out.first() == (1, "new", dt.date(2024, 1, 1)) and out.schema.simpleString() == schema.simpleString()
+
+
+def test_two_writers_of_one_version(spark):
+    base = tempfile.mkdtemp(prefix="vitrina-table-")
+    df = spark.range(3)
+    first = merge.write_version(df, base)
+    os.makedirs(f"{base}/v=000002")  # a failed attempt: not committed, not written over
+    second = merge.write_version(df, base)
+    assert (first[-3:], second[-3:]) == ("001", "003") and merge.committed_versions(spark, base) == [1, 3]
+
+
+def test_counts_skip_a_table_that_cannot_be_read(spark):
+    got = kpi.table_counts({"a": spark.range(3), "b": lambda: spark.read.parquet("/no/such/table"), "c": lambda: spark.range(2)})
+    assert {r["table_name"]: r["row_count"] for r in got.collect()} == {"a": 3, "c": 2, "TOTAL": 5}
+
+
+def test_kpis_of_missing_amounts_and_customers(spark):
+    o = spark.createDataFrame([(1, None, dt.date(2024, 1, 1), None, None), (2, None, dt.date(2024, 1, 1), None, "Tver")],
+                              "order_id int, customer_id int, order_date date, total_amount string, shipping_city string")
+    row = kpi.run_kpis(o, None, "2024-01-02", variant="final").first()
+    assert (row["total_orders"], row["total_revenue"], row["avg_order_value"], row["active_customers"]) == (2, 0, 0.0, 0)
+    assert kpi.daily_kpis(o).first()["top_city"] == "Tver"
+    assert kpi.run_kpis(o.limit(0), None, "2024-01-02", variant="final").first()["total_orders"] == 0
+
+
+def test_catalog_probes(spark):
+    from vitrina.sources.jdbc import list_tables, table_exists
+    spark.range(1).createOrReplaceTempView("probe_me")
+    assert "probe_me" in list_tables(spark) and table_exists(spark, "probe_me") and not table_exists(spark, "not_there")
+
+
+def test_rating_with_a_decimal_point(spark):
+    from vitrina.operators.facts import fact_feedback
+    df = spark.createDataFrame([("a", "5.0"), ("b", "x")], "_id string, rating string")
+    got = {r["feedback_key"]: r["rating"] for r in fact_feedback(df, "2024-01-01", ["_id"]).collect()}
+    assert got == {1: 5, 2: 0}
+
+
+def test_asof_binding_of_a_hot_customer(spark):
+    from vitrina.operators.facts import asof_bind
+    dim = spark.range(50).selectExpr("id as customer_key", "id as customer_id", "date'2024-01-01' as effective_date",
+                                     "date'9999-12-31' as expiration_date")
+    facts = spark.range(9000).selectExpr("id as order_id", "if(id % 3 = 0, 7, id % 50) as customer_id",
+                                         "date'2024-05-05' as order_date")
+    out = asof_bind(facts, dim, "customer_id", "order_date", "customer_id", "customer_key")
+    assert out.count() == 9000 and out.where("customer_key <> customer_id or customer_key is null").count() == 0

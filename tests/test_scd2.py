@@ -118,3 +118,24 @@ def test_scd2_late_run_is_rejected(spark):
     assert rejected == 1
     assert counts == {"new_records": 0, "updated_records": 0, "unchanged_records": 0}
     assert d2.where(F.col("city") == "Y").count() == 0
+
+
+def test_scd2_rows_without_a_key_are_rejected(spark):
+    batch = [{"customer_id": k, "seq": i, "first_name": "A", "last_name": "B", "email": "e", "city": "X"}
+             for i, k in enumerate([1, None, 2, None])]
+    d, counts, rejected = run_spark(spark, empty_dim(spark), batch, dt.date(2024, 1, 1), 2)
+    assert rejected == 2 and counts["new_records"] == 2 and d.count() == 2
+
+
+def test_scd2_keys_that_come_once_skip_the_buckets(spark, monkeypatch):
+    from vitrina.operators import scd2
+
+    def never(*_):
+        raise AssertionError("keys that come once need no buckets")
+    dim = spark.range(100).selectExpr("id as customer_id", "id as seq", "'a' as first_name", "'b' as last_name",
+                                      "'c' as email", "'d' as city")
+    monkeypatch.setattr(scd2, "_chained", never)
+    first, _, _ = scd2_merge(empty_dim(spark), dim, "2024-01-01", ["seq"])
+    m = scd2.merge_current(first.checkpoint(), dim.withColumn("city", F.lit("e")), "2024-01-02", ["seq"], last_key=100)
+    assert m.current.count() == 100 and m.closed.count() == 100 and m.counts.first()["updated_records"] == 100
+    assert m.current.agg(F.min("customer_key"), F.max("customer_key")).first() == (101, 200)

@@ -71,7 +71,7 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols: list[str] |
         if c in keys:
             out.append(F.col(c))
             continue
-        sval = F.col(f"_s_{c}").cast(f.dataType) if c in src.columns else F.lit(None).cast(f.dataType)
+        sval = F.col(f"_s_{c}").try_cast(f.dataType) if c in src.columns else F.lit(None).cast(f.dataType)
         if c in touch:
             e = F.when(sp, touch[c]).otherwise(F.col(f"t.{c}"))
         elif c in insert_only:
@@ -97,7 +97,8 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys, order_cols: lis
 
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
     """Partial-column insert (K-7, K-12): select the target's columns in its
-    order, cast, and give absent columns their default (or NULL)."""
+    order, cast, and give absent columns their default (or NULL). Rows whose
+    values do not convert are for ``tolerant_load`` to set aside before."""
     defaults = defaults or {}
     cols = []
     for f in schema.fields:
@@ -109,7 +110,7 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -
             e = _lit(defaults[f.name])
         else:
             e = F.lit(None)
-        cols.append(e.cast(f.dataType).alias(f.name))
+        cols.append(e.try_cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
@@ -223,6 +224,26 @@ def append_absent(spark: SparkSession, base: str, schema: T.StructType, source:
     return added
 
 
+REJECTED_SCHEMA = "run_date date, table_name string, reject_reason string, row string"
+
+
+def write_rejected(rejected: DataFrame, base: str, run_date: str, table_name: str) -> None:
+    """Rows that a load did not take, as JSON with their reason; a re-run of the
+    same date and table replaces them."""
+    rest = [c for c in rejected.columns if c != "reject_reason"]
+    rows = rejected.select("reject_reason", F.to_json(F.struct(*rest)).alias("row"))
+    rows.write.mode("overwrite").parquet(f"{base.rstrip('/')}/run_date={run_date}/table_name={table_name}")
+
+
+def read_rejected(spark: SparkSession, base: str) -> DataFrame:
+    """(run_date, table_name, reject_reason, row) of all runs; none before the first."""
+    fs, p, _ = _fs(spark, base)
+    if not fs.exists(p):
+        return spark.createDataFrame([], REJECTED_SCHEMA)
+    return (spark.read.schema(REJECTED_SCHEMA).parquet(base)
+            .select("run_date", "table_name", "reject_reason", "row"))
+
+
 def ensure_table(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """K-6 ``CREATE TABLE IF NOT EXISTS``: an empty first version."""
     if not committed_versions(spark, base):

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def missing_total(df: DataFrame) -> Column:
@@ -71,13 +72,29 @@ def check_suite(checks: list[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def metric_rows(section: str, one_row: DataFrame) -> DataFrame:
-    """Q-6: one-row frame of metrics -> long rows (section, metric, value)."""
-    cols = one_row.columns
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value"))
-                                for c in cols]))
-    return one_row.select(stack.alias("_m")).select(F.lit(section).alias("section"), "_m.metric", "_m.value")
-
-
-def pipeline_report(sections: dict[str, DataFrame]) -> DataFrame:
-    """Q-6 final report: union of long-format sections."""
-    return reduce(DataFrame.unionByName, [metric_rows(k, v) for k, v in sections.items()])
+    """Q-6: one-row frame of metrics -> long rows (section, metric, value_long,
+    value_double, value_text): whole numbers, other numbers and anything else
+    each have a column of their type."""
+    def value(f: T.StructField) -> Column:
+        kinds = {"value_long": isinstance(f.dataType, T.IntegralType),
+                 "value_double": isinstance(f.dataType, (T.FractionalType, T.DecimalType))}
+        kinds["value_text"] = not any(kinds.values())
+        types = {"value_long": "bigint", "value_double": "double", "value_text": "string"}
+        return F.struct(F.lit(f.name).alias("metric"), *[
+            (F.col(f.name) if mine else F.lit(None)).cast(types[k]).alias(k) for k, mine in kinds.items()])
+    stack = F.explode(F.array(*[value(f) for f in one_row.schema.fields]))
+    return one_row.select(stack.alias("_m")).select(F.lit(section).alias("section"), "_m.*")
+
+
+def named_rows(section: str, rows: DataFrame, name: str, value: str) -> DataFrame:
+    """Long rows of a frame of (name, count) rows, such as table counts."""
+    return rows.select(F.lit(section).alias("section"), F.col(name).cast("string").alias("metric"),
+                       F.col(value).cast("bigint").alias("value_long"), F.lit(None).cast("double").alias("value_double"),
+                       F.lit(None).cast("string").alias("value_text"))
+
+
+def pipeline_report(sections: dict[str, DataFrame | tuple[DataFrame, str, str]]) -> DataFrame:
+    """Q-6 final report: union of long-format sections, each a one-row frame of
+    metrics or (rows, name column, count column)."""
+    return reduce(DataFrame.unionByName, [named_rows(k, *v) if isinstance(v, tuple) else metric_rows(k, v)
+                                          for k, v in sections.items()])

@@ -91,8 +91,11 @@ def clip_rating(e: str) -> str:
 
 SQL: dict[str, str] = {}
 
-SQL["scan_filter_project"] = """SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date
-FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000"""
+SQL["scan_filter_project"] = """SELECT o_orderkey, o_custkey, round(o_totalprice, 1) AS o_totalprice,
+  CAST(o_orderdate AS DATE) AS order_date FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000"""
+
+SQL["limited_sql_extract"] = """SELECT o_orderkey, coalesce(o_orderpriority, 'none') AS priority
+FROM orders ORDER BY o_orderkey LIMIT 10"""
 
 SQL["lookback_window"] = f"""WITH {ORDERS}
 SELECT * FROM orders_s WHERE order_date >= DATE '{RUN_DATE}' - INTERVAL 7 DAY"""

@@ -230,9 +230,11 @@ FROM fo JOIN dd ON fo.date_key = dd.date_key GROUP BY dd.full_date"""
 SQL["fact_payments"] = f"""WITH {CUST_BATCHES}, {PAYMENTS}
 SELECT c.customer_key, CAST(strftime(p.payment_ts, '%Y%m%d') AS INTEGER) AS date_key,
   CAST(hour(p.payment_ts) * 10000 + minute(p.payment_ts) * 100 + second(p.payment_ts) AS INTEGER) AS time_key,
-  p.payment_id, p.customer_id, p.payment_amount, p.payment_method, p.payment_status,
+  p.payment_id, l.order_id, p.customer_id, p.payment_amount, p.payment_method, p.payment_status,
   'postgres_source' AS source_system, DATE '{RUN_DATE}' AS load_date
-FROM payments_s p LEFT JOIN dim2 c ON p.customer_id = c.customer_id
+FROM payments_s p LEFT JOIN (SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS order_id
+    FROM orders GROUP BY o_custkey) l ON p.customer_id = l.o_custkey
+  LEFT JOIN dim2 c ON p.customer_id = c.customer_id
   AND CAST(p.payment_ts AS DATE) >= c.effective_date AND CAST(p.payment_ts AS DATE) < c.expiration_date"""
 
 SQL["orphan_payments"] = f"""WITH {PAYMENTS}
@@ -305,13 +307,19 @@ SELECT order_date AS analytics_date, count(*) AS total_orders, CAST(sum(total_am
     coalesce(mode() WITHIN GROUP (ORDER BY shipping_city), 'Не указан') AS top_city
 FROM oc GROUP BY order_date ORDER BY analytics_date DESC LIMIT 1"""
 
-_CSV = """csv AS (SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name, p_type AS category,
+_CSV = """csv AS (SELECT CAST(p_partkey AS INTEGER) AS product_id,
+    CASE WHEN p_size = 7 THEN 'new' || chr(10) ELSE '' END || p_name AS product_name, p_type AS category,
     p_brand AS subcategory, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price, p_size AS stock_quantity,
-    'Supplier "' || p_brand || '"' AS supplier, CASE WHEN p_size < 5 THEN NULL ELSE 'Russia' END AS country_of_origin,
+    'Supplier "' || p_brand || '", Ltd' AS supplier, CASE WHEN p_size < 5 THEN NULL ELSE 'Russia' END AS country_of_origin,
     CAST(p_size / 10 AS DECIMAL(6,2)) AS weight_kg,
-    CASE WHEN p_size = 1 OR p_size BETWEEN 10 AND 19 THEN NULL ELSE '10x20x30' END AS dimensions
+    CASE WHEN p_size = 1 OR p_size BETWEEN 10 AND 19 THEN NULL ELSE '10x20x30' END AS dimensions,
+    CASE WHEN p_size = 1 THEN NULL WHEN p_size < 25 THEN TIMESTAMP '2024-01-01 00:00:00'
+      ELSE TIMESTAMP '2024-01-01 10:00:00' END AS created_at,
+    CASE WHEN p_size = 1 OR p_size > 45 THEN NULL ELSE TIMESTAMP '2024-02-01 12:30:00' END AS updated_at
   FROM part WHERE p_size <> 50)"""
 
+SQL["csv_timestamps"] = f"WITH {_CSV}\nSELECT product_id, created_at, updated_at FROM csv"
+
 SQL["csv_products"] = f"""WITH {_CSV}
 SELECT row_number() OVER (ORDER BY product_id) AS csv_product_key, product_id, substr(product_name, 1, 255)
     AS product_name, substr(category, 1, 100) AS category, substr(subcategory, 1, 100) AS subcategory, unit_price,
@@ -324,12 +332,101 @@ SELECT count(*) AS total_products, CAST(sum(stock_quantity) AS BIGINT) AS total_
   coalesce(CAST(sum(unit_price) AS DOUBLE) / count(unit_price), 0.0) AS avg_price,
   count(DISTINCT category) AS categories_count, count(DISTINCT supplier) AS suppliers_count FROM csv"""
 
-SQL["datagen_rules"] = """SELECT 'customers' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS violations
-  FROM customer
-UNION ALL SELECT 'products', count(*), 0 FROM part
-UNION ALL SELECT 'orders', count(*), 0 FROM orders
-UNION ALL SELECT 'order_items', NULL, 0
-UNION ALL SELECT 'feedback', count(*), 0 FROM documents"""
-
 SQL["current_lookup_payments"] = f"""WITH {CUST_BATCHES}, {PAYMENTS}
 SELECT p.*, c.customer_key FROM payments_s p LEFT JOIN dim2 c ON p.customer_id = c.customer_id AND c.is_current"""
+
+SQL["rejected_orders"] = f"""WITH {ITEMS}
+SELECT i.order_id, i.product_id, i.quantity, i.total_price AS total_amount, 'order_exists' AS reject_reason FROM items_s i
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = i.order_id AND o.o_orderdate < DATE '{SPLIT}')"""
+
+SQL["scd2_rejected"] = f"""WITH {CUST_BATCHES},
+k AS (SELECT CASE WHEN city <> 'CHINA' THEN customer_id END AS customer_id, seq, email FROM b2)
+SELECT customer_id, seq, email, 'no natural key' AS reject_reason FROM k WHERE customer_id IS NULL
+UNION ALL SELECT customer_id, seq, email, 'late' FROM k
+WHERE customer_id IN (SELECT customer_id FROM b1)"""
+
+SQL["kpis_with_orphans"] = f"""WITH {CUSTOMERS}, {ORDERS},
+o AS (SELECT s.*, c.city AS shipping_city FROM orders_s s LEFT JOIN
+  (SELECT * FROM customers_s WHERE country <> 'ASIA') c ON s.customer_id = c.customer_id)
+SELECT order_date AS analytics_date, count(*) AS total_orders,
+  CAST(sum(total_amount) AS DECIMAL(22,2)) AS total_revenue,
+  CAST(sum(total_amount) AS DOUBLE) / count(total_amount) AS avg_order_value,
+  count(DISTINCT customer_id) AS active_customers,
+  coalesce(mode() WITHIN GROUP (ORDER BY shipping_city) FILTER (WHERE shipping_city IS NOT NULL), 'Не указан') AS top_city
+FROM o GROUP BY order_date"""
+
+SQL["orphan_orders"] = f"""WITH {ORDERS}
+SELECT * FROM orders_s o WHERE o.customer_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = o.customer_id)"""
+
+SQL["run_kpis_final"] = f"""WITH {ORDERS_CITY}, {FEEDBACK},
+o AS (SELECT * FROM orders_c WHERE order_date >= DATE '{RUN_DATE}' - INTERVAL 7 DAY),
+r AS (SELECT TRY_CAST(rating_raw AS DOUBLE) AS rating FROM feedback_s)
+SELECT DATE '{RUN_DATE}' AS analytics_date, (SELECT count(*) FROM o) AS total_orders,
+  (SELECT CAST(coalesce(sum(total_amount), 0) AS DECIMAL(22,2)) FROM o) AS total_revenue,
+  (SELECT coalesce(CAST(sum(total_amount) AS DOUBLE) / nullif(count(*), 0), 0.0) FROM o) AS avg_order_value,
+  (SELECT count(DISTINCT customer_id) FROM o) AS active_customers,
+  (SELECT coalesce(mode() WITHIN GROUP (ORDER BY shipping_city), 'Москва') FROM o) AS top_city,
+  (SELECT coalesce(avg(rating), 0.0) FROM r) AS avg_customer_rating,
+  (SELECT count(*) FILTER (WHERE rating <= 2) FROM r) AS complaint_count"""
+
+SQL["clean_products"] = f"""WITH {PRODUCTS}
+SELECT product_id, product_name,
+  coalesce(CASE WHEN stock_quantity > 5 THEN category END, 'Другое') AS category,
+  coalesce(CASE WHEN stock_quantity % 3 > 0 THEN brand END, 'Неизвестно') AS brand,
+  CASE WHEN stock_quantity = 10 THEN CAST(0 AS DECIMAL(10,2)) WHEN stock_quantity = 11 THEN NULL ELSE unit_price END
+    AS unit_price,
+  CASE WHEN stock_quantity < 48 THEN stock_quantity END AS stock_quantity FROM products_s"""
+
+SQL["cleaned_events"] = """WITH e AS (SELECT user_id, event_id, ts,
+    CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS event_type FROM events)
+SELECT user_id, event_id, ts, coalesce(event_type, 'unknown') AS event_type FROM (SELECT *,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) AS rn FROM e) WHERE rn = 1"""
+
+SQL["normalized_orders"] = """SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS order_date,
+  o_orderpriority AS payment_method FROM orders"""
+
+SQL["dim_products_simple"] = f"""WITH {PRODUCTS}
+SELECT product_id, product_name, CASE WHEN stock_quantity > 25 THEN NULL ELSE category END AS category,
+  CASE WHEN stock_quantity > 25 THEN brand ELSE 'new' END AS brand, CAST(unit_price + 1 AS DECIMAL(10,2)) AS unit_price,
+  stock_quantity FROM products_s"""
+
+SQL["total_price"] = f"""WITH {PRODUCTS}, {ITEMS}
+SELECT order_id, line_number, quantity, unit_price, CAST(quantity * unit_price AS DECIMAL(12,2)) AS total_price
+FROM items_s LEFT JOIN products_s USING (product_id)"""
+
+SQL["customer_history_ordered"] = f"""WITH {CUST_BATCHES}
+SELECT row_number() OVER (ORDER BY customer_id, effective_date, customer_key) AS row_no, customer_id, effective_date,
+  is_current FROM dim2"""
+
+SQL["document_scan"] = """SELECT CAST(event_id AS VARCHAR) AS _id, CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+  CASE WHEN event_type <> 'error' THEN "value" END AS value,
+  CASE WHEN event_type = 'error' THEN 'malformed document' END AS reject_reason FROM events"""
+
+
+def _long(section: str, source: str, long: list[str] = (), double: list[str] = (), text: list[str] = ()) -> str:
+    kinds = [("value_long", "BIGINT", long), ("value_double", "DOUBLE", double), ("value_text", "VARCHAR", text)]
+    rows = []
+    for kind, _, names in kinds:
+        for n in names:
+            values = ", ".join(f"CAST({n if k == kind else 'NULL'} AS {t}) AS {k}" for k, t, _ in kinds)
+            rows.append(f"SELECT '{section}' AS section, '{n}' AS metric, {values} FROM {source}")
+    return "\nUNION ALL ".join(rows)
+
+
+def _counts(section: str, source: str, name: str, n: str) -> str:
+    return (f"SELECT '{section}', {name}, CAST({n} AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR) FROM {source}")
+
+
+_TABLES = "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+                              for t in ("customer", "orders", "lineitem", "part"))
+SQL["load_report"] = f"""WITH tables_ AS ({_TABLES}), ps AS ({SQL["product_stats"]}), tc AS ({SQL["top_categories"]}),
+rs AS ({SQL["rating_stats"]}), lk AS ({SQL["latest_kpi"]})
+{_long("csv_stats", "ps", ["total_products", "total_stock", "categories_count", "suppliers_count"], ["avg_price"])}
+UNION ALL {_long("feedback", "rs", ["feedback_count"], ["avg_rating", "avg_nonzero_rating"])}
+UNION ALL {_long("latest_kpi", "lk", ["total_orders", "active_customers"], ["total_revenue", "avg_order_value"],
+                 ["analytics_date", "top_city"])}
+UNION ALL {_counts("table_counts", "tables_", "table_name", "row_count")}
+UNION ALL {_counts("table_counts", "(SELECT sum(row_count) AS n FROM tables_)", "'TOTAL'", "n")}
+UNION ALL {_counts("top_categories", "tc", "category", '"count"')}"""

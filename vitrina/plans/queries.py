@@ -34,10 +34,18 @@ def register(name: str):
 def q_scan_filter_project(spark, d):
     """S-1, P-1, P-2: projection + predicate as SQL text, pushed to the scan."""
     o = read_table(spark, d, "orders")
-    return extract_table(o, "o_orderkey, o_custkey, o_totalprice, cast(o_orderdate as date) as order_date",
+    return extract_table(o, "o_orderkey, o_custkey, round(o_totalprice, 1) as o_totalprice, "
+                            "cast(o_orderdate as date) as order_date",
                          "o_orderstatus = 'F' and o_totalprice > 300000")
 
 
+@register("limited_sql_extract")
+def q_limited_sql_extract(spark, d):
+    """S-1, S-3: a predicate text that ends in a limit."""
+    o = read_table(spark, d, "orders")
+    return extract_table(o, "o_orderkey, coalesce(o_orderpriority, 'none') as priority", "1=1 ORDER BY o_orderkey LIMIT 10")
+
+
 @register("lookback_window")
 def q_lookback_window(spark, d):
     """S-2: order_date >= run_date - 7 days, no upper bound."""

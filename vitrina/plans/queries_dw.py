@@ -241,10 +241,10 @@ def q_daily_sales(spark, d):
 
 @register("fact_payments")
 def q_fact_payments(spark, d):
-    """B-6: purchase events as payments, bound to the customer version valid
-    on the payment date (events are from 2024: the current versions)."""
+    """B-6: purchase events as payments with their order, bound to the customer
+    version valid on the payment date (events are from 2024: the current versions)."""
     dim_c, _ = customer_dimension(spark, d)
-    return facts.fact_payments(st.payments(spark, d), dim_c, RUN_DATE)
+    return facts.fact_payments(st.payments(spark, d, with_order=True), dim_c, RUN_DATE)
 
 
 @register("orphan_payments")
@@ -326,20 +326,19 @@ def q_check_suite(spark, d):
 
 @register("load_report")
 def q_load_report(spark, d):
-    """Q-6: long-format report of a run: table counts, product statistics,
-    top categories, average rating, latest KPI row."""
+    """Q-6: long-format report of a run: table counts (one table that can't be
+    read is left out), product statistics, top categories, average rating,
+    latest KPI row; a value column for each kind of value."""
     p = st.products(spark, d).withColumnRenamed("brand", "supplier")
-    counts = kpi.table_counts({n: read_table(spark, d, n) for n in ["customer", "orders", "lineitem", "part"]})
-    counts_row = counts.groupBy().pivot("table_name", ["customer", "orders", "lineitem", "part", "TOTAL"]).agg(
-        F.first("row_count"))
-    top3 = kpi.top_by_count(p, "category", 3).agg(
-        F.array_join(F.collect_list(F.concat_ws(":", "category", F.col("count").cast("string"))), ",")
-        .alias("categories"))
+    tables = {n: (lambda n=n: read_table(spark, d, n)) for n in ["customer", "orders", "lineitem", "part"]}
+    tables["no_such_table"] = lambda: spark.read.parquet(f"{d}/no_such_table.parquet")
     fb = st.feedback(spark, d)
     rating = kpi.rating_stats(fb.select(F.coalesce(F.col("rating_raw").try_cast("int"), F.lit(0)).alias("rating")))
     latest = views.latest_row(kpi.daily_kpis(clean_orders_simple(st.orders(spark, d, with_city=True))))
-    return quality.pipeline_report({"table_counts": counts_row, "csv_stats": kpi.product_stats(p),
-                                    "top_categories": top3, "feedback": rating, "latest_kpi": latest})
+    return quality.pipeline_report({
+        "table_counts": (kpi.table_counts(tables), "table_name", "row_count"), "csv_stats": kpi.product_stats(p),
+        "top_categories": (kpi.top_by_count(p, "category", 3), "category", "count"), "feedback": rating,
+        "latest_kpi": latest})
 
 
 @register("latest_kpi")
@@ -349,39 +348,60 @@ def q_latest_kpi(spark, d):
 
 
 # ---------------------------------------------------------------- CSV source
+CSV_HEADER = ("product_name,product_id,category,subcategory,unit_price,stock_quantity,supplier,country_of_origin,"
+              "weight_kg,shelf,created_at,updated_at,dimensions")
+
+
 def part_csv_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Every part as one CSV text line of the csv_products layout: quoted
-    names, '""' inside quotes, 'N/A' and empty cells, an unparseable
-    timestamp, a line with one field too many (p_size 50) and one cut short
-    (p_size 1)."""
+    """Every part as one CSV record of csv_products: columns in another order
+    than the table's and one that it lacks, quoted names with line breaks
+    (p_size 7) and '""' inside, 'N/A' and empty cells, stock as '5.0', dates
+    alone, with 'T' or unparseable, a record with one field too many whose
+    last declared field is empty (p_size 50) and one cut short (p_size 1)."""
     p = read_table(spark, d, "part")
     size = F.col("p_size")
     q = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
-    head = [F.col("p_partkey").cast("string"), q(F.col("p_name")), F.col("p_type"), F.col("p_brand"),
-            F.col("p_retailprice").cast("string"), size.cast("string"),
-            q(F.concat(F.lit('Supplier "'), F.col("p_brand"), F.lit('"'))),
-            F.when(size < 5, F.lit("N/A")).otherwise(F.lit("Russia")),
-            (size / 10).cast("string")]
-    tail = [F.when(size.between(10, 19), F.lit("")).otherwise(F.lit("10x20x30")), F.lit("2024-01-01 10:00:00"),
-            F.when(size > 45, F.lit("not a date")).otherwise(F.lit("2024-02-01 12:30:00"))]
+    name = F.when(size == 7, F.concat(F.lit("new\n"), F.col("p_name"))).otherwise(F.col("p_name"))
+    head = [q(name), F.col("p_partkey").cast("string"), F.col("p_type"), F.col("p_brand"),
+            F.col("p_retailprice").cast("string"), F.concat(size.cast("string"), F.when(size % 2 == 0, ".0").otherwise("")),
+            q(F.concat(F.lit('Supplier "'), F.col("p_brand"), F.lit('", Ltd'))),
+            F.when(size < 5, F.lit("N/A")).otherwise(F.lit("Russia")), (size / 10).cast("string")]
+    tail = [F.lit("A1"), F.when(size < 25, F.lit("2024-01-01")).otherwise(F.lit("2024-01-01T10:00:00")),
+            F.when(size > 45, F.lit("not a date")).otherwise(F.lit("2024-02-01 12:30:00")),
+            F.when(size.between(10, 19) | (size == 50), F.lit("")).otherwise(F.lit("10x20x30"))]
     full = F.concat_ws(",", *head, *tail)
     line = (F.when(size == 50, F.concat(full, F.lit(",EXTRA")))
              .when(size == 1, F.concat_ws(",", *head)).otherwise(full))
     return p.select(line.alias("value"))
 
 
-@register("csv_products")
-def q_csv_products(spark, d):
-    """S-6 / S-7 / S-8 / B-8 / P-14: CSV files written from part, read back
-    with the pandas rules (NA tokens, over-long lines dropped, short lines
-    padded, bad timestamps NULL), loaded with keys 1..n."""
+def csv_products_source(spark: SparkSession, d: str) -> DataFrame:
+    """The records written as CSV files, each with its header, and read back."""
     from vitrina.session import scratch_path
     from vitrina.sources.csv import read_csv
     path = scratch_path(spark, "csv-products")
-    part_csv_lines(spark, d).write.mode("overwrite").text(path)
-    df = read_csv(spark, path, header=False)
-    rows, _ = facts.csv_products_rows(df, RUN_DATE, ["product_id"])
-    return rows
+    lines = part_csv_lines(spark, d)
+    # the header is the first record of its file: ordered before the others
+    headers = lines.select(F.spark_partition_id().alias("p")).distinct()
+    rows = (lines.select(F.spark_partition_id().alias("p"), F.lit(1).alias("o"), "value")
+            .unionByName(headers.select("p", F.lit(0).alias("o"), F.lit(CSV_HEADER).alias("value"))))
+    (rows.repartition("p").sortWithinPartitions("p", "o").select("p", "value")
+     .write.partitionBy("p").mode("overwrite").text(path))
+    return read_csv(spark, f"{path}/*")
+
+
+@register("csv_products")
+def q_csv_products(spark, d):
+    """S-6 / S-7 / S-8 / B-8 / P-14: CSV files read with the pandas rules
+    (columns by name, NA tokens, over-long lines dropped, short lines padded,
+    bad timestamps NULL), loaded with keys 1..n."""
+    return facts.csv_products_rows(csv_products_source(spark, d), RUN_DATE, ["product_id"])[0]
+
+
+@register("csv_timestamps")
+def q_csv_timestamps(spark, d):
+    """S-8: the parsed timestamps of the CSV records."""
+    return csv_products_source(spark, d).select("product_id", "created_at", "updated_at")
 
 
 @register("csv_product_stats")
@@ -391,58 +411,137 @@ def q_csv_product_stats(spark, d):
     return kpi.product_stats(q_csv_products(spark, d))
 
 
-# ---------------------------------------------------------------- synthetic data
-def generated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """G-1 ... G-5 with ids from the driver tables: a customer per customer
-    key, a product per part key, an order per order key, feedback per
-    document."""
-    from vitrina.operators import datagen
-    cust = cut_lineage(datagen.customers(read_table(spark, d, "customer"), "c_custkey"))
-    prod = cut_lineage(datagen.products(read_table(spark, d, "part"), "p_partkey"))
-    n_c, n_p = cust.count(), prod.count()
-    orders = datagen.orders(read_table(spark, d, "orders"), "o_orderkey", cust, n_c)
-    items = datagen.order_items(orders, prod, n_p)
-    fb = datagen.feedback(read_table(spark, d, "documents"), "doc_id", cust, n_c, prod, n_p)
-    return {"customers": cust, "products": prod, "orders": orders, "order_items": items, "feedback": fb}
-
-
-for _name in ("customers", "products", "orders", "order_items", "feedback"):
-    def _q(spark, d, _name=_name):
-        return generated(spark, d)[_name]
-    _q.__doc__ = f"G: generated {_name} (checked by rules: rows only)."
-    register(f"datagen_{_name}")(_q)
-
-
-@register("datagen_rules")
-def q_datagen_rules(spark, d):
-    """G-1 ... G-5 rule check: rows and rule violations per generated table
-    (ranges, key closure, copied attributes)."""
-    from vitrina.operators import datagen
-    g = generated(spark, d)
-    c, p, o, it, fb = (g[k] for k in ("customers", "products", "orders", "order_items", "feedback"))
-
-    def row(name, df, bad, count=True):
-        return df.agg((F.count(F.lit(1)) if count else F.lit(None).cast("long")).alias("row_count"),
-                      F.count_if(bad).alias("violations")).select(F.lit(name).alias("table_name"), "*")
-    cust_city = c.select("customer_id", F.col("city").alias("_city"))
-    o2 = o.join(cust_city, "customer_id", "left")
-    it2 = it.join(p.select("product_id", F.col("unit_price").alias("_price")), "product_id", "left")
-    in_list = lambda col, values: F.col(col).isin(*values)
-    return reduce(DataFrame.unionByName, [
-        row("customers", c, ~in_list("city", datagen.CITIES) | ~in_list("customer_segment", datagen.SEGMENTS)
-            | ~F.col("email").endswith("@example.com")),
-        row("products", p, ~F.col("unit_price").between(100, 10000) | ~F.col("cost_price").between(50, 5000)
-            | ~F.col("stock_quantity").between(0, 100) | ~in_list("brand", datagen.BRANDS)),
-        row("orders", o2, F.col("_city").isNull() | (F.col("_city") != F.col("shipping_city"))
-            | ~F.col("total_amount").between(1000, 50000) | ~in_list("status", datagen.STATUSES)),
-        row("order_items", it2, F.col("_price").isNull() | (F.col("_price") != F.col("unit_price"))
-            | ~F.col("quantity").between(1, 3), count=False),
-        row("feedback", fb, ~F.col("rating").between(1, 5) | F.col("customer_email").isNull()),
-    ])
-
-
 @register("current_lookup_payments")
 def q_current_lookup_payments(spark, d):
     """J-1: payments bound to the customer's current version only."""
     dim_c, _ = customer_dimension(spark, d)
     return facts.current_lookup(st.payments(spark, d), dim_c, "customer_id", "customer_id", "customer_key")
+
+
+# ---------------------------------------------------------------- rows that a load does not take
+@register("rejected_orders")
+def q_rejected_orders(spark, d):
+    """J-5 / J-6 / K-9: items loaded before the orders of the split date and
+    later are there: every such item is rejected with the reason, none is lost."""
+    orders = st.orders(spark, d).where(F.col("order_date") < F.lit(SPLIT_DATE).cast("date"))
+    lines = facts.order_lines(orders, st.order_items(spark, d), st.products(spark, d))
+    _, bad = merge.split_valid(lines, facts.fact_checks())
+    return bad.select("order_id", "product_id", "quantity", "total_amount",
+                      F.array_join("failed_checks", "; ").alias("reject_reason"))
+
+
+@register("scd2_rejected")
+def q_scd2_rejected(spark, d):
+    """K-5: the second batch is run with a date before the first one's, and some
+    of its rows have no key: rows of keys that have a version by then are late,
+    the others (ASIA) are new."""
+    b1, b2 = customer_batches(spark, d)
+    b2 = b2.withColumn("customer_id", F.when(F.col("city") != "CHINA", F.col("customer_id")))
+    dim, _, _ = scd2.scd2_merge(scd2.empty_dim(spark), b1, SCD_RUN_2, ["seq"])
+    _, _, rejected = scd2.scd2_merge(cut_lineage(dim), b2, SCD_RUN_1, ["seq"])
+    return rejected.select("customer_id", "seq", "email", "reject_reason")
+
+
+@register("kpis_with_orphans")
+def q_kpis_with_orphans(spark, d):
+    """A-2 / S-1: customers of ASIA are not there: their orders stay, without a city."""
+    c = st.customers(spark, d).where(F.col("country") != "ASIA").select("customer_id", F.col("city").alias("shipping_city"))
+    return kpi.daily_kpis(st.orders(spark, d).join(c, "customer_id", "left"))
+
+
+@register("orphan_orders")
+def q_orphan_orders(spark, d):
+    """J-6: orders of customers who never appear in events."""
+    return facts.orphans(st.orders(spark, d), read_table(spark, d, "events"), "customer_id", "user_id")
+
+
+# ---------------------------------------------------------------- more of the operators' own rows
+@register("run_kpis_final")
+def q_run_kpis_final(spark, d):
+    """A-1 for one run date, with ratings."""
+    r = st.feedback(spark, d).select(F.col("rating_raw").try_cast("double").alias("rating"))
+    return kpi.run_kpis(st.orders(spark, d, with_city=True), r, RUN_DATE, variant="final")
+
+
+@register("clean_products")
+def q_clean_products(spark, d):
+    """P-4 / P-9: products with missing and bad values, filled and coerced; a
+    price beyond the type is NULL, not 0."""
+    from vitrina.operators.clean import clean_products_simple
+    size = F.col("stock_quantity")
+    raw = st.products(spark, d).select(
+        "product_id", "product_name", F.when(size > 5, F.col("category")).alias("category"),
+        F.when(size % 3 > 0, F.col("brand")).alias("brand"),
+        F.when(size == 10, "n/a").when(size == 11, "99999999999").otherwise(F.col("unit_price").cast("string"))
+        .alias("unit_price"), F.when(size < 48, size).alias("stock_quantity"))
+    return clean_products_simple(raw)
+
+
+@register("cleaned_events")
+def q_cleaned_events(spark, d):
+    """P-5: the rows that the cleaner keeps."""
+    from vitrina.operators import clean
+    e = read_table(spark, d, "events").select(
+        "user_id", "event_id", "ts",
+        F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("event_type")).alias("event_type"))
+    return clean.clean_with_stats(e, "user_id", {"event_type": "unknown", "not_a_column": "x"}, ["ts", "event_id"])[0]
+
+
+@register("normalized_orders")
+def q_normalized_orders(spark, d):
+    """P-6: the rows that the normaliser gives."""
+    from vitrina.operators import clean
+    o = read_table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("1998-13-01"))
+         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
+        F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit("\t")).alias("payment_method"))
+    out, _ = clean.normalize_with_stats(o, ["order_date"], ["payment_method", "absent"])
+    return out.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+
+
+@register("dim_products_simple")
+def q_dim_products_simple(spark, d):
+    """K-3 / B-9: only name, price and stock of known products are updated."""
+    p = st.products(spark, d).select("product_id", "product_name", "category", "brand", "unit_price", "stock_quantity")
+    old = p.where(F.col("stock_quantity") > 25).withColumn("category", F.lit(None).cast("string"))
+    new = p.withColumn("unit_price", (F.col("unit_price") + 1).cast("decimal(10,2)")).withColumn("brand", F.lit("new"))
+    return merge.upsert(old, new, "product_id", ["product_name", "unit_price", "stock_quantity"])
+
+
+@register("total_price")
+def q_total_price(spark, d):
+    """P-17: quantity x unit price of every order item."""
+    i = st.order_items(spark, d).join(st.products(spark, d).select("product_id", "unit_price"), "product_id", "left")
+    return i.select("order_id", "line_number", "quantity", "unit_price",
+                    (F.col("quantity") * F.col("unit_price")).cast("decimal(12,2)").alias("total_price"))
+
+
+@register("customer_history_ordered")
+def q_customer_history_ordered(spark, d):
+    """T-2 / V-2: the ordered view, its order as a row number."""
+    from vitrina.operators.surrogate import dense_index
+    dim, _ = customer_dimension(spark, d)
+    h = dense_index(dim.select("customer_id", "effective_date", "customer_key", "is_current"),
+                    ["customer_id", "effective_date", "customer_key"], "row_no")
+    return h.select("row_no", "customer_id", "effective_date", "is_current")
+
+
+@register("document_scan")
+def q_document_scan(spark, d):
+    """S-4 / S-5: events written as JSON lines with object ids, plain ids and
+    broken lines, read with a schema; broken lines are returned as such."""
+    from vitrina.session import scratch_path
+    from vitrina.sources.documents import read_documents
+    e = read_table(spark, d, "events")
+    rest = F.substring(F.to_json(F.struct("event_type", "value")), 2, 1 << 20)
+    ident = F.col("event_id").cast("string")
+    line = (F.when(F.col("event_type") == "error", F.concat(F.lit('{"_id": "'), ident, F.lit('", "event_type": ')))
+             .when(F.col("event_type") == "view", F.concat(F.lit('{"_id": "'), ident, F.lit('", '), rest))
+             .otherwise(F.concat(F.lit('{"_id": {"$oid": "'), ident, F.lit('"}, '), rest)))
+    path = scratch_path(spark, "documents")
+    e.select(line.alias("value")).write.mode("overwrite").text(path)
+    good, bad = read_documents(spark, path, "_id STRING, event_type STRING, value DOUBLE", malformed=True)
+    return (good.select("_id", "event_type", "value", F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(bad.select(F.get(F.split("line", '"'), F.lit(3)).alias("_id"), F.lit(None).cast("string").alias("event_type"),
+                                    F.lit(None).cast("double").alias("value"), "reject_reason")))

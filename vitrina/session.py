@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,14 +47,17 @@ def build_session(master: str | None = None, app: str = "vitrina",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/vitrina-checkpoints") -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a folder of our own set.
+    ``spark.checkpoint.dir`` is read from the session. Only where it is unset
+    and the master is local (tests) is a folder of our own set; on a cluster
+    that would be one machine's disk, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured or fallback)
     return sc.getCheckpointDir()
 
@@ -86,13 +88,6 @@ def cut_lineage(df, eager: bool = True):
         df.unpersist()
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package's sources to the executors' Python workers, once a session, so that functions of it that run
     there are found wherever the driver was started. (Under spark-submit --py-files they are there already.)"""

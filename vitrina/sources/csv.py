@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrina.functions.coerce import to_int
+
 # The text tokens a pandas CSV reader treats as missing by default.
 PANDAS_NA_TOKENS = ['', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',
                     '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null']
@@ -23,32 +25,44 @@ CSV_PRODUCTS_SCHEMA = T.StructType([
 _CORRUPT = "_corrupt_record"
 
 
-def read_csv_raw(spark: SparkSession, path: str, columns: list[str], sep: str = ",", quote: str = '"',
-                 escape: str = '"', encoding: str = "utf-8", header: bool = True,
-                 multi_line: bool = False) -> DataFrame:
-    """Every column as text plus the corrupt-record marker (PERMISSIVE)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] +
-                          [T.StructField(_CORRUPT, T.StringType())])
-    return (spark.read.schema(schema)
-            .option("header", header).option("sep", sep).option("quote", quote).option("escape", escape)
-            .option("encoding", encoding).option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
-            .option("nullValue", "").option("enforceSchema", True)
-            .csv(path))
+# Timestamp patterns tried after ISO text (blank or 'T' before the time, or a date alone).
+TIMESTAMP_FORMATS = ["yyyy-MM-dd HH:mm", "M/d/yyyy H:mm", "M/d/yyyy", "yyyyMMdd"]
+
+
+def read_csv_raw(spark: SparkSession, path: str, columns: list[str] | None = None, sep: str = ",", quote: str = '"',
+                 escape: str = '"', encoding: str = "utf-8", multi_line: bool = True) -> DataFrame:
+    """Every column of the file as text, named by its header (or ``columns`` for
+    files without one), plus the corrupt-record marker (PERMISSIVE).
+
+    ``multi_line``: a quoted cell may hold line breaks; a file is then read by
+    one task, so large files without such cells are better read with False.
+    """
+    reader = (spark.read.option("sep", sep).option("quote", quote).option("escape", escape)
+              .option("encoding", encoding).option("multiLine", multi_line).option("header", columns is None))
+    names = columns or reader.csv(path).columns  # reads the header only
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _CORRUPT]])
+    return (reader.schema(schema).option("nullValue", "").option("enforceSchema", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
+
 
+def field_count(record: F.Column, sep: str = ",", quote: str = '"') -> F.Column:
+    """Fields of a raw record: separators outside quotes, plus one."""
+    plain = F.regexp_replace(record, f"{quote}[^{quote}]*{quote}", "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) + 1
 
-def apply_bad_line_policy(raw: DataFrame, columns: list[str]) -> DataFrame:
+
+def apply_bad_line_policy(raw: DataFrame, sep: str = ",", quote: str = '"') -> DataFrame:
     """S-7 ('warn' policy): a row with too many fields is dropped, a row with
     too few is kept and padded with NULL. Spark flags both as corrupt; the
-    long ones are those flagged although their last field is filled."""
-    last = columns[-1]
+    fields of the flagged records are counted."""
+    columns = [c for c in raw.columns if c != _CORRUPT]
     # This always-true test references every column: with CSV column pruning
     # the parser would otherwise read only the projected fields and miss extra
     # ones, so which rows are dropped would depend on the caller's projection.
     # (A null test of a hash would be folded away by the optimizer.)
     whole_row = F.length(F.concat_ws("\u0001", *[F.col(c) for c in columns])) >= 0
-    too_long = F.col(_CORRUPT).isNotNull() & F.col(last).isNotNull() & whole_row
-    return raw.withColumn("_too_long", too_long)
+    too_long = F.col(_CORRUPT).isNotNull() & (field_count(F.col(_CORRUPT), sep, quote) > len(columns)) & whole_row
+    return raw.withColumn("_too_long", F.coalesce(too_long, F.lit(False)))
 
 
 def na_to_null(c: str, tokens: list[str] = PANDAS_NA_TOKENS) -> F.Column:
@@ -56,33 +70,22 @@ def na_to_null(c: str, tokens: list[str] = PANDAS_NA_TOKENS) -> F.Column:
     return F.when(col.isin(*tokens), F.lit(None).cast("string")).otherwise(col)
 
 
-def typed(c: str, dtype: T.DataType, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> F.Column:
-    """Text -> declared type; unparseable -> NULL (S-8 parse_dates tolerant)."""
-    col = F.col(c)
-    if isinstance(dtype, T.StringType):
-        return col
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        ts = F.try_to_timestamp(col, F.lit(ts_format))
-        return ts.cast(dtype)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        x = col.try_cast(dtype)
-        return F.when(F.isnan(x), F.lit(None).cast(dtype)).otherwise(x)
-    return col.try_cast(dtype)
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CSV_PRODUCTS_SCHEMA,
-             na_tokens: list[str] = PANDAS_NA_TOKENS, ts_format: str = "yyyy-MM-dd HH:mm:ss",
-             with_report: bool = False, **opts):
+             na_tokens: list[str] = PANDAS_NA_TOKENS, columns: list[str] | None = None,
+             with_report: bool = False, sep: str = ",", quote: str = '"', **opts):
     """S-6: header CSV, ',' separator, '"' quote with '""' as a literal quote,
     pandas missing tokens, typed columns, over-long rows dropped.
 
-    Returns the typed frame, or (frame, report) with a one-row report of
-    rows_read / rows_dropped when ``with_report``.
+    Columns are found by their name in the header, in whatever order; those of
+    ``schema`` that the file lacks are not in the result (``validation_report``
+    tells), those that it has beyond are left out. ``columns`` names the fields
+    of files without a header. Returns the typed frame, or (frame, report) with
+    a one-row report of rows_read / rows_dropped / rows_padded when
+    ``with_report``.
     """
-    columns = schema.fieldNames()
-    raw = apply_bad_line_policy(read_csv_raw(spark, path, columns, **opts), columns)
+    raw = apply_bad_line_policy(read_csv_raw(spark, path, columns, sep, quote, **opts), sep, quote)
     kept = raw.where(~F.col("_too_long"))
-    out = kept.select(*[typed_na(f.name, f.dataType, na_tokens, ts_format) for f in schema.fields])
+    out = kept.select(*[typed_na(f.name, f.dataType, na_tokens) for f in schema.fields if f.name in raw.columns])
     if not with_report:
         return out
     report = raw.agg(F.count(F.lit(1)).alias("rows_read"),
@@ -91,20 +94,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = CSV_PRODUCTS
     return out, report
 
 
-def typed_na(c: str, dtype: T.DataType, na_tokens: list[str], ts_format: str) -> F.Column:
+def typed_na(c: str, dtype: T.DataType, na_tokens: list[str]) -> F.Column:
+    """Text -> declared type; missing tokens and what does not parse -> NULL
+    (S-8); whole numbers may have a decimal point ('5.0')."""
     col = na_to_null(c, na_tokens)
-    tmp = F.when(col.isNull(), F.lit(None).cast("string")).otherwise(col)
     if isinstance(dtype, T.StringType):
-        return tmp.alias(c)
+        return col.alias(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.try_to_timestamp(tmp, F.lit(ts_format)).cast(dtype).alias(c)
-    x = tmp.try_cast(dtype)
+        tried = [F.try_to_timestamp(col, F.lit(f)).cast(dtype) for f in TIMESTAMP_FORMATS]
+        return F.coalesce(col.try_cast(dtype), *tried).alias(c)
+    if isinstance(dtype, T.IntegralType):
+        return to_int(col).try_cast(dtype).alias(c)
+    x = col.try_cast(dtype)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         x = F.when(F.isnan(x), F.lit(None).cast(dtype)).otherwise(x)
     return x.alias(c)
-
-
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV sink with the same dialect (header, '"' quote and escape)."""
-    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
-     .option("nullValue", "").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))

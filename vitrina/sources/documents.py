@@ -30,23 +30,16 @@ FEEDBACK_SCHEMA = T.StructType([
     T.StructField("created_at", T.TimestampType()),
 ])
 
-SESSION_SCHEMA = T.StructType([
-    T.StructField("session_id", T.StringType()), T.StructField("user_id", T.IntegerType()),
-    T.StructField("email", T.StringType()), T.StructField("start_time", T.TimestampType()),
-    T.StructField("end_time", T.TimestampType()), T.StructField("device_type", T.StringType()),
-    T.StructField("browser", T.StringType()), T.StructField("os", T.StringType()),
-    T.StructField("country", T.StringType()), T.StructField("city", T.StringType()),
-    T.StructField("pages_visited", T.IntegerType()), T.StructField("session_duration_seconds", T.IntegerType()),
-    T.StructField("conversions", T.IntegerType()), T.StructField("created_at", T.TimestampType()),
-])
+_CORRUPT = "_corrupt_record"
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType | str,
-                   limit: int | None = None) -> DataFrame:
+                   limit: int | None = None, malformed: bool = False):
     """S-4: scan a collection exported as JSON lines. ``limit`` 0/None = all.
 
     An ``_id`` given as extended JSON (``{"$oid": "..."}``) is read as its
-    string (S-5).
+    string (S-5). Lines that are not a document are left out; ``malformed``
+    returns (documents, malformed lines) so that a load can keep and count them.
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
@@ -55,10 +48,18 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType | str,
         # read _id as raw text so both "abc" and {"$oid": "abc"} survive
         read_schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "_id" else f
                                     for f in schema.fields])
-    df = spark.read.schema(read_schema).option("mode", "PERMISSIVE").json(path)
+    read_schema = T.StructType([*read_schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    raw = (spark.read.schema(read_schema).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", _CORRUPT).json(path))
+    # every field is asked for, so what counts as malformed does not depend on the caller's projection
+    broken = F.col(_CORRUPT).isNotNull() & (F.length(F.to_json(F.struct(*schema.fieldNames()))) >= 0)
+    df = raw.where(~F.coalesce(broken, F.lit(False))).select(*schema.fieldNames())
     if "_id" in df.columns:
         df = df.withColumn("_id", object_id_to_string("_id"))
-    return df.limit(limit) if limit else df
+    df = df.limit(limit) if limit else df
+    if not malformed:
+        return df
+    return df, raw.where(broken).select(F.col(_CORRUPT).alias("line"), F.lit("malformed document").alias("reject_reason"))
 
 
 def object_id_to_string(c) -> F.Column:

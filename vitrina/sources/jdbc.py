@@ -19,14 +19,22 @@ def read_jdbc(spark: SparkSession, url: str, table: str, columns: str | list[str
               properties: dict | None = None, fetch_size: int = 10000) -> DataFrame:
     """S-1: ``extract_table(table, columns, where)`` against a database.
 
-    With ``partition_column`` and bounds, the scan is split into
-    ``num_partitions`` parallel range queries (the bounds only decide the
-    slices; no row is filtered by them).
+    The scan is split into ``num_partitions`` parallel range queries on
+    ``partition_column``; bounds that are not given are asked for with one
+    min / max query (they only decide the slices, no row is filtered by them).
+    A small table may be read over one connection with ``num_partitions=1``.
     """
+    if not partition_column and num_partitions != 1:
+        raise ValueError("name a numeric partition_column, or num_partitions=1 for a small table")
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
               .option("fetchsize", fetch_size))
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
+    if partition_column and None in (lower_bound, upper_bound):
+        ask = f"(SELECT min({partition_column}) AS lo, max({partition_column}) AS hi FROM {table}) bounds"
+        lo, hi = reader.option("dbtable", ask).load().first()
+        lower_bound, upper_bound = (lo or 0, (hi or 0) + 1)
+        reader = reader.option("dbtable", table)
     if partition_column:
         reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
                   .option("upperBound", upper_bound).option("numPartitions", num_partitions or 8))

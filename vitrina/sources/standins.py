@@ -115,17 +115,23 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                      li.l_shipdate.cast("date").alias("ship_date"))
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
     """Payments are the purchase events, by definition of this stand-in; other
-    events are not payments."""
+    events are not payments. ``with_order``: the customer's latest order, NULL
+    for a customer without one."""
     e = read_table(spark, sf_dir, "events")
-    return (e.where(e.event_type == "purchase")
+    p = (e.where(e.event_type == "purchase")
              .select(e.event_id.alias("payment_id"),
                      e.user_id.alias("customer_id"),
                      e.ts.alias("payment_ts"),
                      e.value.cast("decimal(12,2)").alias("payment_amount"),
                      F.lit("card").alias("payment_method"),
                      F.lit("Completed").alias("payment_status")))
+    if not with_order:
+        return p
+    last = (read_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("customer_id"))
+            .agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("order_id")))
+    return p.join(last, "customer_id", "left")
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@ Catalyst prunes columns and pushes filters into the parquet reader)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -37,22 +39,20 @@ DRIVER_SCHEMAS: dict[str, T.StructType] = {
     "embeddings": _schema(("vec_id", _L), ("embedding", T.ArrayType(T.FloatType())), ("label", _I)),
 }
 
-# Tables whose size is fixed by definition (25 nations, 5 regions), so a
-# broadcast of them is bounded whatever the scale factor.
-BOUNDED_TABLES = {"region", "nation"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table with its declared schema."""
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def extract_table(df: DataFrame, columns: str | list[str] = "*", where: str = "") -> DataFrame:
-    """S-1: projection and optional predicate given as SQL text, applied to a
-    scan so both reach the reader (``PushedFilters`` / ``ReadSchema``)."""
-    if where:
-        df = df.where(where)
-    if columns == "*" or columns == ["*"]:
-        return df
-    cols = [c.strip() for c in columns.split(",")] if isinstance(columns, str) else list(columns)
-    return df.selectExpr(*cols)
+    """S-1: projection and optional predicate given as SQL text, as in ``SELECT
+    {columns} FROM table WHERE {where}``; ``where`` may go on with ORDER BY or
+    LIMIT. The statement is planned over the scan, so both reach the reader
+    (``PushedFilters`` / ``ReadSchema``)."""
+    view = f"extract_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        text = columns if isinstance(columns, str) else ", ".join(columns)
+        return df.sparkSession.sql(f"SELECT {text} FROM {view}" + (f" WHERE {where}" if where else ""))
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
