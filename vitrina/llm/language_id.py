@@ -140,13 +140,17 @@ def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CH
     return [own[i] for i in range(each) for own in found.values() if i < len(own)]
 
 
-def predicted(docs: DataFrame, model: Model) -> DataFrame:
-    """(_doc, lang_pred, score) of (_doc, text)."""
+def predicted(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
+    """(_doc, carried..., lang_pred, score) of (_doc, text, carried...); ``carried`` may be any columns."""
+    kept = docs.select(KEY, *[c for c in carried if c != "text"], "text")
+
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, scores = model.predict([t or "" for t in batch.column(1).to_pylist()])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(scores, pa.float64())],
-                                          names=[KEY, "lang_pred", "score"])
-    return map_batches(docs.select(KEY, "text"), rows, f"{KEY} long, lang_pred string, score double")
+        names, scores = model.predict([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
+        return pa.RecordBatch.from_arrays([batch.column(0), *[batch.column(batch.schema.get_field_index(c)) for c in carried],
+                                           pa.array(names), pa.array(scores, pa.float64())],
+                                          names=[KEY, *carried, "lang_pred", "score"])
+    types = "".join(f", `{c}` {kept.schema[c].dataType.simpleString()}" for c in carried)
+    return map_batches(kept, rows, f"{KEY} long{types}, lang_pred string, score double")
 
 
 def fitted(docs: DataFrame) -> Model:

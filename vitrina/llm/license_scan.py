@@ -10,6 +10,7 @@ window that shares a band with a template is confirmed if it holds at least CONT
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,23 +43,22 @@ TEMPLATES = {
 }
 
 
-def shingles(texts: list[bytes]) -> list[np.ndarray]:
-    """The shingle hashes of each text, in order of their first word; none with fewer than SHINGLE words."""
-    out = []
+def shingles(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(shingle hashes, start of each text's) of some texts at a time, in order; a text with fewer than SHINGLE words
+    has none. The second array has one element more than there are texts."""
     for lo, hi in chunks(texts):
         b = np.frombuffer(b"\n".join(texts[lo:hi]).lower() + b"\n", np.uint8)
         first = np.cumsum([0] + [len(t) + 1 for t in texts[lo:hi]])
         edge = np.diff(_WORD[b].astype(np.int8), prepend=0, append=0)
         start = np.flatnonzero(edge == 1)
         w = SliceHash(b)(start, np.flatnonzero(edge == -1))
-        at = np.searchsorted(start, first)
+        text = np.searchsorted(first, start, side="right") - 1  # of each word
         n = max(len(w) - SHINGLE + 1, 0)
         s = np.zeros(n, np.uint64)
         for j in range(SHINGLE):
             s += w[j:j + n] * _PLACE[j]
-        s = mix(s)
-        out += [s[at[k]:max(at[k + 1] - SHINGLE + 1, at[k])] for k in range(hi - lo)]
-    return out
+        own = text[:n] == text[SHINGLE - 1:] if n else np.zeros(0, bool)
+        yield mix(s[own]), np.searchsorted(text[:n][own], np.arange(hi - lo + 1))
 
 
 class Group:
@@ -73,15 +73,21 @@ class Group:
         self.times = _rng.integers(0, 2 ** 64, self.bands, dtype=np.uint64) | np.uint64(1)
         self.keys = np.array([[((s ^ x) * t).min() for x, t in zip(self.xor, self.times)] for s in self.sets])
 
-    def candidates(self, s: np.ndarray) -> list[tuple[int, int]]:
-        """(template, first shingle of the window) pairs that share a band."""
-        starts = np.arange(0, len(s), self.words)
-        found = np.zeros((len(self.sets), len(starts)), bool)
+    def candidates(self, s: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(text, template, first and end shingle of the window) of the windows that share a band with a template.
+        ``s``, ``at``: as of ``shingles``."""
+        size = np.diff(at)
+        windows = -(-size // self.words)
+        text = np.repeat(np.arange(len(size)), windows)
+        starts = at[text] + (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)) * self.words
+        if not len(starts):
+            return []
         # a window is a block of ``words`` shingles and the part of the next one that it still covers
-        rest = np.minimum(starts + self.words, len(s))
-        end = np.minimum(starts + 2 * self.words - SHINGLE + 1, len(s))
+        rest = np.minimum(starts + self.words, at[text + 1])
+        end = np.minimum(starts + 2 * self.words - SHINGLE + 1, at[text + 1])
         more = end > rest
         cuts = np.stack([rest, end], 1)[more].ravel()
+        found = np.zeros((len(self.sets), len(starts)), bool)
         for band in range(self.bands):
             h = (s ^ self.xor[band]) * self.times[band]
             least = np.minimum.reduceat(h, starts)
@@ -89,25 +95,27 @@ class Group:
                 tail = np.minimum.reduceat(np.append(h, np.uint64(2 ** 64 - 1)), cuts)[::2]
                 least[more] = np.minimum(least[more], tail)
             found |= least[None, :] == self.keys[:, band, None]
-        return [(int(i), int(starts[j])) for i, j in zip(*np.nonzero(found))]
-
-    def matches(self, s: np.ndarray) -> list[tuple[str, int, float]]:
-        """(template, first word, containment) of the windows that are confirmed, the best of overlapping ones."""
-        best: dict[tuple[int, int], float] = {}
-        for i, at in self.candidates(s):
-            window = s[at:at + 2 * self.words - SHINGLE + 1]
+        return [(int(text[j]), int(i), int(starts[j]), int(end[j])) for i, j in zip(*np.nonzero(found))]
+
+    def matches(self, s: np.ndarray, at: np.ndarray) -> list[tuple[int, str, int, float]]:
+        """(text, template, first word, containment) of the windows that are confirmed; an occurrence that two windows
+        hold counts once."""
+        best: dict[tuple[int, int, int], float] = {}
+        for text, i, start, end in self.candidates(s, at):
+            window = s[start:end]
             held = np.flatnonzero(np.isin(window, self.sets[i]))
             share = len(np.unique(window[held])) / len(self.sets[i])
             if share >= CONTAINED:
-                where = (i, at + int(held[0]))  # the same occurrence in two windows has one place
+                where = (text, i, start - int(at[text]) + int(held[0]))
                 best[where] = max(best.get(where, 0.0), share)
-        return [(self.names[i], at, share) for (i, at), share in sorted(best.items())]
+        return [(text, self.names[i], word, share) for (text, i, word), share in sorted(best.items())]
 
 
 def groups(templates: dict[str, str]) -> list[Group]:
     """Templates by length, up to the next power of two."""
     by: dict[int, dict[str, np.ndarray]] = {}
-    for name, s in zip(templates, shingles([t.encode() for t in templates.values()])):
+    for name, text in templates.items():
+        (s, _), = shingles([text.encode()])
         if not len(s):
             raise ValueError(f"template {name} has fewer than {SHINGLE} words")
         by.setdefault(1 << (len(s) + SHINGLE - 2).bit_length(), {})[name] = s
@@ -122,10 +130,11 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
     own = groups(templates or TEMPLATES)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = []
-        for s in shingles(encoded(batch.column(1))):
-            found.append([{"license": n, "first_word": at, "containment": c} for g in own for n, at, c in g.matches(s)]
-                         if len(s) else [])
+        found: list[list[dict]] = []
+        for s, at in shingles(encoded(batch.column(1))):
+            found += [[] for _ in range(len(at) - 1)]
+            for text, name, word, share in (m for g in own for m in g.matches(s, at)):
+                found[text - len(at) + 1].append({"license": name, "first_word": word, "containment": share})
         kind = pa.list_(pa.struct([("license", pa.string()), ("first_word", pa.int64()), ("containment", pa.float64())]))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=[KEY, "matches"])
     return map_batches(docs.select(KEY, "text"), rows,
