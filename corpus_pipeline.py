@@ -33,8 +33,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     score below LEAST_SCORE, goes."""
     ship_package(spark)
     d = _keyed(docs)
-    found = predicted(d, fitted(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return _columns(d.drop("lang").join(found.select(KEY, F.col("lang_pred").alias("lang")), KEY))
+    found = predicted(d, fitted(docs), "text", "source", "n_chars")
+    found = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return _columns(found.withColumnRenamed("lang_pred", "lang"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
