@@ -106,7 +106,9 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS) -> Model:
         return Model([], np.zeros((DIMS, 0), np.float32), np.zeros(0))
     texts = [t for t, _ in rows]
     kernel_rows = lambda part: (f / np.sqrt(np.maximum(f.sum(1, keepdims=True), 1)) for f, _ in presence(part))
-    marks = np.concatenate(list(kernel_rows(texts[:landmarks])))
+    marks = np.empty((min(landmarks, len(texts)), DIMS), np.float32)
+    for i, x in enumerate(kernel_rows(texts[:landmarks])):
+        marks[i * ROWS:i * ROWS + len(x)] = x
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # landmarks x rank: K^-1/2
