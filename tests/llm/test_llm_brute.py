@@ -71,11 +71,13 @@ def family(n, words=120, seed=3, edits=4):
     return out
 
 
-@pytest.mark.parametrize("rounds", [1, 2])
-def test_near_duplicates_are_those_of_brute_force(spark, monkeypatch, rounds):
-    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
+@pytest.mark.parametrize("seed", [3, 4])
+def test_near_duplicates_are_those_of_brute_force(spark, monkeypatch, seed):
     monkeypatch.setattr(near_dedup, "SPREAD", 3)
-    texts = family(40) + family(15, seed=9, edits=9) + ["a b c", "A  b\tC", "", None, "one"] * 2
+    cut = family(3, seed=20)[1].split()
+    texts = family(40, seed=seed) + family(15, seed=9, edits=9) + ["a b c", "A  b\tC", "", None, "one"] * 2
+    texts += [" ".join(cut[:n]) for n in range(60, 120, 2)]  # cut ends: parts of one long text, linked by length
+    random.Random(seed).shuffle(texts)
     rows = list(enumerate(texts, 1))
     got = {r[KEY]: (r["n_shingles"], r["component"]) for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
     assert got == brute_components(rows)

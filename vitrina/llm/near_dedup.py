@@ -6,10 +6,13 @@ left out in turn (the allowed error, enumerated) makes keys of which such a pair
 in 7 chunks of 4 every pair within T = 13 symbols meets; at a likeness of 0.85 the distance is binomial(28, 0.15), so a
 pair lies beyond T with probability 1.2e-5, and less for likelier pairs. Candidates are confirmed on full sets.
 
-Texts with the same shingle set are one class and enter as one member. Members that share a key are not paired with one
-another: in each round every key links its members to one hub, whole sets are compared, links are contracted to
-components, and only keys whose members are still in several components go on. What is left after ROUNDS rounds is
-compared pair by pair across components, so no link between two components is missed.
+Texts with the same shingle set are one class and enter as one member. The members of a key are not paired with one
+another. Each is compared, on full sets, with one hub of the key; that also tells which of its shingles the hub lacks.
+Where a key's members then are in several components, two members x, y that are alike enough to be linked either share
+one of the first shingles that the hub lacks (of the prefix that any partner must touch, in one order for both), or
+both hold enough of the hub. Only such pairs, across components, are compared: no link is missed, and members that
+differ from the hub each in their own way meet nobody. A passage or template that very many texts share is the hub's
+and makes no pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +31,6 @@ CHUNKS, PER_CHUNK, ERRORS = 7, 4, 1
 SYMBOLS = CHUNKS * PER_CHUNK
 #: Largest signature distance for which a shared key is guaranteed.
 T = CHUNKS * (ERRORS + 1) - 1
-ROUNDS = 2
 #: Members compared with one copy of their hub in one task.
 SPREAD = 512
 _rng = np.random.default_rng(7)
@@ -78,34 +80,41 @@ def distance(a: str, b: str) -> Column:
     return sum(((_symbol(a, k) != _symbol(b, k)).cast("int") for k in range(SYMBOLS)), F.lit(0))
 
 
-def _alike(percent: int) -> Column:
-    """What sizes and signatures allow: the smaller set is large enough, the distance is within T."""
-    return (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (distance("sig", "sig_b") <= T)
+def _against_hub(percent: int):
+    """Over rows sorted by hub, the hub's own text first: what each member has of the hub.
 
-
-def _confirm(percent: int):
-    """Over rows sorted by hub, the hub's own text first: the members whose full sets confirm the link."""
+    linked: full sets are alike enough. n, held: size of the member's set and what of it the hub has. lacking: the
+    first shingles that the hub lacks, up to the prefix of n - ceil(percent n / 100) + 1 shingles of which any set
+    that is alike enough must have one, if shingles that the hub lacks come first. reaches: the prefix goes on into
+    the hub's shingles.
+    """
     def run(batches):
         hub = own = None
         for batch in batches:
+            out = [[], [], [], [], [], [], []]
             hubs, members = batch.column("hub").to_pylist(), batch.column("member").to_pylist()
-            a, b = [], []
             for h, m, s in zip(hubs, members, shingle_sets(unpacked(batch.column("packed")))):
                 if h == m:
                     hub, own = h, s
                 elif h == hub:
-                    both = len(np.intersect1d(own, s, assume_unique=True))
-                    if 100 * both >= percent * (len(own) + len(s) - both):
-                        a.append(h)
-                        b.append(m)
+                    at = np.minimum(np.searchsorted(own, s), len(own) - 1)
+                    has = own[at] == s
+                    n, held = len(s), int(has.sum())
+                    prefix = n + percent * n // -100 + 1
+                    lacking = s[~has][:prefix].view(np.int64)
+                    for c, v in zip(out, (h, m, 100 * held >= percent * (len(own) + n - held), n, held, lacking,
+                                          n - held < prefix)):
+                        c.append(v)
                 else:
                     raise ValueError(f"text of {h} is missing")
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
+                                             names=["hub", "member", "linked", "n", "held", "lacking", "reaches"])
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the distinct (hub, member) pairs whose shingle sets are alike enough. ``texts``: (_doc, packed).
+def against_hubs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``_against_hub`` for distinct (hub, member) pairs. ``texts``: (_doc, packed).
 
     Members are dealt out by hub and a salt, SPREAD members a salt, each salt with a copy of the hub's text, and pass
     by one at a time: a task holds two sets, however many members a hub has.
@@ -118,7 +127,39 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     rows = p.unionByName(own).join(texts.withColumnRenamed(KEY, "member"), "member")
     rows = rows.select("hub", "salt", "member", "packed", (F.col("hub") != F.col("member")).alias("later"))
     rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "later")
-    return rows.select("hub", "member", "packed").mapInArrow(_confirm(percent), "a long, b long")
+    return rows.select("hub", "member", "packed").mapInArrow(
+        _against_hub(percent), "hub long, member long, linked boolean, n long, held long, lacking array<long>, reaches boolean")
+
+
+def remaining_pairs(seen: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(hub, member) pairs of members of one hub, in different components, that may be alike enough.
+
+    ``seen``: rows of ``_against_hub``. The overlap that a link needs is percent / (100 + percent) of both sizes.
+    Shingles that only one component has are dropped by a map-side combined count before members meet on them.
+    """
+    label = lambda c, alias: labels.select(F.col("v").alias(c), F.col("label").alias(alias))
+    m = (seen.join(label("member", "label"), "member", "left").join(label("hub", "hub_label"), "hub", "left")
+         .withColumn("label", F.coalesce("label", "member")).withColumn("hub_label", F.coalesce("hub_label", "hub")))
+    open_ = m.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("hub")
+    m = stored(m.join(open_, "hub"), "open")
+    enough = lambda most: most * (100 + percent) >= percent * (F.col("n") + F.col("n_b"))
+    sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
+    apart = (F.col("member") != F.col("member_b")) & (F.col("label") != F.col("label_b")) & sizes
+
+    t = m.select("hub", "member", "label", "n", F.posexplode("lacking").alias("at", "shingle"))
+    shared = (t.groupBy("hub", "shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+              .select("hub", "shingle"))
+    t = t.join(shared, ["hub", "shingle"])
+    u = t.select("hub", "shingle", *[F.col(c).alias(f"{c}_b") for c in ("member", "label", "n", "at")])
+    by_shingle = (t.join(u, ["hub", "shingle"])
+                  .where(apart & (F.col("member") < F.col("member_b")) & enough(F.col("n") - F.col("at"))
+                         & enough(F.col("n_b") - F.col("at_b"))))
+
+    r = m.where("reaches").select("hub", "member", "label", "hub_label", "n", "held")
+    s = r.select("hub", *[F.col(c).alias(f"{c}_b") for c in ("member", "label", "n", "held")])
+    by_hub = r.where("label <> hub_label").join(s, "hub").where(apart & enough(F.least("held", "held_b")))
+    pair = (F.least("member", "member_b").alias("hub"), F.greatest("member", "member_b").alias("member"))
+    return by_shingle.select(*pair).unionByName(by_hub.select(*pair)).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -137,36 +178,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # keys with the same members count once
     groups = groups.groupBy("m", "hub", "x", "s").agg(F.min("key").alias("key"))
     members = stored(bands.join(groups.select("key", "hub"), "key"), "members")
-    info = classes.select("rep", "n", "sig")
-    info_b = info.toDF("hub", "n_b", "sig_b")
-
-    pairs = stored(members.where("rep <> hub").select("rep", "hub").distinct().join(info, "rep").join(info_b, "hub")
-                   .where(_alike(percent)).select("hub", F.col("rep").alias("member")), "pairs")
+    pairs = members.where("rep <> hub").select("hub", F.col("rep").alias("member"))
     there = members.select(F.col("rep").alias(KEY)).distinct()
     texts = stored(packed(docs).join(there, KEY, "left_semi"), "texts")
-    links = stored(confirmed(pairs, texts, percent), "confirmed")
+    seen = stored(against_hubs(pairs, texts, percent), "compared")
+    links = seen.where("linked").select(F.col("hub").alias("a"), F.col("member").alias("b"))
     labels = components(links)
-    for turn in range(ROUNDS):
-        # keys whose members are in several components yet
-        m = members.select("key", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
-        m = m.select("key", "rep", F.coalesce("label", "rep").alias("label"))
-        open_ = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                     F.max_by("rep", "label").alias("hub")).where("lo <> hi")
-        m = stored(m.join(open_.select("key", "hub", "hi"), "key"), "open")
-        if m.isEmpty():
-            break
-        if turn < ROUNDS - 1:  # a hub from the last component
-            p = m.where("label <> hi").select("rep", "hub").distinct().join(info, "rep").join(info_b, "hub")
-            p = p.where(_alike(percent)).select("hub", F.col("rep").alias("member"))
-        else:  # every pair that is left
-            a = m.select("key", "rep", "label").join(info, "rep")
-            b = a.toDF("hub", "key", "label_b", "n_b", "sig_b")
-            p = a.join(b, "key").where((F.col("hub") < F.col("rep")) & (F.col("label") != F.col("label_b")))
-            p = p.where(_alike(percent)).select("hub", F.col("rep").alias("member"))
-        more = stored(confirmed(p, texts, percent), "confirmed")
-        if more.isEmpty() and turn == ROUNDS - 1:
-            break
-        links = links.unionByName(more)
+    more = stored(against_hubs(stored(remaining_pairs(seen, labels, percent), "pairs"), texts, percent), "compared")
+    more = more.where("linked").select(F.col("hub").alias("a"), F.col("member").alias("b"))
+    if not more.isEmpty():
         labels = components(labels.select(F.col("v").alias("a"), F.col("label").alias("b")).unionByName(more))
     by_class = classes.select("c1", "c2", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
     by_class = by_class.select("c1", "c2", F.col("rep").alias("class"), F.coalesce("label", "rep").alias("component"))
