@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,8 @@ WHITE_RUN = r"[\x20\x09-\x0D]+"
 # A null doc_id takes this place while documents are joined and ordered; the value itself is reserved.
 NO_ID = -(2 ** 63)
 KEY = "_doc"
+#: Rows that a function of map_batches sees at a time: some MB of text.
+ROWS = 1024
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +65,10 @@ def positions(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def map_batches(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    """mapInArrow of a function on single batches."""
+def map_batches(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """mapInArrow of a function on at most ROWS rows at a time."""
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                yield per_batch(batch)
+            for at in range(0, batch.num_rows, ROWS):
+                yield per_batch(batch.slice(at, ROWS))
     return df.mapInArrow(run, schema)

@@ -11,7 +11,7 @@ from vitrina.llm.near_dedup import OP2_SQL, op2_near_dedup
 from vitrina.llm.quality_classifier import op5_quality_classifier
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
 from vitrina.llm.sentencepiece_codec import op6_sentencepiece
-from vitrina.llm.suffix_dedup import op9_suffix_dedup
+from vitrina.llm.suffix_dedup import OP9_SQL, op9_suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
@@ -30,4 +30,5 @@ ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
     "op2_near_dedup": OP2_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op9_suffix_dedup": OP9_SQL,
 }

@@ -30,10 +30,11 @@ from vitrina.llm.textbytes import SliceHash, chunks, encoded, mix, packed, secon
 WIDTH = 100
 #: Bytes of the rolling hash (a power of two), and the starts among which it triggers.
 GRAM = 32
-#: Entries of one gram that are sorted in one task.
-GROUP = 2000
-#: Entries that are sorted at a time.
-BATCH = 8192
+#: Entries of one gram that are sorted in one task: some 4 MB of phrases and 15 MB of keys, a fourteenth of what their
+#: strings would be in a shuffle.
+GROUP = 20_000
+#: Entries that are sorted at a time, and phrases that are hashed at a time.
+BATCH, HASHED = 8192, 4096
 _TABLE = np.random.default_rng(11).integers(0, 2 ** 64, 256, dtype=np.uint64)
 
 
@@ -137,19 +138,23 @@ def _sorted_groups(width: int):
     """Over rows sorted by gram: for each entry the offsets at which its string is not the first of its kind."""
     def repeats(cols) -> pa.RecordBatch:
         doc, at, gram, front, phrase = cols
-        b = np.frombuffer(b"".join(phrase), np.uint8)
-        first = np.cumsum([0] + [len(p) for p in phrase])[:-1]
-        size = np.array([len(p) for p in phrase])
         order = np.lexsort((at, doc))  # corpus order of the places
-        doc, at, gram, front, first, size = (x[order] for x in (doc, at, gram, front, first, size))
-        h = SliceHash(b)
+        doc, at, gram, front = (x[order] for x in (doc, at, gram, front))
+        backs = np.arange(width - GRAM + 1)
+        keys = np.zeros((len(doc), len(backs)), np.uint64)
+        whole = np.zeros(keys.shape, bool)
+        for lo in range(0, len(doc), HASHED):
+            part = [phrase[i] for i in order[lo:lo + HASHED].tolist()]
+            first = np.cumsum([0] + [len(p) for p in part])
+            start = (first[:-1] + front[lo:lo + HASHED])[:, None] - backs
+            i, j = np.nonzero((start >= first[:-1, None]) & (start + width <= first[1:, None]))
+            s = start[i, j]
+            keys[lo + i, j] = mix(SliceHash(np.frombuffer(b"".join(part), np.uint8))(s, s + width) ^ gram[lo + i].view(np.uint64))
+            whole[lo + i, j] = True
         gone = [[] for _ in range(len(doc))]
-        for back in range(width - GRAM + 1):
-            own = np.flatnonzero((front >= back) & (front - back + width <= size))
-            if len(own) < 2:
-                continue
-            s = first[own] + front[own] - back
-            key = mix(h(s, s + width) ^ gram[own].view(np.uint64))
+        for back in backs.tolist():
+            own = np.flatnonzero(whole[:, back])
+            key = keys[own, back]
             by = np.argsort(key, kind="stable")  # equal strings in corpus order
             same = np.flatnonzero(key[by][1:] == key[by][:-1]) + 1
             for i in own[by[same]].tolist():
@@ -271,3 +276,27 @@ def op9_suffix_dedup(spark, sf_dir):
     """Repeats of 100 bytes removed from ``documents``; one row per doc_id."""
     d = remove_repeats(one_row_per_document(documents(spark, sf_dir)))
     return d.select(doc_id(), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+  SELECT doc_id, i, b[i:i + 99] AS s FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 98)) AS i FROM d)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM w) WHERE n > 1
+), span AS (
+  SELECT doc_id, min(i) AS a, max(i) + 99 AS z FROM (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (
+      SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh FROM again))
+  GROUP BY doc_id, g
+), gap AS (  -- what is left before each span, and behind the last
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS f, a - 1 AS t FROM span
+  UNION ALL SELECT d.doc_id, coalesce(max(z), 0) + 1, max(octet_length(b)) FROM d LEFT JOIN span USING (doc_id) GROUP BY d.doc_id
+), rest AS (
+  SELECT doc_id, string_agg(CASE WHEN f <= t THEN hex(b[f:t]) ELSE '' END, '' ORDER BY f, t) AS h
+  FROM gap JOIN d USING (doc_id) GROUP BY doc_id
+), gone AS (SELECT doc_id, sum(z - a + 1) AS n, count(*) AS k FROM span GROUP BY doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(h)) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) JOIN rest USING (doc_id)
+"""
