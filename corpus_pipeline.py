@@ -17,6 +17,8 @@ from vitrina.sources.tables import read_table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A language that scores lower is taken for none.
 LEAST_SCORE = 0.2
+#: Percent of common shingles from which documents are near-duplicates.
+ALIKE = 80
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -48,10 +50,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """The document with the smallest id of each group of near-duplicates, linked at a likeness of ALIKE percent."""
     ship_package(spark)
     d = _keyed(docs)
-    groups = near_duplicates(d.select(KEY, "text"))
+    groups = near_duplicates(d.select(KEY, "text"), ALIKE)
     return _columns(d.join(groups.where(F.col(KEY) == F.col("component")).select(KEY), KEY, "left_semi"))
 
 
