@@ -254,7 +254,7 @@ def test_pipeline_stages_against_brute_force(spark, sf):
     lines = brute_line_dedup([(r["doc_id"], r["text"]) for r in first])
     assert {r["doc_id"]: r["text"] for r in second} == lines
     assert all(r["n_chars"] == len(r["text"]) for r in second)
-    parts = brute_components(list(lines.items()))
+    parts = brute_components(list(lines.items()), corpus_pipeline.ALIKE)
     assert {r["doc_id"] for r in third} == {i for i, (_, c) in parts.items() if i == c}
     ids = [r["doc_id"] for r in fourth]
     assert set(ids) <= {r["doc_id"] for r in third} and len(set(ids)) > 0.85 * len(third)
