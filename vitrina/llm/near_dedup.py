@@ -7,12 +7,13 @@ in 7 chunks of 4 every pair within T = 13 symbols meets; at a likeness of 0.85 t
 pair lies beyond T with probability 1.2e-5, and less for likelier pairs. Candidates are confirmed on full sets.
 
 Texts with the same shingle set are one class and enter as one member. The members of a key are not paired with one
-another. Each is compared, on full sets, with one hub of the key; that also tells which of its shingles the hub lacks.
-Where a key's members then are in several components, two members x, y that are alike enough to be linked either share
+another. Each is compared, on full sets, with one hub of the key. Where a key's members then are in several components,
+its centre, the member that differs least from the hub, is the hub of a second round; that also tells which shingles of
+each member the centre lacks. If there are still several components, two members x, y that are alike enough to be linked either share
 one of the first shingles that the hub lacks (of the prefix that any partner must touch, in one order for both), or
 both hold enough of the hub. Only such pairs, across components, are compared: no link is missed, and members that
-differ from the hub each in their own way meet nobody. A passage or template that very many texts share is the hub's
-and makes no pairs.
+differ from the centre each in their own way meet nobody. A passage or template that very many texts share is the
+centre's and makes no pairs.
 """
 
 from __future__ import annotations
@@ -131,17 +132,27 @@ def against_hubs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         _against_hub(percent), "hub long, member long, linked boolean, n long, held long, lacking array<long>, reaches boolean")
 
 
-def remaining_pairs(seen: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(hub, member) pairs of members of one hub, in different components, that may be alike enough.
-
-    ``seen``: rows of ``_against_hub``. The overlap that a link needs is percent / (100 + percent) of both sizes.
-    Shingles that only one component has are dropped by a map-side combined count before members meet on them.
-    """
+def still_open(seen: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``_against_hub``, with labels, of the hubs whose members are in several components."""
     label = lambda c, alias: labels.select(F.col("v").alias(c), F.col("label").alias(alias))
     m = (seen.join(label("member", "label"), "member", "left").join(label("hub", "hub_label"), "hub", "left")
          .withColumn("label", F.coalesce("label", "member")).withColumn("hub_label", F.coalesce("hub_label", "hub")))
     open_ = m.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("hub")
-    m = stored(m.join(open_, "hub"), "open")
+    return stored(m.join(open_, "hub"), "open")
+
+
+def recentred(m: DataFrame) -> DataFrame:
+    """(hub, member) pairs of the members of open hubs with their centre, the member that differs least from the hub."""
+    centre = m.groupBy("hub").agg(F.max_by("member", F.struct(2 * F.col("held") - F.col("n"), -F.col("member"))).alias("centre"))
+    return (m.join(centre, "hub").where("member <> centre").select(F.col("centre").alias("hub"), "member").distinct())
+
+
+def remaining_pairs(m: DataFrame, percent: int) -> DataFrame:
+    """(hub, member) pairs of members of one hub, in different components, that may be alike enough.
+
+    ``m``: rows of ``still_open``. The overlap that a link needs is percent / (100 + percent) of both sizes.
+    Shingles that only one component has are dropped by a map-side combined count before members meet on them.
+    """
     enough = lambda most: most * (100 + percent) >= percent * (F.col("n") + F.col("n_b"))
     sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
     apart = (F.col("member") != F.col("member_b")) & (F.col("label") != F.col("label_b")) & sizes
@@ -162,6 +173,17 @@ def remaining_pairs(seen: DataFrame, labels: DataFrame, percent: int) -> DataFra
     return by_shingle.select(*pair).unionByName(by_hub.select(*pair)).distinct()
 
 
+def _links(seen: DataFrame) -> DataFrame:
+    return seen.where("linked").select(F.col("hub").alias("a"), F.col("member").alias("b"))
+
+
+def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Labels of components after more links."""
+    if more.isEmpty():
+        return labels
+    return components(labels.select(F.col("v").alias("a"), F.col("label").alias("b")).unionByName(more))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(_doc, n_shingles, component, class, n_links): documents linked where 100 * intersection >= percent * union.
 
@@ -180,14 +202,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     members = stored(bands.join(groups.select("key", "hub"), "key"), "members")
     pairs = members.where("rep <> hub").select("hub", F.col("rep").alias("member"))
     there = members.select(F.col("rep").alias(KEY)).distinct()
-    texts = stored(packed(docs).join(there, KEY, "left_semi"), "texts")
+    # neither side has a bound that would allow a broadcast
+    texts = stored(packed(docs).join(there.hint("merge"), KEY, "left_semi"), "texts")
     seen = stored(against_hubs(pairs, texts, percent), "compared")
-    links = seen.where("linked").select(F.col("hub").alias("a"), F.col("member").alias("b"))
-    labels = components(links)
-    more = stored(against_hubs(stored(remaining_pairs(seen, labels, percent), "pairs"), texts, percent), "compared")
-    more = more.where("linked").select(F.col("hub").alias("a"), F.col("member").alias("b"))
-    if not more.isEmpty():
-        labels = components(labels.select(F.col("v").alias("a"), F.col("label").alias("b")).unionByName(more))
+    labels = components(_links(seen))
+    seen = stored(against_hubs(recentred(still_open(seen, labels)), texts, percent), "compared")
+    labels = _joined(labels, _links(seen))
+    pairs = stored(remaining_pairs(still_open(seen, labels), percent), "pairs")
+    labels = _joined(labels, _links(stored(against_hubs(pairs, texts, percent), "compared")))
     by_class = classes.select("c1", "c2", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
     by_class = by_class.select("c1", "c2", F.col("rep").alias("class"), F.coalesce("label", "rep").alias("component"))
     alone = F.col("n") == 0
