@@ -81,13 +81,12 @@ def distance(a: str, b: str) -> Column:
     return sum(((_symbol(a, k) != _symbol(b, k)).cast("int") for k in range(SYMBOLS)), F.lit(0))
 
 
-def _against_hub(percent: int):
+def _against_hub(percent: int, list_lacking: bool):
     """Over rows sorted by hub, the hub's own text first: what each member has of the hub.
 
     linked: full sets are alike enough. n, held: size of the member's set and what of it the hub has. lacking: the
-    first shingles that the hub lacks, up to the prefix of n - ceil(percent n / 100) + 1 shingles of which any set
-    that is alike enough must have one, if shingles that the hub lacks come first. reaches: the prefix goes on into
-    the hub's shingles.
+    shingles that the hub lacks, if asked for. reaches: the n - ceil(percent n / 100) + 1 shingles of which any set that
+    is alike enough must have one, taken from those that the hub lacks first, go on into the hub's shingles.
     """
     def run(batches):
         hub = own = None
@@ -102,7 +101,7 @@ def _against_hub(percent: int):
                     has = own[at] == s
                     n, held = len(s), int(has.sum())
                     prefix = n + percent * n // -100 + 1
-                    lacking = s[~has][:prefix].view(np.int64)
+                    lacking = s[~has].view(np.int64) if list_lacking else []
                     for c, v in zip(out, (h, m, 100 * held >= percent * (len(own) + n - held), n, held, lacking,
                                           n - held < prefix)):
                         c.append(v)
@@ -114,7 +113,7 @@ def _against_hub(percent: int):
     return run
 
 
-def against_hubs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def against_hubs(pairs: DataFrame, texts: DataFrame, percent: int, list_lacking: bool = False) -> DataFrame:
     """The rows of ``_against_hub`` for distinct (hub, member) pairs. ``texts``: (_doc, packed).
 
     Members are dealt out by hub and a salt, SPREAD members a salt, each salt with a copy of the hub's text, and pass
@@ -129,7 +128,7 @@ def against_hubs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     rows = rows.select("hub", "salt", "member", "packed", (F.col("hub") != F.col("member")).alias("later"))
     rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "later")
     return rows.select("hub", "member", "packed").mapInArrow(
-        _against_hub(percent), "hub long, member long, linked boolean, n long, held long, lacking array<long>, reaches boolean")
+        _against_hub(percent, list_lacking), "hub long, member long, linked boolean, n long, held long, lacking array<long>, reaches boolean")
 
 
 def still_open(seen: DataFrame, labels: DataFrame) -> DataFrame:
@@ -151,20 +150,30 @@ def remaining_pairs(m: DataFrame, percent: int) -> DataFrame:
     """(hub, member) pairs of members of one hub, in different components, that may be alike enough.
 
     ``m``: rows of ``still_open``. The overlap that a link needs is percent / (100 + percent) of both sizes.
-    Shingles that only one component has are dropped by a map-side combined count before members meet on them.
+    How often members lack a shingle, and whether in one component only, is a map-side combined count; a member's list
+    of what its hub lacks is bounded by its text.
     """
     enough = lambda most: most * (100 + percent) >= percent * (F.col("n") + F.col("n_b"))
     sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
     apart = (F.col("member") != F.col("member_b")) & (F.col("label") != F.col("label_b")) & sizes
 
-    t = m.select("hub", "member", "label", "n", F.posexplode("lacking").alias("at", "shingle"))
-    shared = (t.groupBy("hub", "shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-              .select("hub", "shingle"))
-    t = t.join(shared, ["hub", "shingle"])
-    u = t.select("hub", "shingle", *[F.col(c).alias(f"{c}_b") for c in ("member", "label", "n", "at")])
+    smallest = m.groupBy("hub").agg(F.min("n").alias("low"))
+    own = ("member", "label", "n", "held")
+    t = m.join(smallest, "hub").select("hub", *own, "low", F.explode("lacking").alias("shingle"))
+    seen_in = t.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("f"), (F.min("label") != F.max("label")).alias("across"))
+    # rare shingles first; a partner has one of the first n - overlap + 1, with the least overlap that its size allows
+    least = F.greatest("low", F.ceil(F.col("n") * percent / 100))
+    prefix = F.col("n") - F.ceil((F.col("n") + least) * percent / (100 + percent)) + 1
+    t = (t.join(seen_in, ["hub", "shingle"]).groupBy("hub", *own, "low")
+         .agg(F.sort_array(F.collect_list(F.struct("f", "shingle", "across"))).alias("list"))
+         .select("hub", *own, F.posexplode(F.slice("list", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("at", "s"))
+         .where("s.across").select("hub", *own, "at", "s.shingle"))
+    u = t.select("hub", "shingle", *[F.col(c).alias(f"{c}_b") for c in (*own, "at")])
+    # of the overlap the hub holds at most what it holds of either, the rest is lacking in both
+    held, rest = F.least("held", "held_b"), F.least(F.col("n") - F.col("held"), F.col("n_b") - F.col("held_b"))
     by_shingle = (t.join(u, ["hub", "shingle"])
                   .where(apart & (F.col("member") < F.col("member_b")) & enough(F.col("n") - F.col("at"))
-                         & enough(F.col("n_b") - F.col("at_b"))))
+                         & enough(F.col("n_b") - F.col("at_b")) & enough(held + rest)))
 
     r = m.where("reaches").select("hub", "member", "label", "hub_label", "n", "held")
     s = r.select("hub", *[F.col(c).alias(f"{c}_b") for c in ("member", "label", "n", "held")])
@@ -206,7 +215,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     texts = stored(packed(docs).join(there.hint("merge"), KEY, "left_semi"), "texts")
     seen = stored(against_hubs(pairs, texts, percent), "compared")
     labels = components(_links(seen))
-    seen = stored(against_hubs(recentred(still_open(seen, labels)), texts, percent), "compared")
+    seen = stored(against_hubs(recentred(still_open(seen, labels)), texts, percent, True), "compared")
     labels = _joined(labels, _links(seen))
     pairs = stored(remaining_pairs(still_open(seen, labels), percent), "pairs")
     labels = _joined(labels, _links(stored(against_hubs(pairs, texts, percent), "compared")))
