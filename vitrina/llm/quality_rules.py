@@ -18,10 +18,6 @@ from vitrina.llm.common import KEY, WHITE, WHITE_RUN, doc_id, documents, one_row
 SYMBOLS = "#*$%&|<>"
 
 
-def _without(text: str, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
-
-
 def text_counts(docs: DataFrame) -> DataFrame:
     """(_doc, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of (_doc, text).
 
@@ -32,9 +28,8 @@ def text_counts(docs: DataFrame) -> DataFrame:
     has_word = f"[^{WHITE_RUN[1:-2]}]"
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(has_word))
     d = d.select(KEY, words(F.col("text")).alias("w"), lines.alias("lines"),
-                 (F.length("text") - _without("text", WHITE)).cast("long").alias("word_chars"),
-                 _without("text", SYMBOLS).cast("long").alias("n_symbols"))
-    d = d.select(KEY, "word_chars", "n_symbols", F.size("w").cast("long").alias("n_words"),
+                 F.length(F.regexp_replace("text", f"[^{SYMBOLS}]++", "")).cast("long").alias("n_symbols"))
+    d = d.select(KEY, F.length(F.array_join("w", "")).cast("long").alias("word_chars"), "n_symbols", F.size("w").cast("long").alias("n_words"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
                  F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
     window = lambda i: F.struct(F.xxhash64(F.get("h", i), F.get("h", i + 1), F.get("h", i + 2)).alias("h"), i.alias("i"))
@@ -47,31 +42,30 @@ def text_counts(docs: DataFrame) -> DataFrame:
                     F.size(covered).cast("long").alias("n_repeat_words"))
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """(host, h1, h2, copy, _doc, n): words ``n`` of each distinct normalised line of a document. A line is normalised
-    by trimming and lower case, hashed to 128 bits; ``copy`` is a hash of the whole text."""
-    d = docs.select(KEY, F.coalesce("source", F.lit("")).alias("host"), F.xxhash64("text").alias("copy"),
-                    F.explode(F.split("text", "\n")).alias("line"))
-    d = d.withColumn("line", F.lower(F.trim(F.translate("line", "\t\x0b\x0c\r", "    ")))).where(F.col("line") != "")
-    d = d.select("host", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "copy", KEY,
-                 F.size(F.split("line", " +")).cast("long").alias("n"))
-    return d.groupBy("host", "h1", "h2", "copy", KEY).agg(F.sum("n").alias("n"))
+def _normalised(line: Column) -> Column:
+    return F.lower(F.btrim(line, F.lit(WHITE)))
 
 
-def common_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """(host, h1, h2) of the lines in more than ``min_docs`` distinct documents and ``max_share`` of the documents of
-    their host."""
-    once = rows.select("host", "h1", "h2", "copy").distinct()
-    per_line = once.groupBy("host", "h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
-    per_host = rows.select("host", "copy").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    return (per_line.where(F.col("n_docs") > min_docs).join(per_host, "host")
-            .where(F.col("n_docs") > F.col("of") * max_share).select("host", "h1", "h2"))
+def common_lines(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """(line) hashes of host and normalised line for the lines in more than ``min_docs`` distinct documents and more
+    than ``max_share`` of the documents of their host. Equal texts of one host are one document."""
+    copy = F.xxhash64("text").alias("copy")
+    lines = F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.xxhash64("host", _normalised(x))))
+    once = docs.select(F.explode(lines).alias("line"), F.xxhash64("host").alias("site"), copy).distinct()
+    per_line = once.groupBy("line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("site").alias("site"))
+    per_host = (docs.select(F.xxhash64("host").alias("site"), copy).distinct()
+                .groupBy("site").agg(F.count(F.lit(1)).alias("of")))
+    return (per_line.where(F.col("n_docs") > min_docs).join(per_host, "site")
+            .where(F.col("n_docs") > F.col("of") * max_share).select("line"))
 
 
 def boilerplate_words(docs: DataFrame, min_docs: int = 10, max_share: float = 0.001) -> DataFrame:
     """(_doc, n_lines_removed, n_words_removed) of the documents that lose lines."""
-    rows = line_rows(docs)
-    return (rows.join(common_lines(rows, min_docs, max_share), ["host", "h1", "h2"])
+    d = docs.select(KEY, F.coalesce("source", F.lit("")).alias("host"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = (d.select(KEY, "host", F.explode(F.split("text", "\n")).alias("x"))
+            .select(KEY, F.xxhash64("host", _normalised(F.col("x"))).alias("line"),
+                    F.size(words(F.col("x"))).cast("long").alias("n")).where("n > 0"))
+    return (rows.join(common_lines(d, min_docs, max_share), "line")
             .groupBy(KEY).agg(F.count(F.lit(1)).alias("n_lines_removed"), F.sum("n").alias("n_words_removed")))
 
 
@@ -97,14 +91,14 @@ def op1_quality_rules(spark, sf_dir):
 
 
 OP1_SQL = r"""
-WITH ws AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS c),
-d AS (
+WITH d AS (
   SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
          list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
          string_split(coalesce(text, ''), chr(10)) AS ls
   FROM documents
 ), lines AS (
-  SELECT doc_id, host, text, line, lower(trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    '))) AS k
+  SELECT doc_id, host, text, line,
+         lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS k
   FROM (SELECT doc_id, host, text, unnest(ls) AS line FROM d)
 ), dup AS (
   SELECT doc_id, sum(c - 1) AS n_dup_lines
@@ -121,11 +115,11 @@ d AS (
 ), per_line AS (
   SELECT host, k, count(DISTINCT text) AS n FROM lines WHERE k <> '' GROUP BY ALL
 ), per_host AS (
-  SELECT host, count(DISTINCT text) AS n FROM lines WHERE k <> '' GROUP BY ALL
+  SELECT host, count(DISTINCT text) AS n FROM d GROUP BY ALL
 ), common AS (
   SELECT p.host, p.k FROM per_line p JOIN per_host h ON p.host = h.host WHERE p.n > 10 AND p.n > 0.001 * h.n
 ), gone AS (
-  SELECT l.doc_id, sum(len(regexp_split_to_array(l.k, ' +'))) AS n
+  SELECT l.doc_id, sum(len(list_filter(regexp_split_to_array(l.line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS n
   FROM lines l JOIN common c ON l.host = c.host AND l.k = c.k GROUP BY l.doc_id
 ), base AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
