@@ -15,8 +15,8 @@ from vitrina.session import ship_package
 from vitrina.sources.tables import read_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A language that scores lower is taken for none.
-LEAST_SCORE = 0.2
+#: How far from undecided to sure a text's score must lie, or it is taken for none of the languages.
+LEAST_SHARE = 0.25
 #: Percent of common shingles from which documents are near-duplicates.
 ALIKE = 80
 
@@ -31,12 +31,14 @@ def _columns(d: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows, with that language as ``lang``. Text without a letter, or with a
-    score below LEAST_SCORE, goes."""
+    """Documents in a language that the model knows, with that language as ``lang``. Text without a letter goes, and
+    text whose score is less than LEAST_SHARE of the way from undecided to sure: other languages, letter junk, and some
+    texts of a few characters."""
     ship_package(spark)
     d = _keyed(docs)
-    found = predicted(d, fitted(docs), "text", "source", "n_chars")
-    found = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    model = fitted(docs)
+    found = predicted(d, model, "text", "source", "n_chars")
+    found = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= model.least_score(LEAST_SHARE)))
     return _columns(found.withColumnRenamed("lang_pred", "lang"))
 
 

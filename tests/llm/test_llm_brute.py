@@ -12,7 +12,7 @@ from vitrina.llm import mixing, near_dedup, suffix_dedup
 from vitrina.llm.common import KEY, documents, one_row_per_document, stored
 from vitrina.llm.fingerprints import containment, distinct_count, merge, resemblance, with_sketch
 from vitrina.llm.graph import components
-from vitrina.llm.language_id import op3_language_id
+from vitrina.llm.language_id import held_out, op3_language_id
 from vitrina.llm.license_scan import TEMPLATES, license_matches
 from vitrina.llm.queries import QUERIES
 from vitrina.llm.sentencepiece_codec import MARK, load_codec
@@ -267,3 +267,20 @@ def test_repeated_rows_are_one_document(spark):
     d = spark.createDataFrame([(1, "b"), (1, "a"), (None, "x"), (None, None), (2, None)], "doc_id long, text string")
     got = sorted((r[KEY], r["text"]) for r in one_row_per_document(d).collect() if r["text"])
     assert got == [(-2 ** 63, "x"), (1, "b")]
+
+
+def test_unlearned_languages_and_letter_junk_go(spark, sf):
+    r = random.Random(2)
+    junk = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 10))) for _ in range(200))
+    other = [junk, "asdf jkl qwer uiop zxcv nm asdf ghjk qwerty", "a" * 500, "政府は昨日、新しい学校法が九月に施行されると発表した。",
+             "Il governo ha annunciato ieri che la nuova legge sulla scuola entrerà in vigore a settembre, mentre i sindacati "
+             "chiedono più tempo per discutere le modifiche proposte dalla commissione.",
+             "De regering heeft gisteren aangekondigd dat de nieuwe wet op het onderwijs in september van kracht wordt, terwijl "
+             "de vakbonden meer tijd vragen om de voorgestelde wijzigingen te bespreken.",
+             "Правительство объявило вчера, что новый закон об образовании вступит в силу в сентябре."]
+    d = documents(spark, sf).select(corpus_pipeline.COLUMNS)
+    more = spark.createDataFrame([(-i, t, None, "x", len(t)) for i, t in enumerate(other, 1)], d.schema)
+    got = {r["doc_id"] for r in corpus_pipeline.language_id(spark, d.unionByName(more), sf).collect()}
+    held = {r["doc_id"] for r in d.where(held_out() & (F.length("text") > 40)).collect()}
+    assert len(held) > 50 and held <= got
+    assert not [i for i in got if i < 0]

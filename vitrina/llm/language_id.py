@@ -86,6 +86,12 @@ class Model:
     weights: np.ndarray  # DIMS x languages
     bias: np.ndarray
 
+    def least_score(self, share: float) -> float:
+        """The score ``share`` of the way from undecided to sure. The k scores of a text sum to 1, so 1 / k is undecided
+        and no best score is lower. One language has nothing to be told from: no limit."""
+        k = len(self.languages)
+        return 1 / k + share * (1 - 1 / k) if k > 1 else 0.0
+
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score of each text; UNKNOWN and 0 without a letter or without a model."""
         names, scores = [], []
