@@ -14,6 +14,7 @@ from vitrina.llm.fingerprints import containment, distinct_count, merge, resembl
 from vitrina.llm.graph import components
 from vitrina.llm.language_id import held_out, op3_language_id
 from vitrina.llm.license_scan import TEMPLATES, license_matches
+from vitrina.llm.quality_rules import quality_rules
 from vitrina.llm.queries import QUERIES
 from vitrina.llm.sentencepiece_codec import MARK, load_codec
 from vitrina.sources.tables import read_table
@@ -284,3 +285,14 @@ def test_unlearned_languages_and_letter_junk_go(spark, sf):
     held = {r["doc_id"] for r in d.where(held_out() & (F.length("text") > 40)).collect()}
     assert len(held) > 50 and held <= got
     assert not [i for i in got if i < 0]
+
+
+def test_boilerplate_lines_leave_their_documents(spark):
+    menu = "Home | About us | Contact and more"
+    own = [f"own words of {i} " + " ".join(f"w{i}x{j}" for j in range(60)) for i in range(12)]
+    rows = [(i, f"{menu}\n{t}\n\n  {menu.upper()} \nend of {i}", "a") for i, t in enumerate(own)]
+    rows += [(100, menu, "a"), (101, menu + "\nanother host", "b"), (102, None, "a")]
+    d = spark.createDataFrame(rows, f"{KEY} long, text string, source string")
+    got = {r[KEY]: (r["n_lines_removed"], r["remaining"]) for r in quality_rules(d).collect()}
+    assert got == {**{i: (2, f"{t}\n\nend of {i}") for i, t in enumerate(own)},
+                   100: (1, ""), 101: (0, menu + "\nanother host"), 102: (0, "")}

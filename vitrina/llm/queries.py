@@ -9,12 +9,13 @@ from vitrina.llm.line_dedup import OP7_SQL, op7_line_dedup
 from vitrina.llm.mixing import op8_mixing
 from vitrina.llm.near_dedup import OP2_SQL, op2_near_dedup
 from vitrina.llm.quality_classifier import op5_quality_classifier
-from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
+from vitrina.llm.quality_rules import OP1_SQL, OP1_TEXT_SQL, op1_quality_rules, op1_remaining_text
 from vitrina.llm.sentencepiece_codec import op6_sentencepiece
 from vitrina.llm.suffix_dedup import OP9_SQL, op9_suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op1_remaining_text": op1_remaining_text,
     "op2_near_dedup": op2_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_license_scan": op4_license_scan,
@@ -28,6 +29,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
+    "op1_remaining_text": OP1_TEXT_SQL,
     "op2_near_dedup": OP2_SQL,
     "op7_line_dedup": OP7_SQL,
     "op9_suffix_dedup": OP9_SQL,
