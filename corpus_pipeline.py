@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import KEY, NO_ID, documents, one_row_per_document, stored
+from vitrina.llm.common import KEY, documents, keyed_rows, stored
 from vitrina.llm.language_id import UNKNOWN, fitted, predicted
 from vitrina.llm.line_dedup import drop_shared_lines
 from vitrina.llm.mixing import domain_labels, mixed
@@ -22,12 +22,13 @@ ALIKE = 80
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The columns of documents, one row an id, with ``_doc`` beside doc_id."""
-    return one_row_per_document(docs, *COLUMNS[2:])
+    """The columns of documents with a key ``_doc`` for each row: rows that share an id, or have none, are documents
+    of their own."""
+    return keyed_rows(docs, *COLUMNS[1:])
 
 
 def _columns(d: DataFrame) -> DataFrame:
-    return d.select(F.nullif(F.col(KEY), F.lit(NO_ID)).alias("doc_id"), *COLUMNS[1:])
+    return d.select(COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     d = _keyed(docs)
     model = fitted(docs)
-    found = predicted(d, model, "text", "source", "n_chars")
+    found = predicted(d, model, "doc_id", "text", "source", "n_chars")
     found = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= model.least_score(LEAST_SHARE)))
     return _columns(found.withColumnRenamed("lang_pred", "lang"))
 
@@ -52,7 +53,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, linked at a likeness of ALIKE percent."""
+    """The document with the smallest id (the first row of that id) of each group of near-duplicates, linked at a likeness of ALIKE percent."""
     ship_package(spark)
     d = _keyed(docs)
     groups = near_duplicates(d.select(KEY, "text"), ALIKE)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vitrina.llm import mixing, near_dedup, suffix_dedup
-from vitrina.llm.common import KEY, documents, one_row_per_document, stored
+from vitrina.llm.common import KEY, documents, keyed_rows, one_row_per_document, stored
 from vitrina.llm.fingerprints import containment, distinct_count, merge, resemblance, with_sketch
 from vitrina.llm.graph import components
 from vitrina.llm.language_id import held_out, op3_language_id
@@ -296,3 +296,34 @@ def test_boilerplate_lines_leave_their_documents(spark):
     got = {r[KEY]: (r["n_lines_removed"], r["remaining"]) for r in quality_rules(d).collect()}
     assert got == {**{i: (2, f"{t}\n\nend of {i}") for i, t in enumerate(own)},
                    100: (1, ""), 101: (0, menu + "\nanother host"), 102: (0, "")}
+
+
+def test_pipeline_rows_without_an_id_of_their_own_stay(spark, sf):
+    rows = [r.asDict() for r in documents(spark, sf).select(corpus_pipeline.COLUMNS).collect()]
+    want = {}
+    for shared in (False, True):
+        own = [{**r, "doc_id": (None, 7, r["doc_id"])[i % 3] if shared else i} for i, r in enumerate(rows)]
+        d = spark.createDataFrame([tuple(r[c] for c in corpus_pipeline.COLUMNS) for r in own],
+                                  documents(spark, sf).select(corpus_pipeline.COLUMNS).schema)
+        for name, stage in corpus_pipeline.STAGES[1:3]:  # language ID learns from other rows if ids differ
+            d = stored(stage(spark, d, sf), name)
+            want.setdefault(name, []).append(d.count())
+    assert want["near_dedup"][0] == want["near_dedup"][1] > 100
+    assert abs(want["line_dedup"][0] - want["line_dedup"][1]) <= 2 and want["line_dedup"][1] > 150
+
+
+def test_every_stage_reads_all_rows_without_an_id(spark, sf):
+    texts = [r["text"] for r in documents(spark, sf).where("lang = 'en' and length(text) between 300 and 5000").limit(30).collect()]
+    cols = documents(spark, sf).select(corpus_pipeline.COLUMNS)
+    more = spark.createDataFrame([(None, t + f" {i}", "en", "x", len(t)) for i, t in enumerate(texts)], cols.schema)
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        got = [r["text"] for r in stage(spark, cols.unionByName(more), sf).where("doc_id is null").collect()]
+        assert len(got) >= 29, name
+
+
+def test_row_keys_follow_ids_and_are_the_same_in_each_run(spark):
+    rows = [(r, f"t{i % 50}") for i, r in enumerate([None] * 60 + [3] * 20 + [2, 9, -(2 ** 63)] * 5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [sorted((r[KEY], r["doc_id"], r["text"]) for r in keyed_rows(x, "text").collect()) for x in (d, d.repartition(7))]
+    assert got[0] == got[1] and [r[0] for r in got[0]] == list(range(len(rows)))
+    assert [r[1] for r in got[0]] == [None] * 60 + sorted(r[0] for r in rows[60:])

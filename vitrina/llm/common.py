@@ -42,6 +42,31 @@ def one_row_per_document(docs: DataFrame, *extra: str, text: bool = True) -> Dat
     return d.groupBy(KEY).agg(row.alias("_row")).select(KEY, *[F.col(f"_row.{c}").alias(c) for c in cols])
 
 
+def keyed_rows(docs: DataFrame, *cols: str) -> DataFrame:
+    """Columns ``_doc``, ``doc_id`` and ``cols`` of documents, every row a document with a key of its own.
+
+    Keys follow doc_id, nulls first. Where ids are unique they are the keys, a single null has NO_ID. Else rows are
+    sorted by id and hashes of the other columns, stored, and numbered in that order, so that the keys are the same in
+    each run, rows without an id are spread over tasks, and only rows that are equal throughout can change places.
+    """
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *cols)
+    key = F.coalesce("doc_id", F.lit(NO_ID)).alias(KEY)
+    if d.groupBy(key).count().where("count > 1").limit(1).isEmpty():
+        return d.select(key, "*")
+    # the last column spreads rows that are equal throughout
+    tie = [F.xxhash64(*cols), F.hash(*cols)] if cols else []
+    d = d.withColumn("_at", F.monotonically_increasing_id()).orderBy("doc_id", *tie, "_at").drop("_at")
+    d = stored(d.select("*", F.monotonically_increasing_id().alias("_at")), "rows")
+    part = F.shiftright("_at", 33)
+    counts = d.groupBy(part.alias("_part")).count().orderBy("_part").collect()  # one row a partition
+    first, n = [], 0
+    for r in counts:
+        first += [F.lit(r["_part"]), F.lit(n)]
+        n += r["count"]
+    base = F.create_map(*first)[part].cast("long")
+    return d.select((base + F.col("_at").bitwiseAND((1 << 33) - 1)).alias(KEY), "doc_id", *cols)
+
+
 def doc_id(key: str = KEY) -> Column:
     """The id to return for ``_doc``: the reserved value becomes null again."""
     return F.nullif(F.col(key), F.lit(NO_ID)).alias("doc_id")
