@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from vitrina.llm.common import KEY, documents, keyed_rows, one_row_per_document,
 from vitrina.llm.fingerprints import containment, distinct_count, merge, resemblance, with_sketch
 from vitrina.llm.graph import components
 from vitrina.llm.language_id import held_out, op3_language_id
-from vitrina.llm.license_scan import TEMPLATES, license_matches
+from vitrina.llm.license_scan import SHINGLE, TEMPLATES, license_matches
 from vitrina.llm.quality_rules import quality_rules
 from vitrina.llm.queries import QUERIES
 from vitrina.llm.sentencepiece_codec import MARK, load_codec
@@ -184,6 +185,33 @@ def test_licenses_are_found_wherever_they_stand(spark):
     assert not (got[-1] or got[-2] or got[-3])
 
 
+def test_every_occurrence_of_a_license_counts_once(spark):
+    filler = [f"filler{i}" for i in range(120)]
+    rows, want = [], []
+    for name in ("MIT", "GPL-3.0", "Apache-2.0-header", "MIT-header"):
+        notice = re.findall(r"[a-z0-9]+", TEMPLATES[name].lower())
+        n = len(notice)
+        for at in [*range(70), 120]:  # every place to a window's start
+            rows.append(" ".join(filler[:at] + notice + filler[at:]))
+            want.append((name, [(at, 1.0)]))
+        for gap in (0, 1, 6):  # repeats, side by side too
+            rows.append(" ".join(3 * (filler[:gap] + notice)))
+            want.append((name, [(k * (gap + n) + gap, 1.0) for k in range(3)]))
+        if n > 30:
+            m = n - SHINGLE + 1
+            rows.append(" ".join(filler[:9] + ["other"] + notice[1:] + filler))  # the first word is another one
+            want.append((name, [(9, (m - 1) / m)]))
+            rows.append(" ".join(filler[:9] + notice[:12] + ["two", "more"] + notice[12:] + notice))
+            want.append((name, [(9, (m - 4) / m), (9 + n + 2, 1.0)]))
+            rows.append(" ".join(notice[:n - 5] + notice[n // 2:]))  # the second start is cut
+            want.append((name, [(0, (m - 5) / m)]))
+            rows.append(" ".join(filler[:9] + notice[15:] + notice[:15]))  # halves in the other order
+            want.append((name, [(9, (m - 4) / m)]))
+    got = {r[KEY]: r["matches"] for r in license_matches(frame(spark, list(enumerate(rows)))).collect()}
+    for i, (name, places) in enumerate(want):
+        assert [(m["first_word"], m["containment"]) for m in got[i] if m["license"] == name] == places, (i, rows[i])
+
+
 def test_quality_agrees_with_labels(spark, sf):
     d = QUERIES["op5_quality_classifier"](spark, sf).select("doc_id", "kept")
     d = d.join(read_table(spark, sf, "labels").where("quality is not null"), "doc_id")

@@ -3,8 +3,10 @@
 Words are lower-cased runs of letters and digits, shingles are five words. Templates are grouped by length; for those of
 up to L words a text is cut to windows of 2 L words, L apart, so that any occurrence lies whole in some window. A
 template with m shingles then has a likeness of at least m / (2 L - 4) to that window. Bands have one row; the number
-of bands of a group is set so that a pair of this least likeness shares none with a probability of at most MISS. A
-window that shares a band with a template is confirmed if it holds at least CONTAINED of the template's shingles.
+of bands of a group is set so that a pair of this least likeness shares none with a probability of at most MISS. A text with a
+window that shares a band with a template is searched for all its occurrences: runs of the template's shingles, in the
+template's order and no longer than a window, that hold at least CONTAINED of them. Shingles in no such run count in any
+order.
 """
 
 from __future__ import annotations
@@ -66,16 +68,20 @@ class Group:
 
     def __init__(self, words: int, templates: dict[str, np.ndarray]):
         self.words, self.names = words, list(templates)
-        self.sets = [np.unique(s) for s in templates.values()]
+        self.sets, self.places = [], []
+        for t in templates.values():
+            own, of = np.unique(t, return_inverse=True)
+            self.sets.append(own)
+            self.places.append([np.flatnonzero(of == i).tolist() for i in range(len(own))])
         least = min(len(s) for s in self.sets) / (2 * words - SHINGLE + 1)
         self.bands = math.ceil(math.log(MISS) / math.log1p(-min(least, 0.9)))
         self.xor = _rng.integers(0, 2 ** 64, self.bands, dtype=np.uint64)
         self.times = _rng.integers(0, 2 ** 64, self.bands, dtype=np.uint64) | np.uint64(1)
         self.keys = np.array([[((s ^ x) * t).min() for x, t in zip(self.xor, self.times)] for s in self.sets])
 
-    def candidates(self, s: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(text, template, first and end shingle of the window) of the windows that share a band with a template.
-        ``s``, ``at``: as of ``shingles``."""
+    def candidates(self, s: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+        """(text, template) where a window of the text shares a band with the template. ``s``, ``at``: as of
+        ``shingles``."""
         size = np.diff(at)
         windows = -(-size // self.words)
         text = np.repeat(np.arange(len(size)), windows)
@@ -95,20 +101,61 @@ class Group:
                 tail = np.minimum.reduceat(np.append(h, np.uint64(2 ** 64 - 1)), cuts)[::2]
                 least[more] = np.minimum(least[more], tail)
             found |= least[None, :] == self.keys[:, band, None]
-        return [(int(text[j]), int(i), int(starts[j]), int(end[j])) for i, j in zip(*np.nonzero(found))]
+        return sorted({(int(text[j]), int(i)) for i, j in zip(*np.nonzero(found))})
+
+    def occurrences(self, s: np.ndarray, i: int) -> list[tuple[int, float]]:
+        """(first word, containment) of all occurrences of template ``i`` in a text with the shingles ``s``.
+
+        The first word is where the template's own would be, so lost words at the start do not move it. Each shingle of
+        the text counts for one occurrence at most.
+        """
+        own, places = self.sets[i], self.places[i]
+        slot = np.minimum(np.searchsorted(own, s), len(own) - 1)
+        held = np.flatnonzero(own[slot] == s)
+        span = 2 * self.words - SHINGLE + 1
+        need = CONTAINED * len(own)
+        runs: list[list[tuple[int, int, int]]] = []  # (position, shingle, place in the template)
+        for p, u in zip(held.tolist(), slot[held].tolist()):
+            if runs and p - runs[-1][0][0] < span:
+                after = next((x for x in places[u] if x > runs[-1][-1][2]), None)
+                if after is not None:
+                    runs[-1].append((p, u, after))
+                    continue
+            runs.append([(p, u, places[u][0])])
+        found: list[tuple[int, float]] = []
+        rest: list[tuple[int, int]] = []
+
+        def any_order() -> None:
+            lo, counts = 0, {}
+            for hi, (p, u) in enumerate(rest):
+                counts[u] = counts.get(u, 0) + 1
+                while p - rest[lo][0] >= span or counts[rest[lo][1]] > 1:
+                    v = rest[lo][1]
+                    counts[v] -= 1
+                    if not counts[v]:
+                        del counts[v]
+                    lo += 1
+                # as long as the next one adds a shingle, the occurrence goes on
+                more = hi + 1 < len(rest) and rest[hi + 1][0] - rest[lo][0] < span and rest[hi + 1][1] not in counts
+                if len(counts) >= need and not more:
+                    found.append((rest[lo][0], len(counts) / len(own)))
+                    lo, counts = hi + 1, {}
+            rest.clear()
+
+        for run in runs:
+            share = len({u for _, u, _ in run}) / len(own)
+            if share >= CONTAINED:
+                any_order()
+                found.append((max(run[0][0] - run[0][2], 0), share))
+            else:
+                rest += [(p, u) for p, u, _ in run]
+        any_order()
+        return found
 
     def matches(self, s: np.ndarray, at: np.ndarray) -> list[tuple[int, str, int, float]]:
-        """(text, template, first word, containment) of the windows that are confirmed; an occurrence that two windows
-        hold counts once."""
-        best: dict[tuple[int, int, int], float] = {}
-        for text, i, start, end in self.candidates(s, at):
-            window = s[start:end]
-            held = np.flatnonzero(np.isin(window, self.sets[i]))
-            share = len(np.unique(window[held])) / len(self.sets[i])
-            if share >= CONTAINED:
-                where = (text, i, start - int(at[text]) + int(held[0]))
-                best[where] = max(best.get(where, 0.0), share)
-        return [(text, self.names[i], word, share) for (text, i, word), share in sorted(best.items())]
+        """(text, template, first word, containment) of all occurrences, in the order of text, template and place."""
+        return [(text, self.names[i], word, share) for text, i in self.candidates(s, at)
+                for word, share in sorted(self.occurrences(s[at[text]:at[text + 1]], i))]
 
 
 def groups(templates: dict[str, str]) -> list[Group]:
