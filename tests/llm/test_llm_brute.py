@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -18,6 +19,7 @@ from vitrina.llm.license_scan import SHINGLE, TEMPLATES, license_matches
 from vitrina.llm.quality_rules import quality_rules
 from vitrina.llm.queries import QUERIES
 from vitrina.llm.sentencepiece_codec import MARK, load_codec
+from vitrina.llm.text_classifier import fitted, labelled_rows, usable_labels
 from vitrina.sources.tables import read_table
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -219,6 +221,22 @@ def test_quality_agrees_with_labels(spark, sf):
     assert got.get((1, False), 0) <= 0.02 * got[1, True] and got.get((0, True), 0) <= 0.35 * got[0, False]
 
 
+def test_labels_without_a_usable_text_take_no_place(spark):
+    r = random.Random(6)
+    good, bad = (["calm", "clear", "plain", "exact"], ["click", "win", "free", "now"])
+    text = lambda i: " ".join(r.choice(bad if i % 20 == 0 else good) for _ in range(r.randrange(20, 40)))
+    docs = [(i, text(i)) for i in range(400)] + [(i, None) for i in range(400, 1000)] + [(i, "calm " * 4000) for i in range(1000, 1600)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.range(20_000).selectExpr("id as doc_id", "case when id % 20 = 0 then 'bad' else 'good' end as class")
+    usable = usable_labels(d, labels)
+    assert {r["doc_id"] for r in usable.collect()} == set(range(400))
+    got = Counter(c for _, c in labelled_rows(d, usable, {"bad": 20, "good": 380}, 100))
+    assert got == {"bad": 20, "good": 80}
+    model = fitted(d, labels, ["bad", "good"], 100)
+    p, _ = model.posteriors([b"win free click now " * 7, b"calm exact plain clear " * 7])
+    assert p[0, 0] > 0.8 and p[1, 1] > 0.9
+
+
 def test_mixture_meets_its_targets(spark):
     r = np.random.default_rng(5)
     p = r.dirichlet([2, 1, 0.5], 3000)

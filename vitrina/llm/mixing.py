@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import KEY, doc_id, documents, one_row_per_document, stored
-from vitrina.llm.text_classifier import fit, labelled_rows, scored
+from vitrina.llm.text_classifier import fitted, scored
 from vitrina.sources.tables import read_table
 
 #: Domains of ``labels`` and the weights of their tokens in the mixture.
@@ -91,7 +91,7 @@ def mixed(docs: DataFrame, texts: DataFrame, labels: DataFrame, targets: dict[st
     words has no tokens; its rate follows its posteriors like any other's.
     """
     targets = targets or TARGETS
-    model = fit(labelled_rows(texts, labels), list(targets))
+    model = fitted(texts, labels, list(targets))
     membership = stored(scored(docs, model), "membership")
     steps = fit_rates(membership, targets, budget)
     rate = rate_after(steps, [F.get("posterior", F.lit(i)) for i in range(len(targets))])

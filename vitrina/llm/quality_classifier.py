@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import KEY, doc_id, documents, one_row_per_document, stored
-from vitrina.llm.text_classifier import fit, labelled_rows, scored
+from vitrina.llm.text_classifier import fitted, scored
 from vitrina.sources.tables import read_table
 
 GOOD, BAD = "good", "bad"
@@ -72,7 +72,7 @@ def op5_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir)
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", F.when(F.col("quality") == 1, GOOD).when(F.col("quality") == 0, BAD).alias("class"))
-    model = fit(labelled_rows(docs, labels), [BAD, GOOD])
+    model = fitted(docs, labels, [BAD, GOOD])
     d = one_row_per_document(docs, "source", "lang")
     site = d.select(KEY, F.coalesce("source", F.lit("")).alias("host"), F.coalesce("lang", F.lit("")).alias("path"), "text")
     # site names ride along with the text, so no join brings them back

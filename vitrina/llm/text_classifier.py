@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import KEY, map_batches
+from vitrina.llm.common import KEY, map_batches, stored
 from vitrina.llm.textbytes import SliceHash, chunks, encoded
 
 DIMS = 1 << 16
@@ -109,19 +110,53 @@ def fit(rows: list[tuple[str, str]], classes: list[str], steps: int = 150, l2: f
     return Model(classes, words, w, mean, scale)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, str]]:
-    """At most ``rows`` (text, class) pairs of (doc_id, text) joined to (doc_id, class), picked by a hash of the id.
+def usable_labels(docs: DataFrame, labels: DataFrame, chars: int = TRAIN_CHARS) -> DataFrame:
+    """(doc_id, class) of the labelled ids with a text of at most ``chars`` characters, one row an id: an id with several
+    labels has the smallest. Only ids are shuffled."""
+    once = labels.where("doc_id is not null and class is not null").groupBy("doc_id").agg(F.min("class").alias("class"))
+    return once.join(docs.where(F.length("text") <= chars).select("doc_id"), "doc_id", "left_semi")
+
+
+def labelled_rows(docs: DataFrame, usable: DataFrame, counts: dict[str, int], rows: int = TRAIN_ROWS,
+                  chars: int = TRAIN_CHARS) -> list[tuple[str, str]]:
+    """At most ``rows`` (text, class) pairs of (doc_id, text) joined to ``usable`` (doc_id, class) with ``counts`` rows a
+    class. Classes get rows in turn as long as they have any, picked by a hash of the id.
 
-    Labels are picked first (the sample, a few KB, is what is broadcast), so whole texts are not shuffled. An id with
-    several labels, or several texts, has the smallest.
+    Ids are picked first (the sample, a few KB, is what is broadcast), so whole texts are not shuffled. An id with
+    several texts has the smallest.
     """
-    once = labels.where("doc_id is not null and class is not null").groupBy("doc_id").agg(F.min("class").alias("class"))
-    picked = once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    found = (docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= chars))
+    quota, left = {}, rows
+    for i, (name, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):  # what a class lacks others get
+        quota[name] = min(n, left // (len(counts) - i))
+        left -= quota[name]
+    picked = None
+    for name, n in quota.items():  # a few classes
+        own = usable.where(F.col("class") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        picked = own if picked is None else picked.unionByName(own)
+    if picked is None:
+        return []
+    found = (docs.select("doc_id", "text").where(F.length("text") <= chars)
              .join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("class").alias("class")))
     return [(r["text"], r["class"]) for r in found.orderBy("doc_id").collect()]
 
 
+def fitted(docs: DataFrame, labels: DataFrame, classes: list[str], rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
+    """The model of (doc_id, text) with labels (doc_id, class). Where the sample has other shares of the classes than the
+    usable labels, the model's prior is moved to theirs."""
+    usable = stored(usable_labels(docs, labels, chars), "usable")
+    counts = {r["class"]: r["count"] for r in usable.groupBy("class").count().collect()}
+    sample = labelled_rows(docs, usable, counts, rows, chars)
+    if counts and not sample:
+        raise ValueError(f"{sum(counts.values())} labelled documents, but none in the sample")
+    model = fit(sample, classes)
+    have = Counter(c for _, c in sample)
+    if have != counts:
+        for i, c in enumerate(classes):
+            if have[c]:
+                model.stats[-1, i] += np.log(counts[c] / have[c] * len(sample) / sum(counts.values()))
+    return model
+
+
 def scored(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
     """(_doc, words, posterior, carried string columns) of (_doc, text, carried...); ``posterior`` is in the order of
     the model's classes."""
