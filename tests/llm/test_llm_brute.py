@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vitrina.llm import mixing, near_dedup, suffix_dedup
+from vitrina.llm import mixing, near_dedup, suffix_dedup, text_classifier
 from vitrina.llm.common import KEY, documents, keyed_rows, one_row_per_document, stored
 from vitrina.llm.fingerprints import containment, distinct_count, merge, resemblance, with_sketch
 from vitrina.llm.graph import components
@@ -373,3 +373,15 @@ def test_row_keys_follow_ids_and_are_the_same_in_each_run(spark):
     got = [sorted((r[KEY], r["doc_id"], r["text"]) for r in keyed_rows(x, "text").collect()) for x in (d, d.repartition(7))]
     assert got[0] == got[1] and [r[0] for r in got[0]] == list(range(len(rows)))
     assert [r[1] for r in got[0]] == [None] * 60 + sorted(r[0] for r in rows[60:])
+
+
+def test_contradicted_labels_are_not_learned_from():
+    r = random.Random(8)
+    words = {"good": ["calm", "clear", "plain", "exact"], "bad": ["click", "win", "free", "now"]}
+    text = lambda c: " ".join(r.choice(words[c]) for _ in range(30))
+    rows = [(text("good"), "good") for _ in range(300)] + [(text("bad"), "bad") for _ in range(60)]
+    wrong = [(text("good"), "bad") for _ in range(25)] + [(text("bad"), "good") for _ in range(5)]
+    every = rows + wrong + [("rare words", "rare")]
+    r.shuffle(every)
+    found = text_classifier.label_errors(every, ["good", "bad", "rare"], 5)
+    assert {row for row, f in zip(every, found) if f} == set(wrong)

@@ -26,6 +26,8 @@ TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 #: Tokens of the mixture, over those it would have if the first domain kept all its tokens and no more.
 BUDGET = 1.05
 STEPS, CLOSE = 20, 1e-6
+#: Folds in which labels are judged by the other folds, before any is learned from.
+FOLDS = 5
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -86,12 +88,14 @@ def fit_rates(membership: DataFrame, targets: dict[str, float], budget: float =
 def mixed(docs: DataFrame, texts: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET) -> DataFrame:
     """(_doc, words, posterior, rate, copies) of (_doc, text) with unique ids.
 
-    Learned from ``texts`` (doc_id, text) with ``labels`` (doc_id, class). ``copies`` is the rate rounded up or down with the rate's
+    Learned from ``texts`` (doc_id, text) with ``labels`` (doc_id, class), without labels that the others contradict: a
+    class that is put on documents of other classes as well leaves each document some of its mass, which no choice of
+    documents brings to a lower target, and the rates then follow the noise. ``copies`` is the rate rounded up or down with the rate's
     fraction as the probability, by a hash of the id: the same for each run, and right in expectation. A text without
     words has no tokens; its rate follows its posteriors like any other's.
     """
     targets = targets or TARGETS
-    model = fitted(texts, labels, list(targets))
+    model = fitted(texts, labels, list(targets), folds=FOLDS)
     membership = stored(scored(docs, model), "membership")
     steps = fit_rates(membership, targets, budget)
     rate = rate_after(steps, [F.get("posterior", F.lit(i)) for i in range(len(targets))])

@@ -110,6 +110,21 @@ def fit(rows: list[tuple[str, str]], classes: list[str], steps: int = 150, l2: f
     return Model(classes, words, w, mean, scale)
 
 
+def label_errors(rows: list[tuple[str, str]], classes: list[str], folds: int) -> np.ndarray:
+    """Which (text, class) rows the other rows contradict: by a model of the other folds their class is less likely than
+    its share of all rows, so that the text speaks against it, and another is the likeliest. Classes with fewer rows than
+    folds are left alone."""
+    y = np.array([classes.index(c) for _, c in rows])
+    fold = np.arange(len(rows)) % folds
+    held = np.zeros((len(rows), len(classes)))
+    for f in range(folds):
+        model = fit([r for r, k in zip(rows, fold) if k != f], classes)
+        held[fold == f] = model.posteriors([t.encode() for (t, _), k in zip(rows, fold) if k == f])[0]
+    count = np.bincount(y, minlength=len(classes))
+    against = held[np.arange(len(y)), y] < count[y] / len(y)
+    return (count[y] >= folds) & against & (held.argmax(1) != y)
+
+
 def usable_labels(docs: DataFrame, labels: DataFrame, chars: int = TRAIN_CHARS) -> DataFrame:
     """(doc_id, class) of the labelled ids with a text of at most ``chars`` characters, one row an id: an id with several
     labels has the smallest. Only ids are shuffled."""
@@ -140,15 +155,18 @@ def labelled_rows(docs: DataFrame, usable: DataFrame, counts: dict[str, int], ro
     return [(r["text"], r["class"]) for r in found.orderBy("doc_id").collect()]
 
 
-def fitted(docs: DataFrame, labels: DataFrame, classes: list[str], rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
+def fitted(docs: DataFrame, labels: DataFrame, classes: list[str], rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS,
+           folds: int = 0) -> Model:
     """The model of (doc_id, text) with labels (doc_id, class). Where the sample has other shares of the classes than the
-    usable labels, the model's prior is moved to theirs."""
+    usable labels, the model's prior is moved to theirs. With ``folds``, rows of the sample that ``label_errors`` finds
+    are not learned from."""
     usable = stored(usable_labels(docs, labels, chars), "usable")
     counts = {r["class"]: r["count"] for r in usable.groupBy("class").count().collect()}
     sample = labelled_rows(docs, usable, counts, rows, chars)
     if counts and not sample:
         raise ValueError(f"{sum(counts.values())} labelled documents, but none in the sample")
-    model = fit(sample, classes)
+    wrong = label_errors(sample, classes, folds) if folds and len(sample) >= folds else np.zeros(len(sample), bool)
+    model = fit([row for row, w in zip(sample, wrong) if not w], classes)
     have = Counter(c for _, c in sample)
     if have != counts:
         for i, c in enumerate(classes):
