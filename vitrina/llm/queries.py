@@ -6,6 +6,7 @@ from vitrina.llm.fingerprints import op10_fingerprints
 from vitrina.llm.language_id import op3_language_id
 from vitrina.llm.license_scan import op4_license_scan
 from vitrina.llm.line_dedup import OP7_SQL, op7_line_dedup
+from vitrina.llm.merkle_manifest import OP11_SQL, op11_merkle_manifest
 from vitrina.llm.mixing import op8_mixing
 from vitrina.llm.near_dedup import OP2_SQL, op2_near_dedup
 from vitrina.llm.quality_classifier import op5_quality_classifier
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -33,4 +35,5 @@ ORACLE_SQL = {
     "op2_near_dedup": OP2_SQL,
     "op7_line_dedup": OP7_SQL,
     "op9_suffix_dedup": OP9_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
