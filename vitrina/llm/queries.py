@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from vitrina.llm.fingerprints import op10_fingerprints
 from vitrina.llm.language_id import op3_language_id
+from vitrina.llm.lexical_search import OP13_SQL, op13_lexical_search
 from vitrina.llm.license_scan import op4_license_scan
 from vitrina.llm.line_dedup import OP7_SQL, op7_line_dedup
 from vitrina.llm.merkle_manifest import OP11_SQL, op11_merkle_manifest
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL = {
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op7_line_dedup": OP7_SQL,
     "op9_suffix_dedup": OP9_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
