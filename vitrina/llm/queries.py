@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vitrina.llm.fingerprints import op10_fingerprints
+from vitrina.llm.jaccard_join import OP12_SQL, op12_jaccard_join
 from vitrina.llm.language_id import op3_language_id
 from vitrina.llm.lexical_search import OP13_SQL, op13_lexical_search
 from vitrina.llm.license_scan import op4_license_scan
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_lexical_search": op13_lexical_search,
 }
 
@@ -38,5 +40,6 @@ ORACLE_SQL = {
     "op7_line_dedup": OP7_SQL,
     "op9_suffix_dedup": OP9_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op12_jaccard_join": OP12_SQL,
     "op13_lexical_search": OP13_SQL,
 }
