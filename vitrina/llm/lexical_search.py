@@ -26,6 +26,8 @@ from vitrina.sources.tables import read_table
 
 #: Documents of a block, and items of a bundle: a dense accumulator has at most this many places.
 BLOCK, BUNDLE = 2048, 256
+#: Blocks that one copy of a bundle's items meets.
+SPREAD = 8
 #: Owners: terms in at most this share of the documents, in turn; the last owner has the rest.
 OWNERS = (0.01, 0.1)
 #: Bits of the filter of terms asked for.
@@ -192,7 +194,7 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = 50) -> DataFrame:
     posted = stored(postings.join(owned, "term").select("block", "bundle", "owner", "w", "items", "doc", "tf"), "posted")
     of = stored(bundles(asked), "bundles")
 
-    salts = max(1, heads.count() // 64)  # one bundle may be all there are: its copies meet 64 blocks each
+    salts = -(-max(1, heads.count()) // SPREAD)  # one bundle may be all there are
 
     def with_bundle(rows: DataFrame, own: DataFrame) -> DataFrame:
         own = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
