@@ -53,11 +53,10 @@ def texts(seed=5):
     return list(enumerate(rows, -20))
 
 
-@pytest.mark.parametrize("fanout, spread, percent", [(32, 16, 85), (2, 3, 85), (4, 2, 92)])
+@pytest.mark.parametrize("fanout, spread, percent", [(6, 4, 85), (1, 0, 85), (2, 1, 92)])
 def test_join_is_that_of_all_pairs(spark, monkeypatch, fanout, spread, percent):
-    monkeypatch.setattr(module, "FANOUT", fanout)
-    monkeypatch.setattr(module, "_FANOUT_BITS", fanout.bit_length() - 1)
-    monkeypatch.setattr(module, "SPREAD", spread)
+    monkeypatch.setattr(module, "FANOUT_BITS", fanout)
+    monkeypatch.setattr(module, "SPREAD_BITS", spread)
     rows = texts()
     d = spark.createDataFrame(rows, f"{KEY} long, text string").repartition(3)
     got = {r[KEY]: (r["n_shingles"], r["n_links"], r["class"], r["component"]) for r in jaccard_join(d, percent).collect()}

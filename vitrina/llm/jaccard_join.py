@@ -2,9 +2,9 @@
 
 Documents with the same shingle set are one class. Any global order of shingles serves to filter by prefixes: two sets
 that are alike enough share one of the first n - ceil(percent n / 100) + 1 shingles of either. Here that order is rare
-shingles first, as a sketch of counts of fixed size tells them, and then by hash. A class belongs to the tree of its home,
-the prefix shingle that most other classes share with it, and there to the node of its size band. A node has at most about
-FANOUT children; it holds the OR of their token bitmaps and their range of sizes, up to one root a home and band.
+shingles first, as far as a sketch of counts of fixed size tells frequent ones, and then by hash. A class belongs to the tree of its home,
+the prefix shingle that most other classes share with it, and there to a leaf of its size band. A node has about
+2^FANOUT_BITS children; it holds the OR of their token bitmaps and their range of sizes, up to one root a home and band.
 
 Pairs of roots that share a prefix shingle are traversed together, level by level. Two sets below a pair of nodes have at
 most as many shingles in common as their bitmaps have bits, and those that fell on one bit in a set; where that, or the
@@ -21,18 +21,17 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import KEY, ROWS, documents, keyed_rows, map_batches, stored
+from vitrina.llm.common import KEY, NO_ID, ROWS, doc_id, documents, keyed_rows, map_batches, stored
 from vitrina.llm.graph import components
 from vitrina.llm.textbytes import encoded, packed, shingle_sets, unpacked
 
-#: Words of a shingle, and children of a node.
-WORDS, FANOUT = 4, 32
-_FANOUT_BITS = 5
+#: Words of a shingle, and children of a node as a power of two.
+WORDS, FANOUT_BITS = 4, 6
 #: Cells of the sketch of counts, and of one row of it.
 CELLS, CELL_ROW = 1 << 20, 1 << 12
 _CELL_SHIFT = np.uint64(44)
-#: Leaves compared with one copy of a leaf in one task.
-SPREAD = 16
+#: Neighbouring leaves that are compared with one copy of a leaf in one task, as a power of two.
+SPREAD_BITS = 4
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -65,7 +64,9 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def levels(sketch: DataFrame) -> np.ndarray:
-    """The binary logarithm of each cell's count, a byte a cell. Executors add the tasks' rows up; 1 MB comes here."""
+    """How often each cell's shingles are seen, a byte a cell: the binary logarithm over twice the mean, 0 below. So the
+    order, like the work that follows from it, is the same at every size of the table. Executors add the tasks' rows up; a
+    few MB come here."""
     def rows(batches):
         total = {}
         z = zstandard.ZstdDecompressor()
@@ -74,12 +75,12 @@ def levels(sketch: DataFrame) -> np.ndarray:
                 own = np.frombuffer(z.decompress(cells), np.uint32).astype(np.uint64)
                 total[at] = own if at not in total else total[at] + own
         if total:
-            low = [np.log2(np.maximum(t, 1)).astype(np.uint8).tobytes() for t in total.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(low, pa.binary())], names=["at", "low"])
-    out = np.zeros(CELLS, np.uint8)
-    for r in sketch.where("at is not null").select("at", "cells").repartition("at").mapInArrow(rows, "at long, low binary").collect():
-        out[r["at"]:r["at"] + CELL_ROW] = np.frombuffer(r["low"], np.uint8)
-    return out
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([t.tobytes() for t in total.values()], pa.binary())],
+                                             names=["at", "total"])
+    out = np.zeros(CELLS)
+    for r in sketch.where("at is not null").select("at", "cells").repartition("at").mapInArrow(rows, "at long, total binary").collect():
+        out[r["at"]:r["at"] + CELL_ROW] = np.frombuffer(r["total"], np.uint64)
+    return np.log2(np.maximum(out / max(2 * out.mean(), 1), 1)).astype(np.uint8)
 
 
 def prefixes(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
@@ -144,14 +145,14 @@ def _number(no: Column, level: int) -> Column:
 
 
 def tree(members: DataFrame) -> list[DataFrame]:
-    """The nodes of each level, leaves first, of (node, home, band, no, n, packed); a level above has a node for each
-    FANOUT numbers of the one below, the last one root a home and band."""
+    """The nodes of each level, leaves first, of (node, home, band, no, n, packed); a level above has a node for
+    2^FANOUT_BITS numbers of the one below, the last one root a home and band."""
     one = members.select("node", "home", "band", "no", F.col("n").alias("lo"), F.col("n").alias("hi"), F.lit(1).cast("long").alias("m"), "packed")
     rows = map_batches(one, _signatures, _NODE)
     out = []
     while True:
         rows = rows.repartition("node").sortWithinPartitions("node").mapInArrow(_combined, _NODE)
-        up = F.shiftright("no", _FANOUT_BITS)
+        up = F.shiftright("no", FANOUT_BITS)
         nodes = stored(rows.withColumn("parent", _number(up, len(out) + 1)), "nodes")
         out.append(nodes)
         if not nodes.agg(F.max("no")).first()[0]:
@@ -172,18 +173,22 @@ def _possible(percent: int):
                 a = a[:len(a) // 2] | a[len(a) // 2:]
             most = min(int(np.unpackbits(a & b).sum()) + extra, hi_a, hi_b)
             keep.append(most * (100 + percent) >= percent * least)
-        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        return batch.select(["a", "b", "salt"]).filter(pa.array(keep, pa.bool_()))
     return rows
 
 
-def pruned(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that may have links below them."""
-    cols = ("lo", "hi", "m", "extra", "bits")
-    side = lambda s: nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in cols])
-    d = pairs.join(side("a"), "a").join(side("b"), "b").where("a <> b or m_a > 1")
+def pruned(pairs: DataFrame, nodes: DataFrame, on: str, percent: int) -> DataFrame:
+    """(a, b, salt): the pairs of ``nodes`` that may have links below them, of those whose ``on`` (node or parent) are a
+    pair (a, b). ``salt`` is the same for 2^SPREAD_BITS neighbours of b."""
+    cols = ("node", "home", "band", "no", "lo", "hi", "m", "extra", "bits")
+    side = lambda s: nodes.select(F.col(on).alias(s), *[F.col(c).alias(f"{c}_{s}") for c in cols])
+    d = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    d = d.where("a <> b or node_a < node_b or (node_a = node_b and m_a > 1)")
     d = d.where((100 * F.col("hi_a") >= percent * F.col("lo_b")) & (100 * F.col("hi_b") >= percent * F.col("lo_a")))
-    d = d.select("a", "b", "bits_a", "bits_b", "extra_a", "extra_b", "hi_a", "hi_b", (F.col("lo_a") + F.col("lo_b")).alias("least"))
-    return stored(map_batches(d, _possible(percent), "a long, b long"), "pairs")
+    d = d.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"),
+                 F.xxhash64("home_b", "band_b", F.shiftright("no_b", SPREAD_BITS)).alias("salt"),
+                 "bits_a", "bits_b", "extra_a", "extra_b", "hi_a", "hi_b", (F.col("lo_a") + F.col("lo_b")).alias("least"))
+    return map_batches(d, _possible(percent), "a long, b long, salt long")
 
 
 def _linked(a: dict, b: dict, percent: int, same: bool) -> list[tuple[int, int, int]]:
@@ -250,12 +255,10 @@ def _compared(percent: int):
 
 
 def compared(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(v, links, label) of pairs (a, b) of leaves. A copy of a leaf meets SPREAD others; a task holds two leaves."""
-    salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("long").alias("salts"))
-    p = pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts"))).drop("salts")
+    """(v, links, label) of pairs (a, b, salt) of leaves. A copy of a goes to each salt; a task holds two leaves."""
     cols = (F.col("rep").alias("member"), "copies", "packed")
-    there = p.join(members.select(F.col("node").alias("b"), *cols), "b").select("a", "salt", "b", "member", "copies", "packed")
-    own = p.select("a", "salt").distinct().join(members.select(F.col("node").alias("a"), *cols), "a")
+    there = pairs.join(members.select(F.col("node").alias("b"), *cols), "b").select("a", "salt", "b", "member", "copies", "packed")
+    own = pairs.select("a", "salt").distinct().join(members.select(F.col("node").alias("a"), *cols), "a")
     rows = own.select("a", "salt", F.lit(None).cast("long").alias("b"), "member", "copies", "packed").unionByName(there)
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
     return rows.mapInArrow(_compared(percent), "v long, links long, label long")
@@ -275,16 +278,16 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
     sets = first.where("at is null").drop("at", "cells")
     classes = stored(sets.where("n > 0").groupBy("c1", "c2").agg(F.min(KEY).alias("rep"), F.first("n").alias("n"),
                                                                  F.count(F.lit(1)).alias("copies")), "classes")
-    found = prefixes(docs, levels(first), percent).withColumnRenamed(KEY, "rep").join(classes.select("rep", "n"), "rep")
+    found = prefixes(docs, levels(first), percent).withColumnRenamed(KEY, "rep").join(classes.select("rep", "n", "copies"), "rep")
     found = stored(found.withColumn("band", band("n")), "prefixes")
-    tokens = found.select("rep", "n", "band", F.explode("prefix").alias("token"))
+    tokens = found.select("rep", "n", "copies", "band", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     tokens = stored(tokens.join(shared, "token"), "tokens")
 
-    homes = tokens.groupBy("rep", "n", "band").agg(F.max_by("token", F.struct("df", "token")).alias("home"))
-    leaves = homes.groupBy("home", "band").agg(F.ceil(F.count(F.lit(1)) / FANOUT).cast("long").alias("leaves"))
-    homes = homes.join(leaves, ["home", "band"]).withColumn("no", F.pmod(F.xxhash64("rep"), F.col("leaves"))).drop("leaves")
-    homes = homes.withColumn("node", _number(F.col("no"), 0)).join(classes.select("rep", "copies"), "rep")
+    homes = tokens.groupBy("rep", "n", "copies", "band").agg(F.max(F.struct("df", F.col("token").alias("home"))).alias("h"))
+    leaves = F.ceil(F.col("h.df") / (1 << FANOUT_BITS)).cast("long")
+    homes = homes.select("rep", "n", "copies", "band", "h.home", F.pmod(F.xxhash64("rep"), leaves).alias("no"))
+    homes = homes.withColumn("node", _number(F.col("no"), 0))
     # neither side has a bound that would allow a broadcast
     members = stored(packed(docs).withColumnRenamed(KEY, "rep").join(homes.hint("merge"), "rep"), "members")
 
@@ -293,11 +296,10 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
     t = stored(tokens.select("rep", "token", "band").join(root, "rep").select("token", "band", "root").distinct(), "roots")
     near = t.select("token", F.col("band").alias("own"), F.col("root").alias("a"), F.explode(F.array("band", F.col("band") + 1)).alias("band"))
     pairs = near.join(t.withColumnRenamed("root", "b"), ["token", "band"]).where("own < band or a <= b").select("a", "b").distinct()
-    pairs = pruned(pairs, nodes[-1], percent)
+    pairs = pruned(pairs, nodes[-1], "node", percent)
     for level in reversed(nodes[:-1]):
-        below = lambda s: level.select(F.col("parent").alias(s), F.col("node").alias(f"{s}_below"))  # noqa: E731, B023
-        pairs = pairs.join(below("a"), "a").join(below("b"), "b").where("a <> b or a_below <= b_below")
-        pairs = pruned(pairs.select(F.col("a_below").alias("a"), F.col("b_below").alias("b")), level, percent)
+        pairs = pruned(pairs, level, "parent", percent)
+    pairs = stored(pairs, "pairs")
 
     seen = stored(compared(pairs, members, percent), "links")
     labels = components(seen.select(F.col("v").alias("a"), F.col("label").alias("b")))
@@ -315,8 +317,11 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
 def op12_jaccard_join(spark, sf_dir):
     """The join of ``documents`` with itself, a row for each of its rows; rows that share an id are documents each."""
     docs = keyed_rows(documents(spark, sf_dir), "text")
-    d = stored(jaccard_join(docs), "joined")
     ids = docs.select(KEY, "doc_id")
+    d = jaccard_join(docs)
+    if ids.where(F.coalesce("doc_id", F.lit(NO_ID)) != F.col(KEY)).isEmpty():  # keys are ids
+        return d.select(doc_id(), "n_shingles", doc_id("component").alias("component_id"), doc_id("class").alias("class_id"), "n_links")
+    d = stored(d, "joined")
     groups = d.select("class", "component").distinct()
     for c in ("class", "component"):
         groups = groups.join(ids.select(F.col(KEY).alias(c), F.col("doc_id").alias(f"{c}_id")), c)
