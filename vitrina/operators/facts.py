@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from vitrina.functions.text import truncate
 from vitrina.operators.clean import NOT_GIVEN
 from vitrina.operators.merge import split_valid
 from vitrina.operators.surrogate import dense_index
+from vitrina.session import cut_lineage
 
 MONEY = "decimal(12,2)"
 
@@ -38,6 +39,44 @@ def asof_bind(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str, d
     return facts.join(d, cond, how).drop("_dk", "_eff", "_exp")
 
 
+def asof_merge(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: str, dim_key: str, surrogate: str,
+               partitions: int | None = None) -> DataFrame:
+    """J-3 by a sorted merge, for dimensions whose keys may have very many
+    versions: ``asof_bind`` pairs a fact with all versions of its key before it
+    tests the dates, this reads each fact and each version once.
+
+    Facts and versions are united and range-partitioned on (key, date, versions
+    first, a hash that spreads equal ones). Inside a partition the last version
+    so far is carried forward; what crosses a partition's edge comes from a
+    summary with one row a partition. The version holds if it is the fact's
+    key's and the date lies in [effective, expiration). A key may have a third
+    of all facts and of all versions. Versions of a key must not overlap (as
+    those of a type-2 dimension don't); facts without a version, a key or a
+    date get NULL.
+    """
+    kind = dim.schema[dim_key].dataType
+    version = F.struct(F.col(dim_key).alias("k"), F.col("effective_date").cast("date").alias("eff"),
+                       F.col("expiration_date").cast("date").alias("exp"), F.col(surrogate).alias("v"))
+    f = facts.select(F.col(fact_key).try_cast(kind).alias("_k"), F.col(fact_date).cast("date").alias("_at"), F.lit(1).alias("_side"),
+                     F.struct(*facts.columns).alias("_row"), F.lit(None).cast(dim.select(version).schema[0].dataType).alias("_ver"))
+    v = dim.select(F.col(dim_key).alias("_k"), F.col("effective_date").cast("date").alias("_at"), F.lit(0).alias("_side"),
+                   F.lit(None).cast(f.schema["_row"].dataType).alias("_row"), version.alias("_ver"))
+    x = f.unionByName(v).withColumn("_h", F.xxhash64("_row"))
+    order = ["_k", "_at", "_side", F.col("_ver.exp"), "_h"]
+    n = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = cut_lineage(x.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id()))
+
+    last = x.where("_side = 0").groupBy("_b").agg(F.max_by("_ver", F.struct("_k", "_at", F.col("_ver.exp"))).alias("_ver"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    edges = (x.select("_b").distinct().join(last, "_b", "left")
+             .select("_b", F.last("_ver", ignorenulls=True).over(before).alias("_edge")))
+    so_far = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    y = (x.withColumn("_last", F.last("_ver", ignorenulls=True).over(so_far)).where("_side = 1")
+         .join(F.broadcast(edges), "_b").withColumn("_ver", F.coalesce("_last", "_edge")))
+    holds = (F.col("_ver.k") == F.col("_k")) & (F.col("_at") >= F.col("_ver.eff")) & (F.col("_at") < F.col("_ver.exp"))
+    return y.select("_row.*", F.when(holds, F.col("_ver.v")).alias(surrogate))
+
+
 def current_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, surrogate: str) -> DataFrame:
     """J-1: bind to the current version only."""
     d = dim.where("is_current").select(F.col(dim_key).alias("_dk"), F.col(surrogate))
@@ -85,13 +124,14 @@ def fact_checks() -> dict[str, Column]:
 
 
 def fact_orders(lines: DataFrame, dim_customers: DataFrame, dim_products: DataFrame, statuses: DataFrame,
-                load_date: str, source_system: str = "postgres_source") -> tuple[DataFrame, DataFrame]:
+                load_date: str, source_system: str = "postgres_source", bind=asof_bind) -> tuple[DataFrame, DataFrame]:
     """B-5: order lines bound to the customer and product versions valid on
-    the order date, with date/time/status keys. Returns (facts, rejected by
+    the order date, with date/time/status keys. ``bind``: asof_bind, or
+    asof_merge for keys with very many versions. Returns (facts, rejected by
     the CHECK constraints)."""
     valid, rejected = split_valid(lines, fact_checks())
-    f = asof_bind(valid, dim_customers, "customer_id", "order_date", "customer_id", "customer_key")
-    f = asof_bind(f, dim_products, "product_id", "order_date", "product_id", "product_key")
+    f = bind(valid, dim_customers, "customer_id", "order_date", "customer_id", "customer_key")
+    f = bind(f, dim_products, "product_id", "order_date", "product_id", "product_key")
     f = status_lookup(f, statuses)
     out = f.select(
         "customer_key", "product_key", date_key("order_date").cast("int").alias("date_key"),
@@ -103,9 +143,9 @@ def fact_orders(lines: DataFrame, dim_customers: DataFrame, dim_products: DataFr
 
 
 def fact_payments(payments: DataFrame, dim_customers: DataFrame, load_date: str,
-                  source_system: str = "postgres_source") -> DataFrame:
+                  source_system: str = "postgres_source", bind=asof_bind) -> DataFrame:
     """B-6: payments bound to the customer version valid on the payment date."""
-    f = asof_bind(payments, dim_customers, "customer_id", "payment_ts", "customer_id", "customer_key")
+    f = bind(payments, dim_customers, "customer_id", "payment_ts", "customer_id", "customer_key")
     ts = F.col("payment_ts")
     return f.select(
         "customer_key", date_key(ts).cast("int").alias("date_key"),

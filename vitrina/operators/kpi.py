@@ -78,16 +78,46 @@ def daily_kpis(orders: DataFrame, date_col: str = "order_date",
             .select("t.*", F.coalesce("_top", F.lit(city_fallback)).alias("top_city")))
 
 
+def active_customers(orders: DataFrame, dates: DataFrame, lookback_days: int) -> DataFrame:
+    """(analytics_date, active_customers) of ``dates`` (one column, distinct):
+    customers with an order in the ``lookback_days`` + 1 days up to the date.
+    ``orders``: (_d, customer_id).
+
+    An interval sweep: a customer is active from an order date until the look-
+    back has passed; dates that follow within it go on with the same interval.
+    An interval's start counts +1 and the day after its end -1, so a customer's
+    order dates are never copied to run dates. Events are summed per date,
+    combined map-side, and their running sum over the calendar (a row a date)
+    is the number of active customers.
+    """
+    w = Window.partitionBy("customer_id").orderBy("_d")  # at most a row a date
+    once = orders.where("_d is not null and customer_id is not null").select(F.col("_d").cast("date").alias("_d"), "customer_id").distinct()
+    after = lookback_days + 1
+    starts = F.coalesce(F.datediff("_d", F.lag("_d").over(w)) > after, F.lit(True)).cast("int")
+    ends = F.coalesce(F.datediff(F.lead("_d").over(w), "_d") > after, F.lit(True)).cast("int")
+    # per date first: how many intervals start, and how many end with it
+    by_date = once.select("_d", starts.alias("s"), ends.alias("e")).groupBy("_d").agg(F.sum("s").alias("s"), F.sum("e").alias("e"))
+    events = (by_date.select(F.col("_d").alias("day"), F.col("s").alias("n"))
+              .unionByName(by_date.select(F.date_add("_d", after).alias("day"), (-F.col("e")).alias("n")))
+              .select(F.col("day").alias("analytics_date"), "n", F.lit(False).alias("_asked")))
+    days = dates.select(F.col("analytics_date").cast("date").alias("analytics_date"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("_asked"))
+    calendar = events.unionByName(days).groupBy("analytics_date").agg(F.sum("n").alias("n"), F.bool_or("_asked").alias("_asked"))
+    running = F.sum("n").over(Window.orderBy("analytics_date").rowsBetween(Window.unboundedPreceding, 0))
+    return (calendar.where("analytics_date is not null").withColumn("active_customers", running).where("_asked")
+            .select("analytics_date", "active_customers"))
+
+
 def rolling_kpis(orders: DataFrame, lookback_days: int = 7, date_col: str = "order_date",
                  city_fallback: str = FINAL_TOP_CITY_FALLBACK) -> DataFrame:
     """A-1 for every run date: the final run reports, on run date R, all
     orders with order_date >= R - lookback (nothing later exists yet), as one
     row keyed by R; avg_order_value divides by all rows of the window.
 
-    Orders are first reduced per order date (totals), per (date, city)
-    (counts) and per distinct (date, customer); only these reduced rows are
-    replicated to the lookback+1 run dates that see them, then summed per run
-    date. The three results are one row per run date and joined on it.
+    Orders are first reduced per order date (totals) and per (date, city)
+    (counts); only these reduced rows are replicated to the lookback+1 run
+    dates that see them, then summed per run date. Customers are counted by
+    ``active_customers``, without copies. The three results are one row per
+    run date and joined on it.
     """
     d = F.col(date_col)
     runs = F.explode(F.sequence(d, F.date_add(d, lookback_days))).alias("analytics_date")
@@ -99,8 +129,7 @@ def rolling_kpis(orders: DataFrame, lookback_days: int = 7, date_col: str = "ord
               .agg(F.sum("_n").alias("total_orders"),
                    F.coalesce(F.sum("_s"), F.lit(0)).cast(MONEY_SUM).alias("total_revenue"),
                    ratio(F.coalesce(F.sum("_s"), F.lit(0)), F.sum("_n")).alias("avg_order_value")))
-    customers = (orders.select(d, "customer_id").distinct().select(runs, "customer_id")
-                 .groupBy("analytics_date").agg(F.countDistinct("customer_id").alias("active_customers")))
+    customers = active_customers(orders.select(d.alias("_d"), "customer_id"), totals.select("analytics_date"), lookback_days)
     out = totals.join(customers, "analytics_date", "left")
     if "shipping_city" in orders.columns:
         cities = (orders.groupBy(d, "shipping_city").agg(F.count(F.lit(1)).alias("_c"))

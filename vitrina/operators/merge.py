@@ -192,15 +192,12 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
 
 def read_appended(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """A table of appended parts: the rows of every committed part; filters on
-    the partition column skip the files of other partitions."""
+    the partition column skip the files of other partitions. One scan, however
+    many parts there are."""
     parts = [f"{base.rstrip('/')}/v={v:06d}" for v in committed_versions(spark, base)]
     if not parts:
         return spark.createDataFrame([], schema)
-    frames = [spark.read.schema(schema).parquet(p) for p in parts]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select(*schema.fieldNames())
+    return spark.read.schema(schema).option("basePath", base).parquet(*parts).select(*schema.fieldNames())
 
 
 def append_absent(spark: SparkSession, base: str, schema: T.StructType, source: DataFrame, keys,

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrina.functions.text import full_name, ustrip
-from vitrina.operators.merge import committed_versions
+from vitrina.operators.merge import _versions, committed_versions
 from vitrina.operators.surrogate import dense_index, max_key, tie_break
 from vitrina.session import cut_lineage
 
@@ -254,13 +254,14 @@ def write_dimension(merged: Merged, base: str) -> None:
     """Commit a merge: closed rows are appended under ``history``, current rows
     become the next version under ``current``. The current version's _SUCCESS
     marker commits both, so a failed run leaves the previous state; history
-    of earlier runs is never written again."""
+    of earlier runs is never written again. A run takes a version that no
+    other one has begun, and fails where another has taken it meanwhile;
+    ``catalog.Transaction`` commits several tables at once."""
     spark = merged.current.sparkSession
-    versions = committed_versions(spark, f"{base}/current")
-    v = f"v={(versions[-1] + 1 if versions else 1):06d}"
-    # overwrite: an uncommitted attempt of the same version may have left files
-    merged.closed.write.mode("overwrite").parquet(f"{base}/history/{v}")
-    merged.current.write.mode("overwrite").parquet(f"{base}/current/{v}")
+    begun = [*_versions(spark, f"{base}/current"), *_versions(spark, f"{base}/history")]
+    v = f"v={max(begun, default=0) + 1:06d}"
+    merged.closed.write.mode("errorifexists").parquet(f"{base}/history/{v}")
+    merged.current.write.mode("errorifexists").parquet(f"{base}/current/{v}")
 
 
 def read_current_rows(spark, base: str, spec: DimSpec = CUSTOMERS) -> DataFrame:

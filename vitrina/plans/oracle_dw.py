@@ -430,3 +430,28 @@ UNION ALL {_long("latest_kpi", "lk", ["total_orders", "active_customers"], ["tot
 UNION ALL {_counts("table_counts", "tables_", "table_name", "row_count")}
 UNION ALL {_counts("table_counts", "(SELECT sum(row_count) AS n FROM tables_)", "'TOTAL'", "n")}
 UNION ALL {_counts("top_categories", "tc", "category", '"count"')}"""
+
+
+# ------------------------------------------------- indexed tables, one commit log
+SQL["upsert_by_files"] = f"""WITH top AS (SELECT max(o_orderkey) AS k FROM orders)
+SELECT o_orderkey AS order_id,
+       CASE WHEN o_orderkey * 100 > k * 99 THEN lower(o_orderstatus) ELSE o_orderstatus END AS status,
+       CASE WHEN o_orderkey * 100 > k * 99 THEN o_totalprice * 2 ELSE o_totalprice END AS total,
+       CASE WHEN o_orderkey * 1000 <= k * 995 THEN 'first' ELSE 'second' END AS note,
+       CASE WHEN o_orderkey * 100 > k * 99 THEN TIMESTAMP '{RUN_DATE} 09:00:00' END AS updated_at
+FROM orders, top"""
+SQL["scd2_by_buckets"] = SQL["scd2_customers"]
+SQL["fact_orders_merged"] = SQL["fact_orders"]
+SQL["insert_defaults"] = f"""SELECT o_orderkey AS order_id, CASE WHEN o_orderstatus = 'P' THEN 'Pending' ELSE o_orderstatus END AS status,
+       CAST(NULL AS VARCHAR) AS payment_method, CAST(1 AS INTEGER) AS quantity, 'postgres_source' AS source_system,
+       DATE '{RUN_DATE}' AS load_date, CAST(NULL AS VARCHAR) AS comment
+FROM orders"""
+SQL["warehouse_commit"] = f"""WITH n AS (SELECT (SELECT count(*) FROM ({SQL["fact_orders"]})) AS lines, (SELECT count(*) FROM lineitem) AS items)
+SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM customer
+UNION ALL SELECT 'dim_customers_history', 0
+UNION ALL SELECT 'dim_products', count(*) FROM part
+UNION ALL SELECT 'dim_products_history', 0
+UNION ALL SELECT 'fact_orders', lines FROM n
+UNION ALL SELECT 'rejected_orders', items - lines FROM n
+UNION ALL SELECT 'fact_payments', count(*) FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT 'data_quality_metrics', 2"""

@@ -243,5 +243,5 @@ def q_declared_kpis(spark, d):
 
 def queries() -> dict[str, Query]:
     # Import the modules that register more queries.
-    from vitrina.plans import queries_dw  # noqa: F401
+    from vitrina.plans import queries_catalog, queries_dw  # noqa: F401
     return dict(REGISTRY)
