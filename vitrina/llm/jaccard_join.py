@@ -28,8 +28,8 @@ from vitrina.llm.textbytes import encoded, packed, shingle_sets, unpacked
 #: Words of a shingle, and children of a node as a power of two.
 WORDS, FANOUT_BITS = 4, 6
 #: Cells of the sketch of counts, and of one row of it.
-CELLS, CELL_ROW = 1 << 20, 1 << 12
-_CELL_SHIFT = np.uint64(44)
+CELLS, CELL_ROW = 1 << 21, 1 << 13
+_CELL_SHIFT = np.uint64(43)
 #: Neighbouring leaves that are compared with one copy of a leaf in one task, as a power of two.
 SPREAD_BITS = 4
 
@@ -63,10 +63,10 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.select(KEY, "text").mapInArrow(rows, f"{KEY} long, n long, c1 long, c2 long, at long, cells binary")
 
 
-def levels(sketch: DataFrame) -> np.ndarray:
-    """How often each cell's shingles are seen, a byte a cell: the binary logarithm over twice the mean, 0 below. So the
-    order, like the work that follows from it, is the same at every size of the table. Executors add the tasks' rows up; a
-    few MB come here."""
+def rarity(sketch: DataFrame) -> np.ndarray:
+    """The rank of each cell's count among all cells, in two bytes a cell. A prefix takes the shingles of the least filled
+    cells; a shingle that fills its cell by more than chance does is hardly ever among them, at any size of the table.
+    Executors add the tasks' rows up; a few MB come here."""
     def rows(batches):
         total = {}
         z = zstandard.ZstdDecompressor()
@@ -80,7 +80,9 @@ def levels(sketch: DataFrame) -> np.ndarray:
     out = np.zeros(CELLS)
     for r in sketch.where("at is not null").select("at", "cells").repartition("at").mapInArrow(rows, "at long, total binary").collect():
         out[r["at"]:r["at"] + CELL_ROW] = np.frombuffer(r["total"], np.uint64)
-    return np.log2(np.maximum(out / max(2 * out.mean(), 1), 1)).astype(np.uint8)
+    values, place = np.unique(out, return_inverse=True)
+    rank = np.cumsum(np.bincount(place, minlength=len(values))) - 1  # equal counts have equal ranks
+    return (rank[place] * 65535 // (CELLS - 1)).astype(np.uint16)
 
 
 def prefixes(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
@@ -278,11 +280,12 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
     sets = first.where("at is null").drop("at", "cells")
     classes = stored(sets.where("n > 0").groupBy("c1", "c2").agg(F.min(KEY).alias("rep"), F.first("n").alias("n"),
                                                                  F.count(F.lit(1)).alias("copies")), "classes")
-    found = prefixes(docs, levels(first), percent).withColumnRenamed(KEY, "rep").join(classes.select("rep", "n", "copies"), "rep")
+    found = prefixes(docs, rarity(first), percent).withColumnRenamed(KEY, "rep").join(classes.select("rep", "n", "copies"), "rep")
     found = stored(found.withColumn("band", band("n")), "prefixes")
-    tokens = found.select("rep", "n", "copies", "band", F.explode("prefix").alias("token"))
+    tokens = found.select("rep", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    tokens = stored(tokens.join(shared, "token"), "tokens")
+    tokens = tokens.join(shared, "token").join(found.select("rep", "n", "copies", "band"), "rep")
+    tokens = stored(tokens, "tokens")
 
     homes = tokens.groupBy("rep", "n", "copies", "band").agg(F.max(F.struct("df", F.col("token").alias("home"))).alias("h"))
     leaves = F.ceil(F.col("h.df") / (1 << FANOUT_BITS)).cast("long")
