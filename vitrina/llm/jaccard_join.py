@@ -6,7 +6,8 @@ shingles first, as far as a sketch of counts of fixed size tells frequent ones,
 the prefix shingle that most other classes share with it, and there to a leaf of its size band. A node has about
 2^FANOUT_BITS children; it holds the OR of their token bitmaps and their range of sizes, up to one root a home and band.
 
-Pairs of roots that share a prefix shingle are traversed together, level by level. Two sets below a pair of nodes have at
+Pairs of roots that share a prefix shingle, early enough in their sets to be the first one in common of sets that are alike
+enough, are traversed together, level by level. Two sets below a pair of nodes have at
 most as many shingles in common as their bitmaps have bits, and those that fell on one bit in a set; where that, or the
 sizes, can't make a link, the pair goes. Pairs of leaves that are left are compared on full sets. Each gives every class
 its number of links and the smallest class of its component, so that a group of near copies makes no list of all pairs.
@@ -25,6 +26,9 @@ from vitrina.llm.common import KEY, NO_ID, ROWS, doc_id, documents, keyed_rows,
 from vitrina.llm.graph import components
 from vitrina.llm.textbytes import encoded, packed, shingle_sets, unpacked
 
+#: Size bands a doubling, and how far apart sizes that are alike enough can be.
+BANDS = 16
+NEAR = 5
 #: Words of a shingle, and children of a node as a power of two.
 WORDS, FANOUT_BITS = 4, 6
 #: Cells of the sketch of counts, and of one row of it.
@@ -98,13 +102,13 @@ def prefixes(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
 
 
 def band(n: str) -> Column:
-    """Sizes that are alike enough (from 0.84) are in one band or in neighbours."""
-    return F.floor(4 * F.log2(F.col(n)) + 1e-9)
+    """Sizes that are alike enough (from 0.84) are at most NEAR bands apart."""
+    return F.floor(BANDS * F.log2(F.col(n)) + 1e-9)
 
 
 def bitmap_width(of: int) -> int:
     """Bits for the sets of a band: a power of two, two a shingle at least."""
-    return max(64, 1 << int(np.ceil((of + 1) / 4)) + 1)
+    return max(64, 1 << int(np.ceil((of + 1) / BANDS)) + 1)
 
 
 _NODE = "node long, home long, band long, no long, lo long, hi long, m long, extra long, bits binary"
@@ -282,12 +286,14 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
                                                                  F.count(F.lit(1)).alias("copies")), "classes")
     found = prefixes(docs, rarity(first), percent).withColumnRenamed(KEY, "rep").join(classes.select("rep", "n", "copies"), "rep")
     found = stored(found.withColumn("band", band("n")), "prefixes")
-    tokens = found.select("rep", F.explode("prefix").alias("token"))
+    tokens = found.select("rep", F.posexplode("prefix").alias("at", "token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     tokens = tokens.join(shared, "token").join(found.select("rep", "n", "copies", "band"), "rep")
-    tokens = stored(tokens, "tokens")
+    # most that a set has in common with one that shares this shingle and none before it
+    tokens = stored(tokens.withColumn("most", F.col("n") - F.col("at")), "tokens")
 
-    homes = tokens.groupBy("rep", "n", "copies", "band").agg(F.max(F.struct("df", F.col("token").alias("home"))).alias("h"))
+    serves = F.col("most") * (100 + percent) >= 2 * percent * F.col("n")  # links sets of one size
+    homes = tokens.groupBy("rep", "n", "copies", "band").agg(F.max(F.struct(serves.alias("serves"), "df", F.col("token").alias("home"))).alias("h"))
     leaves = F.ceil(F.col("h.df") / (1 << FANOUT_BITS)).cast("long")
     homes = homes.select("rep", "n", "copies", "band", "h.home", F.pmod(F.xxhash64("rep"), leaves).alias("no"))
     homes = homes.withColumn("node", _number(F.col("no"), 0))
@@ -296,9 +302,14 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     nodes = tree(members)
     root = members.select("rep", _number(F.lit(0).cast("long"), len(nodes) - 1).alias("root"))
-    t = stored(tokens.select("rep", "token", "band").join(root, "rep").select("token", "band", "root").distinct(), "roots")
-    near = t.select("token", F.col("band").alias("own"), F.col("root").alias("a"), F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    pairs = near.join(t.withColumnRenamed("root", "b"), ["token", "band"]).where("own < band or a <= b").select("a", "b").distinct()
+    t = (tokens.select("rep", "n", "token", "band", "most").join(root, "rep").groupBy("token", "band", "root")
+         .agg(F.max("most").alias("most"), F.min("n").alias("low")))
+    t = stored(t, "roots")
+    near = t.select("token", F.col("band").alias("own"), F.col("root").alias("a"), F.col("most").alias("most_a"), F.col("low").alias("low_a"),
+                    F.explode(F.sequence("band", F.col("band") + NEAR)).alias("band"))
+    pairs = near.join(t.withColumnRenamed("root", "b"), ["token", "band"]).where("own < band or a <= b")
+    pairs = pairs.where(F.least("most_a", "most") * (100 + percent) >= percent * (F.col("low_a") + F.col("low")))
+    pairs = pairs.select("a", "b").distinct()
     pairs = pruned(pairs, nodes[-1], "node", percent)
     for level in reversed(nodes[:-1]):
         pairs = pruned(pairs, level, "parent", percent)
