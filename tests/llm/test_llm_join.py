@@ -79,5 +79,5 @@ def test_no_rows(spark):
 def test_bitmaps_are_wide_enough():
     for n in (1, 2, 31, 32, 33, 1000, 19_999):
         of = int(np.floor(module.BANDS * np.log2(n) + 1e-9))
-        assert bitmap_width(of) >= 2 * n
+        assert bitmap_width(of) >= n
         assert of - int(np.floor(module.BANDS * np.log2(max(1, -(-84 * n // 100))) + 1e-9)) <= module.NEAR

@@ -107,8 +107,8 @@ def band(n: str) -> Column:
 
 
 def bitmap_width(of: int) -> int:
-    """Bits for the sets of a band: a power of two, two a shingle at least."""
-    return max(64, 1 << int(np.ceil((of + 1) / BANDS)) + 1)
+    """Bits for the sets of a band: a power of two, one a shingle at least."""
+    return max(64, 1 << int(np.ceil((of + 1) / BANDS)))
 
 
 _NODE = "node long, home long, band long, no long, lo long, hi long, m long, extra long, bits binary"
@@ -305,9 +305,11 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
     t = (tokens.select("rep", "n", "token", "band", "most").join(root, "rep").groupBy("token", "band", "root")
          .agg(F.max("most").alias("most"), F.min("n").alias("low")))
     t = stored(t, "roots")
-    near = t.select("token", F.col("band").alias("own"), F.col("root").alias("a"), F.col("most").alias("most_a"), F.col("low").alias("low_a"),
-                    F.explode(F.sequence("band", F.col("band") + NEAR)).alias("band"))
-    pairs = near.join(t.withColumnRenamed("root", "b"), ["token", "band"]).where("own < band or a <= b")
+    wide = F.floor(F.col("band") / (NEAR + 1))  # bands near each other are in one wide band or in the next
+    near = t.select("token", F.col("band").alias("band_a"), F.col("root").alias("a"), F.col("most").alias("most_a"), F.col("low").alias("low_a"),
+                    F.explode(F.array(wide, wide + 1)).alias("wide"))
+    pairs = near.join(t.withColumnRenamed("root", "b").withColumn("wide", wide), ["token", "wide"])
+    pairs = pairs.where((F.col("band") - F.col("band_a")).between(0, NEAR) & ((F.col("band_a") < F.col("band")) | (F.col("a") <= F.col("b"))))
     pairs = pairs.where(F.least("most_a", "most") * (100 + percent) >= percent * (F.col("low_a") + F.col("low")))
     pairs = pairs.select("a", "b").distinct()
     pairs = pruned(pairs, nodes[-1], "node", percent)
