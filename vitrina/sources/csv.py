@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrina.functions.coerce import to_int
+from vitrina.sources.csv_split import csv_records
 
 # The text tokens a pandas CSV reader treats as missing by default.
 PANDAS_NA_TOKENS = ['', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',
@@ -30,17 +31,27 @@ TIMESTAMP_FORMATS = ["yyyy-MM-dd HH:mm", "M/d/yyyy H:mm", "M/d/yyyy", "yyyyMMdd"
 
 
 def read_csv_raw(spark: SparkSession, path: str, columns: list[str] | None = None, sep: str = ",", quote: str = '"',
-                 escape: str = '"', encoding: str = "utf-8", multi_line: bool = True) -> DataFrame:
+                 escape: str = '"', encoding: str = "utf-8", multi_line: bool = True, split: bool | None = None) -> DataFrame:
     """Every column of the file as text, named by its header (or ``columns`` for
     files without one), plus the corrupt-record marker (PERMISSIVE).
 
-    ``multi_line``: a quoted cell may hold line breaks; a file is then read by
-    one task, so large files without such cells are better read with False.
+    ``multi_line``: a quoted cell may hold line breaks. ``split``: such files
+    are read by many tasks each (``csv_records``), the default where quotes are
+    escaped by doubling and text is UTF-8; else one task reads a file.
     """
+    if split is None:
+        split = multi_line and escape == quote and encoding.lower() in ("utf-8", "utf8")
     reader = (spark.read.option("sep", sep).option("quote", quote).option("escape", escape)
               .option("encoding", encoding).option("multiLine", multi_line).option("header", columns is None))
     names = columns or reader.csv(path).columns  # reads the header only
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _CORRUPT]])
+    if split:
+        ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+        options = {"sep": sep, "quote": quote, "escape": escape, "multiLine": "true", "nullValue": "", "mode": "PERMISSIVE",
+                   "columnNameOfCorruptRecord": _CORRUPT}
+        records = csv_records(spark, path, sep, quote).where(F.lit(columns is not None) | ~F.col("first"))
+        row = records.select(F.from_csv("record", ddl, options).alias("r"))
+        return row.select(*[F.col("r")[f.name].alias(f.name) for f in schema])
     return (reader.schema(schema).option("nullValue", "").option("enforceSchema", True)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
 
