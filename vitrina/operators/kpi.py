@@ -242,14 +242,16 @@ def missing_cells(df: DataFrame) -> DataFrame:
     return df.agg(*per, total.cast("long").alias("missing_total"))
 
 
-def declared_kpis(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+def declared_kpis(orders: DataFrame, items: DataFrame, products: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """D-1 ... D-8 per order date (definitions are ours; the reference only
     declares the columns).
 
     * new_orders / cancelled_orders: status Pending / Cancelled.
     * total_cost = sum(quantity * cost_price), total_profit = item revenue -
       cost, profit_margin = profit / item revenue * 100 (2 d.p.).
-    * new_customers: first order on the date; returning = active - new.
+    * new_customers: first order on the date; returning = active - new. First
+      dates come from ``firsts`` (customer_id, first_date; ``state.first_orders``),
+      without it from ``orders``, which must then be all orders.
     * top product / category by item revenue (ties by id / name), maps of
       orders per city and revenue per category as JSON.
     * delivery_success_rate = delivered / (delivered + cancelled + refunded).
@@ -284,8 +286,11 @@ def declared_kpis(orders: DataFrame, items: DataFrame, products: DataFrame) -> D
         *[F.count_if(F.col("status").isin(*which)).alias(name) for name, which in
           (("_new", ["Pending"]), ("_cancelled", ["Cancelled"]), ("_delivered", ["Delivered"]),
            ("_closed", ["Delivered", "Cancelled", "Refunded"]))])
-    # a customer's window has one row a date
-    first = F.min("order_date").over(Window.partitionBy("customer_id")) == F.col("order_date")
+    if firsts is None:  # a customer's window has one row a date
+        first = F.min("order_date").over(Window.partitionBy("customer_id")) == F.col("order_date")
+    else:
+        per_customer = per_customer.join(firsts.select("customer_id", "first_date"), "customer_id", "left")
+        first = F.coalesce(F.col("first_date") == F.col("order_date"), F.lit(False))
     base = (per_customer.withColumn("_first", F.col("customer_id").isNotNull() & first)
             .groupBy("order_date")
             .agg(F.sum("_n").alias("total_orders"), F.sum("_new").alias("new_orders"),

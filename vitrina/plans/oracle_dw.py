@@ -455,3 +455,7 @@ UNION ALL SELECT 'fact_orders', lines FROM n
 UNION ALL SELECT 'rejected_orders', items - lines FROM n
 UNION ALL SELECT 'fact_payments', count(*) FROM events WHERE event_type = 'purchase'
 UNION ALL SELECT 'data_quality_metrics', 2"""
+
+SQL["daily_sales_by_load"] = SQL["daily_sales"]
+SQL["declared_kpis_by_state"] = f"""SELECT * FROM ({SQL["declared_kpis"]})
+WHERE analytics_date >= DATE '{RUN_DATE}' - INTERVAL 7 DAY"""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrina.operators import clean, dims, facts, kpi, merge, quality, scd2, views
+from vitrina.operators import clean, dims, facts, kpi, merge, quality, scd2, state, views
 from vitrina.operators.catalog import Catalog
 
 LOOKBACK_DAYS = 7
@@ -162,7 +162,12 @@ def run_final(spark: SparkSession, src: Sources, target: str, run_date: str) ->
         sections["totals"] = kpis.agg(F.count(F.lit(1)).alias("days"), F.sum("total_orders").alias("orders"),
                                       F.sum("total_revenue").alias("revenue"))
         if src.order_items is not None and src.products is not None:
-            upsert_declared(spark, target, kpi.declared_kpis(o, src.order_items, src.products), run_date)
+            tx = Catalog(spark, _table(target, "state")).begin()
+            if tx.entry("first_orders") is None:  # the first run alone reads all orders
+                state.record_first_orders(tx, clean.clean_orders_final(src.orders))
+            declared = state.daily_declared_kpis(tx, o, src.order_items, src.products)
+            upsert_declared(spark, target, declared, run_date)
+            tx.commit()
     if src.csv_products is not None:  # CSV products -> csv_products, full refresh, validation, statistics
         sections["csv_validation"] = quality.validation_report(src.csv_products, CSV_REQUIRED)
         rows, bad = facts.csv_products_rows(src.csv_products, run_date, ["product_id"])

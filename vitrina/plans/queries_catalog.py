@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrina.operators import dims, facts, merge
+from vitrina.operators import dims, facts, merge, state
 from vitrina.operators.catalog import Catalog
 from vitrina.operators.scd2 import PRODUCTS
 from vitrina.plans.pipelines import Sources, commit_warehouse
-from vitrina.plans.queries import RUN_DATE, register
-from vitrina.plans.queries_dw import SCD_RUN_1, SCD_RUN_2, customer_batches, customer_dimension, product_dimension
-from vitrina.session import scratch_path
+from vitrina.plans.queries import LOOKBACK_DAYS, RUN_DATE, register
+from vitrina.plans.queries_dw import SCD_RUN_1, SCD_RUN_2, customer_batches, customer_dimension, fact_orders_frame, product_dimension
+from vitrina.session import cut_lineage, scratch_path
 from vitrina.sources import standins as st
 from vitrina.sources.tables import read_table
 
@@ -90,3 +90,30 @@ def q_insert_defaults(spark, d):
     rows = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"))
     return merge.conform(rows, schema, {"status": "Pending", "quantity": 1, "source_system": "postgres_source",
                                         "load_date": F.lit(RUN_DATE).cast("date")})
+
+
+@register("daily_sales_by_load")
+def q_daily_sales_by_load(spark, d):
+    """V-3 / A-12 kept by load: the facts come in two loads that share dates,
+    orders and customers, the second is run twice; only its dates are computed again."""
+    f = cut_lineage(fact_orders_frame(spark, d)[0])
+    late = F.coalesce((F.col("date_key") >= 19980101) | (F.col("quantity") > 45), F.lit(False))
+    catalog = Catalog(spark, scratch_path(spark, "catalog"))
+    for load, rows in (("first", f.where(~late)), ("second", f.where(late & (F.col("quantity") > 10))), ("second", f.where(late))):
+        tx = catalog.begin()
+        state.record_sales(tx, load, rows)
+        tx.commit()
+    return state.daily_sales(catalog.begin(), dims.dim_date_between(read_table(spark, d, "orders"), "o_orderdate"))
+
+
+@register("declared_kpis_by_state")
+def q_declared_kpis_by_state(spark, d):
+    """D-1 ... D-8 of a look-back window: earlier orders are known by the kept
+    first order of each customer alone."""
+    o = st.orders(spark, d, with_city=True)
+    recent = F.col("order_date") >= F.date_sub(F.lit(RUN_DATE).cast("date"), LOOKBACK_DAYS)
+    catalog = Catalog(spark, scratch_path(spark, "catalog"))
+    tx = catalog.begin()
+    state.record_first_orders(tx, o.where(~recent))
+    tx.commit()
+    return state.daily_declared_kpis(catalog.begin(), o.where(recent), st.order_items(spark, d), st.products(spark, d))
