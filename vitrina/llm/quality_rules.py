@@ -1,11 +1,11 @@
 """Quality rules on cross-document line frequency (DataFrame functions only).
 
-Normalised lines are hashed, distinct documents are counted per (host, line), lines above the limits are boilerplate
+Normalised lines are hashed, distinct documents are counted per (host, line), lines above the limit are boilerplate
 and leave their documents, whose remaining text is put together from the other lines; a document that keeps less than half
 of its words is depleted and rejected. The host of
 ``documents`` is its source. Exact copies of a text count once, so that a page fetched a thousand times does not turn
 its own lines into boilerplate. Counts are map-side combined; a line that a third of all documents hold is split by
-adaptive execution in the join with the (single-row) limits.
+adaptive execution in the join with the (single-row) common lines.
 """
 
 from __future__ import annotations
@@ -47,26 +47,21 @@ def _normalised(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(WHITE)))
 
 
-def common_lines(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """(line) hashes of host and normalised line for the lines in more than ``min_docs`` distinct documents and more
-    than ``max_share`` of the documents of their host. Equal texts of one host are one document."""
-    copy = F.xxhash64("text").alias("copy")
+def common_lines(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(line) hashes of host and normalised line for the lines in more than ``min_docs`` distinct documents of a host,
+    however many documents it has. Equal texts of one host are one document."""
     lines = F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.xxhash64("host", _normalised(x))))
-    once = docs.select(F.explode(lines).alias("line"), F.xxhash64("host").alias("site"), copy).distinct()
-    per_line = once.groupBy("line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("site").alias("site"))
-    per_host = (docs.select(F.xxhash64("host").alias("site"), copy).distinct()
-                .groupBy("site").agg(F.count(F.lit(1)).alias("of")))
-    return (per_line.where(F.col("n_docs") > min_docs).join(per_host, "site")
-            .where(F.col("n_docs") > F.col("of") * max_share).select("line"))
+    once = docs.select(F.explode(lines).alias("line"), F.xxhash64("text").alias("copy")).distinct()
+    return once.groupBy("line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs).select("line")
 
 
-def boilerplate_lines(docs: DataFrame, min_docs: int = 10, max_share: float = 0.001) -> DataFrame:
+def boilerplate_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """(_doc, drop, n_lines_removed, n_words_removed) of the documents that lose lines; ``drop``: their positions."""
     d = docs.select(KEY, F.coalesce("source", F.lit("")).alias("host"), F.coalesce("text", F.lit("")).alias("text"))
     rows = (d.select(KEY, "host", F.posexplode(F.split("text", "\n")).alias("at", "x"))
             .select(KEY, "at", F.xxhash64("host", _normalised(F.col("x"))).alias("line"),
                     F.size(words(F.col("x"))).cast("long").alias("n")).where("n > 0"))
-    return (rows.join(common_lines(d, min_docs, max_share), "line")
+    return (rows.join(common_lines(d, min_docs), "line")
             .groupBy(KEY).agg(F.collect_list("at").alias("drop"), F.count(F.lit(1)).alias("n_lines_removed"),
                               F.sum("n").alias("n_words_removed")))
 
@@ -77,7 +72,7 @@ def _remaining(text: Column, drop: Column) -> Column:
     return F.when(drop.isNull(), text).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.001) -> DataFrame:
+def quality_rules(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """Counts, base rules, verdict and remaining text of (_doc, text, source) with unique ids.
 
     Base: at least 50 words, and at most half of them in repeated 3-word windows. A document is depleted if its
@@ -85,7 +80,7 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.001)
     verdict. Null or empty text: no words, fails the base. Null source: the documents without a source are one host.
     Columns that a caller leaves out cost nothing: texts are moved only for ``remaining``.
     """
-    d = text_counts(docs).join(boilerplate_lines(docs, min_docs, max_share), KEY, "left")
+    d = text_counts(docs).join(boilerplate_lines(docs, min_docs), KEY, "left")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     removed = F.coalesce("n_words_removed", F.lit(0))
     return d.select(KEY, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -131,10 +126,8 @@ WITH d AS (
   GROUP BY doc_id
 ), per_line AS (
   SELECT host, k, count(DISTINCT text) AS n FROM lines WHERE k <> '' GROUP BY ALL
-), per_host AS (
-  SELECT host, count(DISTINCT text) AS n FROM d GROUP BY ALL
 ), common AS (
-  SELECT p.host, p.k FROM per_line p JOIN per_host h ON p.host = h.host WHERE p.n > 10 AND p.n > 0.001 * h.n
+  SELECT host, k FROM per_line WHERE n > 10
 ), gone AS (
   SELECT l.doc_id, sum(len(list_filter(regexp_split_to_array(l.line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS n
   FROM lines l JOIN common c ON l.host = c.host AND l.k = c.k GROUP BY l.doc_id
