@@ -2,8 +2,9 @@
 
 Words are lower-cased runs of letters and digits, shingles are five words. Templates are grouped by length; for those of
 up to L words a text is cut to windows of 2 L words, L apart, so that any occurrence lies whole in some window. A
-template with m shingles then has a likeness of at least m / (2 L - 4) to that window. Bands have one row; the number
-of bands of a group is set so that a pair of this least likeness shares none with a probability of at most MISS. A text with a
+template of which c of m shingles are left there, as few as count, has a likeness of at least c / (2 L - 4 + m - c) to
+that window. Bands have one row; the number of bands of a group is set so that a pair of this least likeness shares none
+with a probability of at most MISS. A text with a
 window that shares a band with a template is searched for all its occurrences: runs of the template's shingles, in the
 template's order and no longer than a window, that hold at least CONTAINED of them. Shingles in no such run count in any
 order.
@@ -73,7 +74,8 @@ class Group:
             own, of = np.unique(t, return_inverse=True)
             self.sets.append(own)
             self.places.append([np.flatnonzero(of == i).tolist() for i in range(len(own))])
-        least = min(len(s) for s in self.sets) / (2 * words - SHINGLE + 1)
+        held = [math.ceil(CONTAINED * len(s)) for s in self.sets]
+        least = min(c / (2 * words - SHINGLE + 1 + len(s) - c) for c, s in zip(held, self.sets))
         self.bands = math.ceil(math.log(MISS) / math.log1p(-min(least, 0.9)))
         self.xor = _rng.integers(0, 2 ** 64, self.bands, dtype=np.uint64)
         self.times = _rng.integers(0, 2 ** 64, self.bands, dtype=np.uint64) | np.uint64(1)
