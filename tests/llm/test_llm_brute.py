@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 from collections import Counter
 
 import numpy as np
@@ -18,7 +19,7 @@ from vitrina.llm.language_id import held_out, op3_language_id
 from vitrina.llm.license_scan import SHINGLE, TEMPLATES, license_matches
 from vitrina.llm.quality_rules import quality_rules
 from vitrina.llm.queries import QUERIES
-from vitrina.llm.sentencepiece_codec import MARK, load_codec
+from vitrina.llm.sentencepiece_codec import MARK, Codec, encode_column, load_codec
 from vitrina.llm.text_classifier import fitted, labelled_rows, usable_labels
 from vitrina.sources.tables import read_table
 
@@ -267,9 +268,74 @@ def test_codec_parity_and_round_trip(spark, sf):
     for ids, good, same in codec.verified(texts):
         assert good and same
     assert [list(ids) for ids, _, _ in codec.verified(texts)] == want
-    run = " " * 50 + "x"  # pieces of equal score: the libraries differ, sentencepiece's ids count
-    ids, good, _ = codec.verified([run])[0]
-    assert list(ids) == other.encode(run) and good
+    run = " " * 50 + "x"  # pieces of equal score: the libraries differ, the codec's ids count and are told apart
+    ids, good, same = codec.verified([run])[0]
+    assert list(ids) == codec.encode([run])[0] and good and same == (list(ids) == other.encode(run))
+    assert codec.decode([list(map(int, ids))]) == [run]
+
+
+def _field(number, value):
+    """One protobuf field: int as varint, float as 4 bytes, else with its length."""
+    def varint(n):
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    value = value.encode() if isinstance(value, str) else value
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def unigram_model(byte_fallback):
+    """A model file of a few pieces, written by hand."""
+    bytes_ = [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)] if byte_fallback else []
+    plain = [("▁", -2.0), ("a", -3.0), ("b", -3.1), ("n", -3.2), ("an", -3.5), ("ana", -5.2), ("▁ban", -4.0), ("▁b", -3.9), ("na", -3.4),
+             ("ban", -6.0), ("▁▁", -4.5), ("é", -7.0), ("s", -4.1), ("as", -4.4)]
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *bytes_, *[(p, s, 1) for p, s in plain]]
+    return (b"".join(_field(1, _field(1, p) + _field(2, s) + _field(3, t)) for p, s, t in pieces)
+            + _field(2, _field(3, 1) + _field(4, len(pieces)) + _field(35, int(byte_fallback)))
+            + _field(3, _field(1, "identity") + _field(3, 1) + _field(4, 0) + _field(5, 1)))
+
+
+@pytest.mark.parametrize("byte_fallback", [True, False])
+def test_unigram_model(spark, byte_fallback):
+    import sentencepiece
+    codec = Codec(unigram_model(byte_fallback), threads=2)
+    other = sentencepiece.SentencePieceProcessor(model_proto=codec.data)
+    rng = random.Random(6)
+    texts = ["banana", "bananas an  ban", "", " ", "é", *("".join(rng.choices("ban sé ", k=rng.randint(1, 40))) for _ in range(300))]
+    texts += ["x日本 banana" + "z" * 3, "ban😀"] if byte_fallback else []
+    want = other.encode(texts)
+    found = codec.verified(texts)
+    assert [list(i) for i, _, _ in found] == want == codec.encode(texts) and all(g and s for _, g, s in found)
+    rows = encode_column(spark.createDataFrame([(t,) for t in texts], "text string"), codec).collect()
+    assert {r["text"]: r["ids"] for r in rows} == dict(zip(texts, want)) and all(r["parity"] for r in rows)
+
+
+def test_licenses_that_lost_words_are_found(spark):
+    rng = random.Random(8)
+    cut = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
+    grams = lambda w: [tuple(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)]
+    rows, want = [], set()
+    for i in range(900):
+        name = rng.choice(list(TEMPLATES))
+        own = cut(TEMPLATES[name])
+        at = rng.randint(0, 60)
+        lost = rng.randint(0, 3)
+        own = own[lost:] if rng.random() < 0.5 else own[:len(own) - lost]
+        words = [f"f{rng.randint(0, 999)}" for _ in range(at)] + own + [f"g{rng.randint(0, 999)}" for _ in range(rng.randint(0, 60))]
+        rows.append((i, " ".join(words)))
+        have = set(grams(words))
+        for other, text in TEMPLATES.items():
+            of = set(grams(cut(text)))
+            if len(of & have) >= 0.8 * len(of):
+                want.add((i, other))
+    got = {(r[KEY], m["license"]) for r in license_matches(frame(spark, rows)).collect() for m in r["matches"]}
+    assert got == want and len(want) > 500
 
 
 # pipeline
@@ -344,6 +410,17 @@ def test_boilerplate_lines_leave_their_documents(spark):
                    100: (1, ""), 101: (0, menu + "\nanother host"), 102: (0, "")}
 
 
+def test_lines_are_common_at_every_size_of_a_host(spark):
+    menu = "Home | About us | Contact and more of the same"
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    held = [(i, f"{menu}\n{own(i)}", "a") for i in range(11)] + [(20 + i, f"rare {menu}\n{own(i)}", "a") for i in range(10)]
+    for more in (0, 20_000):
+        rest = spark.range(100, 100 + more).select(F.col("id").alias(KEY), F.concat(F.lit("other text "), "id").alias("text"), F.lit("a").alias("source"))
+        d = spark.createDataFrame(held, f"{KEY} long, text string, source string").unionByName(rest)
+        got = quality_rules(d).where(F.col(KEY) < 100).select(KEY, "n_lines_removed").collect()
+        assert dict(map(tuple, got)) == {**{i: 1 for i in range(11)}, **{20 + i: 0 for i in range(10)}}
+
+
 def test_pipeline_rows_without_an_id_of_their_own_stay(spark, sf):
     rows = [r.asDict() for r in documents(spark, sf).select(corpus_pipeline.COLUMNS).collect()]
     want = {}
