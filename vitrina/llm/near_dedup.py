@@ -11,9 +11,10 @@ another. Each is compared, on full sets, with one hub of the key. Where a key's
 its centre, the member that differs least from the hub, is the hub of a second round; that also tells which shingles of
 each member the centre lacks. If there are still several components, two members x, y that are alike enough to be linked either share
 one of the first shingles that the hub lacks (of the prefix that any partner must touch, in one order for both), or
-both hold enough of the hub. Only such pairs, across components, are compared: no link is missed, and members that
-differ from the centre each in their own way meet nobody. A passage or template that very many texts share is the
-centre's and makes no pairs.
+both hold enough of the hub. Each member also has two bitmaps, of the hub's shingles that it misses and of its own that the
+hub lacks: a bit that one of two members has and the other has not is a shingle that they do not share. Only pairs, across
+components, that can still be alike enough are compared: no link is missed, and members that differ from the centre each
+in their own way meet nobody. A passage or template that very many texts share is the centre's and makes no pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SYMBOLS = CHUNKS * PER_CHUNK
 T = CHUNKS * (ERRORS + 1) - 1
 #: Members compared with one copy of their hub in one task.
 SPREAD = 512
+#: Longs of a bitmap of what a member misses of its hub, and of one of what the hub lacks of it.
+LONGS = 4
 _rng = np.random.default_rng(7)
 _XOR = _rng.integers(0, 2 ** 64, SYMBOLS, dtype=np.uint64)
 _TIMES = _rng.integers(0, 2 ** 64, SYMBOLS, dtype=np.uint64) | np.uint64(1)
@@ -81,17 +84,25 @@ def distance(a: str, b: str) -> Column:
     return sum(((_symbol(a, k) != _symbol(b, k)).cast("int") for k in range(SYMBOLS)), F.lit(0))
 
 
+def _bitmap(places: np.ndarray) -> list[int]:
+    """LONGS longs with a bit for each place, modulo their number of bits."""
+    bits = np.zeros(64 * LONGS, bool)
+    bits[(places & (64 * LONGS - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view("<i8").tolist()
+
+
 def _against_hub(percent: int, list_lacking: bool):
     """Over rows sorted by hub, the hub's own text first: what each member has of the hub.
 
     linked: full sets are alike enough. n, held: size of the member's set and what of it the hub has. lacking: the
     shingles that the hub lacks, if asked for. reaches: the n - ceil(percent n / 100) + 1 shingles of which any set that
-    is alike enough must have one, taken from those that the hub lacks first, go on into the hub's shingles.
+    is alike enough must have one, taken from those that the hub lacks first, go on into the hub's shingles. bits: if
+    asked for, the bitmap of the hub's shingles that the member misses, then that of its own that the hub lacks.
     """
     def run(batches):
         hub = own = None
         for batch in batches:
-            out = [[], [], [], [], [], [], []]
+            out = [[], [], [], [], [], [], [], []]
             hubs, members = batch.column("hub").to_pylist(), batch.column("member").to_pylist()
             for h, m, s in zip(hubs, members, shingle_sets(unpacked(batch.column("packed")))):
                 if h == m:
@@ -101,15 +112,19 @@ def _against_hub(percent: int, list_lacking: bool):
                     has = own[at] == s
                     n, held = len(s), int(has.sum())
                     prefix = n + percent * n // -100 + 1
-                    lacking = s[~has].view(np.int64) if list_lacking else []
+                    lacking, bits = [], []
+                    if list_lacking:
+                        missed = np.ones(len(own), bool)
+                        missed[at[has]] = False
+                        lacking, bits = s[~has].view(np.int64), _bitmap(np.flatnonzero(missed)) + _bitmap(s[~has])
                     for c, v in zip(out, (h, m, 100 * held >= percent * (len(own) + n - held), n, held, lacking,
-                                          n - held < prefix)):
+                                          n - held < prefix, bits)):
                         c.append(v)
                 else:
                     raise ValueError(f"text of {h} is missing")
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
-                                             names=["hub", "member", "linked", "n", "held", "lacking", "reaches"])
+                                             names=["hub", "member", "linked", "n", "held", "lacking", "reaches", "bits"])
     return run
 
 
@@ -128,7 +143,8 @@ def against_hubs(pairs: DataFrame, texts: DataFrame, percent: int, list_lacking:
     rows = rows.select("hub", "salt", "member", "packed", (F.col("hub") != F.col("member")).alias("later"))
     rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "later")
     return rows.select("hub", "member", "packed").mapInArrow(
-        _against_hub(percent, list_lacking), "hub long, member long, linked boolean, n long, held long, lacking array<long>, reaches boolean")
+        _against_hub(percent, list_lacking), "hub long, member long, linked boolean, n long, held long, "
+        "lacking array<long>, reaches boolean, bits array<long>")
 
 
 def still_open(seen: DataFrame, labels: DataFrame) -> DataFrame:
@@ -149,7 +165,8 @@ def recentred(m: DataFrame) -> DataFrame:
 def remaining_pairs(m: DataFrame, percent: int) -> DataFrame:
     """(hub, member) pairs of members of one hub, in different components, that may be alike enough.
 
-    ``m``: rows of ``still_open``. The overlap that a link needs is percent / (100 + percent) of both sizes.
+    ``m``: rows of ``still_open`` with lists and bitmaps. The overlap that a link needs is percent / (100 + percent) of both
+    sizes; what two members share is counted apart for what the hub holds of them and for the rest.
     How often members lack a shingle, and whether in one component only, is a map-side combined count; a member's list
     of what its hub lacks is bounded by its text.
     """
@@ -157,27 +174,37 @@ def remaining_pairs(m: DataFrame, percent: int) -> DataFrame:
     sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
     apart = (F.col("member") != F.col("member_b")) & (F.col("label") != F.col("label_b")) & sizes
 
+    longs = [f"b{k}" for k in range(2 * LONGS)]
+    m = m.select("*", *[F.get("bits", F.lit(k)).alias(c) for k, c in enumerate(longs)])
+    only = lambda of, x, y: sum((F.bit_count(F.col(c + x).bitwiseAND(F.bitwise_not(c + y))) for c in of), F.lit(0))
+    missed, lacked = longs[:LONGS], longs[LONGS:]
+    # what one misses of the hub and the other does not is held by the other alone
+    held = F.least(F.col("held") - only(missed, "_b", ""), F.col("held_b") - only(missed, "", "_b"))
+
     smallest = m.groupBy("hub").agg(F.min("n").alias("low"))
-    own = ("member", "label", "n", "held")
-    t = m.join(smallest, "hub").select("hub", *own, "low", F.explode("lacking").alias("shingle"))
+    own = ("member", "label", "n", "held", *longs)
+    t = m.join(smallest, "hub").select("hub", "member", "n", "low", F.explode("lacking").alias("shingle"), "label")
     seen_in = t.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("f"), (F.min("label") != F.max("label")).alias("across"))
     # rare shingles first; a partner has one of the first n - overlap + 1, with the least overlap that its size allows
     least = F.greatest("low", F.ceil(F.col("n") * percent / 100))
     prefix = F.col("n") - F.ceil((F.col("n") + least) * percent / (100 + percent)) + 1
-    t = (t.join(seen_in, ["hub", "shingle"]).groupBy("hub", *own, "low")
+    t = (t.join(seen_in, ["hub", "shingle"]).groupBy("hub", "member", "n", "low")
          .agg(F.sort_array(F.collect_list(F.struct("f", "shingle", "across"))).alias("list"))
-         .select("hub", *own, F.posexplode(F.slice("list", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("at", "s"))
-         .where("s.across").select("hub", *own, "at", "s.shingle"))
+         .select("hub", "member", F.posexplode(F.slice("list", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("at", "s"))
+         .where("s.across").select("hub", "member", "at", "s.shingle"))
+    t = t.join(m.select("hub", *own), ["hub", "member"])
     u = t.select("hub", "shingle", *[F.col(c).alias(f"{c}_b") for c in (*own, "at")])
-    # of the overlap the hub holds at most what it holds of either, the rest is lacking in both
-    held, rest = F.least("held", "held_b"), F.least(F.col("n") - F.col("held"), F.col("n_b") - F.col("held_b"))
-    by_shingle = (t.join(u, ["hub", "shingle"])
-                  .where(apart & (F.col("member") < F.col("member_b")) & enough(F.col("n") - F.col("at"))
-                         & enough(F.col("n_b") - F.col("at_b")) & enough(held + rest)))
-
-    r = m.where("reaches").select("hub", "member", "label", "hub_label", "n", "held")
-    s = r.select("hub", *[F.col(c).alias(f"{c}_b") for c in ("member", "label", "n", "held")])
-    by_hub = r.where("label <> hub_label").join(s, "hub").where(apart & enough(F.least("held", "held_b")))
+    # of what the hub lacks they share nothing before this shingle
+    rest = F.least(F.col("n") - F.col("held") - F.greatest(F.col("at"), only(lacked, "", "_b")),
+                   F.col("n_b") - F.col("held_b") - F.greatest(F.col("at_b"), only(lacked, "_b", "")))
+    by_shingle = t.join(u, ["hub", "shingle"]).where(apart & (F.col("member") < F.col("member_b")) & enough(held + rest))
+
+    # the members of a hub that reach it, dealt out by salts; those of other components than the hub's go to each
+    r = m.where("reaches").select("hub", "hub_label", *own)
+    r = r.join(r.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("long").alias("salts")), "hub")
+    s = r.select("hub", F.pmod(F.xxhash64("member"), F.col("salts")).alias("salt"), *[F.col(c).alias(f"{c}_b") for c in own])
+    r = r.where("label <> hub_label").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    by_hub = r.join(s, ["hub", "salt"]).where(apart & enough(held))
     pair = (F.least("member", "member_b").alias("hub"), F.greatest("member", "member_b").alias("member"))
     return by_shingle.select(*pair).unionByName(by_hub.select(*pair)).distinct()
 
