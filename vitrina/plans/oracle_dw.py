@@ -459,3 +459,14 @@ UNION ALL SELECT 'data_quality_metrics', 2"""
 SQL["daily_sales_by_load"] = SQL["daily_sales"]
 SQL["declared_kpis_by_state"] = f"""SELECT * FROM ({SQL["declared_kpis"]})
 WHERE analytics_date >= DATE '{RUN_DATE}' - INTERVAL 7 DAY"""
+SQL["duplicates_across_loads"] = """WITH top AS (SELECT max(o_orderkey) AS top FROM orders), l AS (
+  SELECT 'a' AS load, o_orderkey AS order_id FROM orders, top WHERE o_orderkey * 10 <= top * 6
+  UNION ALL SELECT 'b', o_orderkey FROM orders, top WHERE o_orderkey * 100 > top * 55
+  UNION ALL SELECT 'c', l_orderkey FROM lineitem WHERE l_quantity = 50
+  UNION ALL SELECT 'd', l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45
+), n AS (SELECT load, order_id, count(*) AS occurrences FROM l GROUP BY ALL),
+e AS (
+  SELECT *, count(*) OVER w AS earlier_loads, min(load) OVER w AS first_load FROM n
+  WINDOW w AS (PARTITION BY order_id ORDER BY load ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT * FROM e WHERE occurrences > 1 OR earlier_loads > 0"""

@@ -3,10 +3,13 @@ written to a fresh catalog in the shared checkpoint folder and read back."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrina.operators import dims, facts, merge, state
+from vitrina.operators import dims, facts, merge, state, uniqueness
 from vitrina.operators.catalog import Catalog
 from vitrina.operators.scd2 import PRODUCTS
 from vitrina.plans.pipelines import Sources, commit_warehouse
@@ -117,3 +120,23 @@ def q_declared_kpis_by_state(spark, d):
     state.record_first_orders(tx, o.where(~recent))
     tx.commit()
     return state.daily_declared_kpis(catalog.begin(), o.where(recent), st.order_items(spark, d), st.products(spark, d))
+
+
+@register("duplicates_across_loads")
+def q_duplicates_across_loads(spark, d):
+    """Q-4 against history: order keys come in four loads that overlap, the
+    last names some orders several times; the clashes of each load."""
+    o = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"))
+    li = read_table(spark, d, "lineitem")
+    top = F.lit(o.agg(F.max("order_id")).first()[0])
+    loads = {"a": o.where(F.col("order_id") * 10 <= top * 6), "b": o.where(F.col("order_id") * 100 > top * 55),
+             "c": li.where("l_quantity = 50").select(F.col("l_orderkey").alias("order_id")),
+             "d": li.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45)).select(F.col("l_orderkey").alias("order_id"))}
+    catalog = Catalog(spark, scratch_path(spark, "catalog"))
+    out = []
+    for load, rows in loads.items():
+        tx = catalog.begin()
+        clashes, _ = uniqueness.check_load(tx, load, rows, "order_id")
+        tx.commit()
+        out.append(clashes.select(F.lit(load).alias("load"), "*"))
+    return reduce(DataFrame.unionByName, out)
