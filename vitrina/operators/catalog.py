@@ -137,13 +137,13 @@ class Transaction:
     def _rows(self, files: list[str], schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
 
-    def meets(self, rows: DataFrame, keys: list[str], schema: T.StructType) -> Column:
-        """Of index rows: does the file's key range meet one of at most SPANS key ranges of ``rows``?"""
+    def meeting(self, index: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """Index rows of files whose key range meets one of at most SPANS key ranges of ``rows`` (of the table's types)."""
         spans = (rows.select(*keys).repartitionByRange(SPANS, *keys).groupBy(F.spark_partition_id())
-                 .agg(F.min(F.struct(*keys)).alias("lo"), F.max(F.struct(*keys)).alias("hi")).collect())
-        literal = lambda row: F.struct(*[F.lit(row[k]).cast(schema[k].dataType).alias(k) for k in keys])
-        ranges = F.array(*[F.struct(literal(s["lo"]).alias("lo"), literal(s["hi"]).alias("hi")) for s in spans])
-        return F.exists(ranges, lambda s: (F.col("lo") <= s["hi"]) & (F.col("hi") >= s["lo"])) if spans else F.lit(False)
+                 .agg(F.min(F.struct(*keys)).alias("lo"), F.max(F.struct(*keys)).alias("hi")))
+        ranges = spans.agg(F.collect_list(F.struct("lo", "hi"))).scalar()  # one array, in the plan as it is
+        meets = F.exists("_ranges", lambda s: (F.col("lo") <= s["hi"]) & (F.col("hi") >= s["lo"]))
+        return index.withColumn("_ranges", ranges).where(meets).drop("_ranges")
 
     # ------------------------------------------------------------- writing
     def _write(self, df: DataFrame, name: str, keys: list[str], partition_by: list[str] | None = None) -> tuple[str, DataFrame]:
@@ -193,7 +193,7 @@ class Transaction:
         src = cut_lineage(last_per_key(source, keys, order_cols or []))
         typed = [F.col(k).cast(schema[k].dataType).alias(k) for k in keys]
         index = cut_lineage(self.index(name))
-        near = [r[0] for r in index.where(self.meets(src.select(*typed), keys, schema)).select("file").collect()]
+        near = [r[0] for r in self.meeting(index, src.select(*typed), keys).select("file").collect()]
         held = []
         if near:
             there = self._rows(near, T.StructType([schema[k] for k in keys])).select(*keys, F.col("_metadata.file_path").alias("file"))

@@ -79,7 +79,7 @@ def check_load(tx: Transaction, load: str, rows: DataFrame, keys, name: str = "u
 
     by_number = {x[0]: (known, x[1]) for known, x in loads.items()}
     index = tx.index(name).where(F.col("bucket") != number) if entry else None
-    near = index.where(tx.meets(own, keys, schema)).select("bucket").distinct().collect() if loads else []
+    near = tx.meeting(index, own, keys).select("bucket").distinct().collect() if loads else []
     near = sorted(r[0] for r in near)
     hit_loads = []
     found = tx._rows([], schema)
@@ -90,7 +90,7 @@ def check_load(tx: Transaction, load: str, rows: DataFrame, keys, name: str = "u
         hits = cut_lineage(probe.join(f, ["load", "block"]).where(_holds(keys)).select(*keys, "load"))
         hit_loads = sorted(r[0] for r in hits.select("load").distinct().collect())
         if hit_loads:
-            of = index.where(F.col("bucket").isin([loads[x][0] for x in hit_loads]) & tx.meets(hits, keys, schema))
+            of = tx.meeting(index.where(F.col("bucket").isin([loads[x][0] for x in hit_loads])), hits, keys)
             found = tx._rows([r[0] for r in of.select("file").collect()], schema).join(hits, [*keys, "load"], "left_semi")
     found = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("earlier_loads"), F.min("load").alias("first_load"))
     clashes = cut_lineage(own.join(found, keys, "left").where("occurrences > 1 or earlier_loads is not null")
