@@ -4,7 +4,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from vitrina.llm import jaccard_join as module
 from vitrina.llm.common import KEY
@@ -63,6 +65,23 @@ def test_join_is_that_of_all_pairs(spark, monkeypatch, fanout, spread, percent):
     assert got == brute(rows, percent)
 
 
+def test_members_of_a_leaf_may_come_in_any_order():
+    """A leaf that is compared with itself comes twice, and a shuffle orders neither time."""
+    rows = texts()
+    want = {i: v for i, v in brute(rows, 85).items() if v[1]}
+    rows = [(i, t) for i, t in rows if t and t.split()]
+    r = random.Random(3)
+    for _ in range(3):
+        own, again = r.sample(rows, len(rows)), r.sample(rows, len(rows))
+        member = [i for i, _ in own + again]
+        b = [None] * len(own) + [5] * len(again)
+        z = zstandard.ZstdCompressor()
+        batch = pa.RecordBatch.from_arrays([pa.array([5] * len(b)), pa.array([8] * len(b)), pa.array(b, pa.int64()), pa.array(member), pa.array([1] * len(b)),
+                                            pa.array([z.compress(t.encode()) for _, t in own + again])], names=["a", "salt", "b", "member", "copies", "packed"])
+        got = pa.Table.from_batches(module._compared(85)([batch])).to_pylist()
+        assert {x["v"]: (x["links"], x["label"]) for x in got} == {i: (v[1], v[3]) for i, v in want.items()}
+
+
 def test_rows_without_an_id_of_their_own(spark, tmp_path):
     rows = [(7, "a b c d e"), (7, "other words here"), (None, "A b c d e"), (None, None), (3, "a b c d e"), (9, "other words here")]
     d = spark.createDataFrame([(i, t, "own", 1) for i, t in rows], "doc_id long, text string, rep string, n long")

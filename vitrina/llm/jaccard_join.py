@@ -232,16 +232,20 @@ def _linked(a: dict, b: dict, percent: int, same: bool) -> list[tuple[int, int,
 
 
 def _compared(percent: int):
-    """Over rows sorted by (a, salt, b), a's own members with b null first: links of a's members with those of each b."""
+    """Over rows sorted by (a, salt, b), a's own members with b null first: links of a's members with those of each b. A leaf
+    is compared with itself in one order, that of its own members: rows of one (a, salt, b) come in any order."""
     def run(batches):
         key = other = None
         own, there = {}, {}
+
+        def found():
+            return _linked(own, own, percent, True) if key[0] == other else _linked(own, there, percent, False)
         for batch in batches:
             out = []
             cols = [batch.column(c).to_pylist() for c in ("a", "salt", "b", "member", "copies")]
             for a, salt, b, member, copies, s in zip(*cols, shingle_sets(unpacked(batch.column("packed")), WORDS)):
                 if other is not None and (b != other or (a, salt) != key):
-                    out += _linked(own, there, percent, key[0] == other)
+                    out += found()
                     other = None
                 if (a, salt) != key:
                     key, own = (a, salt), {"reps": [], "copies": [], "sets": []}
@@ -255,7 +259,7 @@ def _compared(percent: int):
                 x["copies"].append(copies)
                 x["sets"].append(s)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 3)], names=["v", "links", "label"])
-        if other is not None and (out := _linked(own, there, percent, key[0] == other)):
+        if other is not None and (out := found()):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["v", "links", "label"])
     return run
 
