@@ -126,3 +126,18 @@ def test_dimension_by_buckets_is_the_whole_merge(spark, catalog):
             untouched += len(set(before) & set(after))
     assert untouched > 150
     assert catalog.read("dim").groupBy("customer_id").count().where(F.col("count") > 1).isEmpty()
+
+
+def test_queries_with_keys_beyond_32_bits_as_multiples(spark, tmp_path):
+    """The bounds of the loads are multiples of the largest key, which itself fits an integer."""
+    from vitrina.plans.queries_catalog import q_duplicates_across_loads, q_upsert_by_files
+    top = 2_000_000_000
+    keys = [1, top * 6 // 10, top * 57 // 100, top * 99 // 100 + 1, top * 997 // 1000, top]
+    o = spark.createDataFrame([(k, "F", 10.0) for k in keys], "o_orderkey long, o_orderstatus string, o_totalprice double")
+    o.write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(top, 50.0, "N")], "l_orderkey long, l_quantity double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted((r["order_id"], r["status"], r["total"], r["note"]) for r in q_upsert_by_files(spark, str(tmp_path)).collect())
+    assert got == [(1, "F", 10.0, "first"), (keys[2], "F", 10.0, "first"), (keys[1], "F", 10.0, "first"), (keys[3], "f", 20.0, "first"),
+                   (keys[4], "f", 20.0, "second"), (top, "f", 20.0, "second")]
+    clashes = q_duplicates_across_loads(spark, str(tmp_path))
+    assert sorted((r["load"], r["order_id"]) for r in clashes.collect()) == [("b", keys[2]), ("b", keys[1]), ("c", top)]

@@ -30,7 +30,7 @@ def q_upsert_by_files(spark, d):
     batch stay as they are."""
     o = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
                                               F.col("o_totalprice").alias("total"))
-    top = F.lit(o.agg(F.max("order_id")).first()[0])
+    top = F.lit(o.agg(F.max("order_id")).first()[0]).cast("long")
     now = F.lit(f"{RUN_DATE} 09:00:00").cast("timestamp_ntz")
     table = (o.where(F.col("order_id") * 1000 <= top * 995)
              .select("*", F.lit("first").alias("note"), F.lit(None).cast("timestamp_ntz").alias("updated_at")))
@@ -128,7 +128,7 @@ def q_duplicates_across_loads(spark, d):
     last names some orders several times; the clashes of each load."""
     o = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"))
     li = read_table(spark, d, "lineitem")
-    top = F.lit(o.agg(F.max("order_id")).first()[0])
+    top = F.lit(o.agg(F.max("order_id")).first()[0]).cast("long")
     loads = {"a": o.where(F.col("order_id") * 10 <= top * 6), "b": o.where(F.col("order_id") * 100 > top * 55),
              "c": li.where("l_quantity = 50").select(F.col("l_orderkey").alias("order_id")),
              "d": li.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45)).select(F.col("l_orderkey").alias("order_id"))}
