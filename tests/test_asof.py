@@ -78,3 +78,14 @@ def test_appended_loads_are_one_scan(spark, tmp_path):
     assert got.where(F.col("load_date") == "2024-01-02").count() == 3
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Union" not in plan
+
+
+def test_merge_moves_whole_facts_once(spark):
+    """The sorted merge sees keys and dates alone: no sort or range partitioning carries the other columns of a fact."""
+    f = spark.createDataFrame([(1, dt.date(2024, 1, 2), "wide"), (None, dt.date(2024, 1, 2), "no key"), (1, None, "no date"), (1, dt.date(2024, 1, 2), "wide")],
+                              "customer long, at date, wide string")
+    d = spark.createDataFrame([(1, 10, dt.date(2024, 1, 1), dt.date(9999, 12, 31))], "id long, dim_key long, effective_date date, expiration_date date")
+    got = asof_merge(f, d, "customer", "at", "id", "dim_key", 2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_row" not in plan and "Window" in plan
+    assert sorted((r["wide"], r["dim_key"]) for r in got.collect()) == [("no date", None), ("no key", None), ("wide", 10), ("wide", 10)]

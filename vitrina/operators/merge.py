@@ -13,6 +13,8 @@ partitions that its rows belong to and writes its new rows, nothing else.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,10 +139,10 @@ def tolerant_load(df: DataFrame, required: dict[str, str]) -> tuple[DataFrame, D
 def split_valid(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Q-3 style split: a row is kept when no check is FALSE (NULL passes, as
     SQL CHECK). Rejected rows carry the names of the failed checks."""
-    failed = [F.when(~F.coalesce(cond, F.lit(True)), F.lit(name)) for name, cond in checks.items()]
-    tagged = df.withColumn("_failed", F.array_compact(F.array(*failed)))
-    return (tagged.where(F.size("_failed") == 0).drop("_failed"),
-            tagged.where(F.size("_failed") > 0).withColumnRenamed("_failed", "failed_checks"))
+    holds = {name: F.coalesce(cond, F.lit(True)) for name, cond in checks.items()}
+    kept = reduce(Column.__and__, holds.values(), F.lit(True))  # plain conditions: a filter of compiled code
+    failed = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in holds.items()]))
+    return df.where(kept), df.where(~kept).withColumn("failed_checks", failed)
 
 
 # ------------------------------------------------------------------ storage

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.operators.kpi import money_sum
+from vitrina.operators.kpi import MONEY_SUM
 
 # Version labels of the customer history view.
 CURRENT_LABEL, HISTORIC_LABEL = "Текущая", "Историческая"
@@ -36,16 +36,19 @@ def customer_history(dim: DataFrame, ordered: bool = False) -> DataFrame:
 def daily_sales(fact_orders: DataFrame, dim_date: DataFrame, ordered: bool = False) -> DataFrame:
     """V-3 v_daily_sales: facts joined to the date dimension (inner), per
     date: distinct orders and customers, items, revenue, mean per fact row.
-    The date dimension has one row per day (bounded by the calendar span);
+    Facts are summed by (date, order, customer) before the distinct counts
+    multiply the rows. The date dimension has one row per day (bounded by the calendar span);
     AQE broadcasts it when its measured size allows, else sort-merge."""
-    j = fact_orders.join(dim_date.select("date_key", "full_date"), "date_key")
+    amount = F.col("total_amount").cast("decimal(12,2)")
+    parts = (fact_orders.groupBy("date_key", "order_id", "customer_id")
+             .agg(F.sum(F.col("quantity").cast("long")).alias("items"), F.sum(amount).alias("amount"), F.count("total_amount").alias("amounts")))
+    j = parts.join(dim_date.select("date_key", "full_date"), "date_key")
     out = (j.groupBy("full_date")
            .agg(F.countDistinct("order_id").alias("total_orders"),
                 F.countDistinct("customer_id").alias("unique_customers"),
-                F.sum(F.col("quantity").cast("long")).alias("total_items"),
-                money_sum("total_amount").alias("total_revenue"),
-                F.try_divide(F.sum(F.col("total_amount").cast("decimal(12,2)")).cast("double"),
-                             F.count("total_amount").cast("double")).alias("avg_order_value")))
+                F.sum("items").alias("total_items"),
+                F.sum("amount").cast(MONEY_SUM).alias("total_revenue"),
+                F.try_divide(F.sum("amount").cast("double"), F.sum("amounts").cast("double")).alias("avg_order_value")))
     return out.orderBy(F.desc("full_date")) if ordered else out
 
 
