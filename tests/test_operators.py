@@ -296,3 +296,15 @@ def test_asof_binding_of_a_hot_customer(spark):
                                          "date'2024-05-05' as order_date")
     out = asof_bind(facts, dim, "customer_id", "order_date", "customer_id", "customer_key")
     assert out.count() == 9000 and out.where("customer_key <> customer_id or customer_key is null").count() == 0
+
+
+def test_insert_if_absent_shuffles_source_rows_as_they_are(spark):
+    """Rows whose key is there are gone before rows are hashed and reduced; null keys are one new key."""
+    from vitrina.operators import merge
+    t = spark.createDataFrame([(1, "old"), (2, "old")], "id long, mark string")
+    s = spark.createDataFrame([(1, "a", 0), (3, "late", 1), (3, "first", 0), (None, "y", 1), (None, "x", 0)] + [(2, "hot", i) for i in range(50)],
+                              "id long, mark string, seq int")
+    got = merge.insert_if_absent(t, s, "id", ["seq"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftAnti")  # the join lies below
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "old"), (2, "old"), (3, "first"), (None, "x")]

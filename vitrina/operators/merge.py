@@ -90,10 +90,11 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys, order_cols: lis
                      ) -> DataFrame:
     """``ON CONFLICT (keys) DO NOTHING`` (K-4, B-3): the first source row of a
     new key is inserted, everything else is ignored. Target rows pass
-    untouched; the anti join reads only the target's key columns."""
+    untouched; the anti join reads only the target's key columns. It comes
+    first: source rows are shuffled for it as they are, and only those with a
+    new key are hashed, paired with their order and reduced, where they lie."""
     keys = _keys(keys)
-    src = last_per_key(source, keys, order_cols or [], first=True)
-    new = src.join(target.select(*keys), keys, "left_anti")
+    new = last_per_key(source.join(target.select(*keys), keys, "left_anti"), keys, order_cols or [], first=True)
     return target.unionByName(conform(new, target.schema))
 
 
