@@ -462,3 +462,16 @@ def test_contradicted_labels_are_not_learned_from():
     r.shuffle(every)
     found = text_classifier.label_errors(every, ["good", "bad", "rare"], 5)
     assert {row for row, f in zip(every, found) if f} == set(wrong)
+
+
+def test_tokenizer_takes_whole_texts():
+    """The pipeline that gives the ids is the model's own, normaliser included; no words are cut from a text before it."""
+    from vitrina.llm.sentencepiece_codec import load_codec
+    codec = load_codec(threads=1)
+    assert codec.tokenizer().pre_tokenizer is None and codec.tokenizer().normalizer is not None
+    seen = []
+    whole = codec.encode
+    codec.encode = lambda texts: seen.extend(texts) or whole(texts)
+    texts = ["Some words  again some words", "", " ▁x", "tab\tand\nline"]
+    found = codec.verified(texts)
+    assert seen == texts and all(r and p for _, r, p in found)

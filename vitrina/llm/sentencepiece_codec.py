@@ -4,16 +4,14 @@ The model protobuf is parsed here (its wire format, no generated classes); norma
 byte fallback are rebuilt as a tokenizers pipeline, and batches are encoded by the library's threads inside Spark
 tasks. Both model kinds are supported: unigram by its scores, BPE by the merges that the scores imply.
 
-White space marker: each space becomes U+2581 and, where the model says so, one is put in front. If no piece of the
-model has a marker after another character, words are cut before their marker and encoded apart, which changes no
-result and lets the library reuse the words it has seen.
+White space marker: each space becomes U+2581 and, where the model says so, one is put in front. A text is one
+sequence: it is not cut to words before merges or scores are applied.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
-import re
 import struct
 from dataclasses import dataclass
 
@@ -122,17 +120,9 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(a, b) for *_, a, b in sorted(out)]
 
 
-def words_apart(model: Model) -> bool:
-    """Whether words can be encoded one by one: spaces stay as they are, and no piece goes on behind a word's end."""
-    plain = [p for p, _, t in model.pieces if t in (NORMAL, USER_DEFINED)]
-    return (model.escape and not model.remove_extra and not model.charsmap
-            and not any(MARK in p.lstrip(MARK) for p in plain))
-
-
-def build(model: Model, whole: bool = True):
-    """A tokenizers.Tokenizer that encodes and decodes as the model does; ``whole`` false: for words that carry their
-    marker, without the model's normaliser."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+def build(model: Model):
+    """A tokenizers.Tokenizer that encodes and decodes as the model does, whole texts without a cut."""
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
     if model.kind == BPE:
         core = models.BPE({p: i for i, (p, _, _) in enumerate(model.pieces)}, merges(model),
                           unk_token=model.pieces[model.unk][0], fuse_unk=True, byte_fallback=model.byte_fallback)
@@ -142,9 +132,6 @@ def build(model: Model, whole: bool = True):
     steps = [decoders.Replace(MARK, " ")] if model.escape else []
     steps += [decoders.ByteFallback()] if model.byte_fallback else []
     steps += [decoders.Fuse()]
-    if not whole:
-        t.decoder = decoders.Sequence(steps)
-        return t
     t.decoder = decoders.Sequence(steps + ([decoders.Strip(" ", 1, 0)] if model.add_prefix else []))
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
     if model.remove_extra:
@@ -155,15 +142,10 @@ def build(model: Model, whole: bool = True):
         steps.append(normalizers.Prepend(MARK if model.escape else " "))
     if steps:
         t.normalizer = normalizers.Sequence(steps)
-    if words_apart(model):
-        t.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
     return t
 
 
 _built: dict[tuple, object] = {}
-#: Words kept with their ids in a Python worker; all are dropped when there are more. Longer ones are not kept.
-WORDS_KEPT, KEPT_LENGTH = 400_000, 100
-_RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class Codec:
@@ -195,52 +177,16 @@ class Codec:
     def verified(self, texts: list[str]) -> list[tuple[np.ndarray, bool, bool]]:
         """(ids, round_trip, parity) of each text.
 
-        Where words can be encoded apart, each distinct word is encoded, decoded and compared with the sentencepiece
-        library once, and texts are put together from words; else each text is. The ids are this codec's, and it is
-        them that are decoded; where sentencepiece gives others ``parity`` is false. One case is known: pieces of equal
-        score (runs of over 16 spaces) can't be ranked by merges.
+        Every whole text goes through the model's pipeline -- normaliser, marker, merges or unigram scores, byte
+        fallback -- and its ids through the decoder; the sentencepiece library encodes the same texts. The ids are this codec's, and it is them that are decoded; where sentencepiece
+        gives others ``parity`` is false. One case is known: pieces of equal score (runs of over 16 spaces) can't be
+        ranked by merges.
         """
         import sentencepiece
-        if not self._once("apart", lambda: words_apart(self.model())):
-            other = self._once("other", lambda: sentencepiece.SentencePieceProcessor(model_proto=self.data))
-            ids = self.encode(texts)
-            return [(np.array(o, np.int32), d == t, i == o) for i, d, t, o in
-                    zip(ids, self.decode(ids), texts, other.encode(texts, num_threads=self.threads or 1))]
-        known: dict[str, bytes] = self._once("words", dict)
-        odd: dict[str, tuple[bool, bool]] = self._once("odd", dict)
-        if len(known) > WORDS_KEPT:
-            known.clear()
-            odd.clear()
-        split = []
-        for t in texts:
-            t = t.replace(MARK, " ")
-            t = (" " + t if t and self.model().add_prefix else t).replace(" ", " " + MARK)
-            own = t.split(" ")
-            if MARK in own:  # spaces in a row stay with the word behind them
-                own = _RUNS.findall(t.replace(" ", ""))
-            split.append([w for w in own if w] if "" in own else own)
-        new = [w for w in dict.fromkeys(w for own in split for w in own) if w not in known]
-        if new:
-            core = self._once("core", lambda: build(self.model(), whole=False))
-            # a second normaliser message that switches the prefix off is merged into the first
-            other = self._once("plain", lambda: sentencepiece.SentencePieceProcessor(
-                model_proto=self.data + b"\x1a\x02\x18\x00"))
-            ids = [e.ids for e in core.encode_batch_fast(new, add_special_tokens=False)]
-            back = core.decode_batch(ids, skip_special_tokens=False)
-            for w, i, d, o in zip(new, ids, back, other.encode(new, num_threads=self.threads or 1)):
-                known[w] = np.array(i, np.int32).tobytes()
-                if i != o or d != w.replace(MARK, " "):
-                    odd[w] = (d == w.replace(MARK, " "), i == o)
-        out = []
-        for own in split:
-            ids = np.frombuffer(b"".join([known[w] for w in own]), np.int32)
-            flaws = [odd[w] for w in own if w in odd] if odd else []
-            out.append((ids, all(f[0] for f in flaws), all(f[1] for f in flaws)))
-        for w in new:
-            if len(w) > KEPT_LENGTH:
-                del known[w]
-                odd.pop(w, None)
-        return out
+        other = self._once("other", lambda: sentencepiece.SentencePieceProcessor(model_proto=self.data))
+        ids = self.encode(texts)
+        return [(np.array(i, np.int32), d == t.replace(MARK, " ") if self.model().escape else d == t, i == o) for i, d, t, o in
+                zip(ids, self.decode(ids), texts, other.encode(texts, num_threads=self.threads or 1))]
 
 
 def _calls(texts: list[str]):
