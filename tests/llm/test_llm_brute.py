@@ -475,3 +475,22 @@ def test_tokenizer_takes_whole_texts():
     texts = ["Some words  again some words", "", " ▁x", "tab\tand\nline"]
     found = codec.verified(texts)
     assert seen == texts and all(r and p for _, r, p in found)
+
+
+def test_tokenizer_decodes_without_a_pattern_and_in_the_tasks_thread(monkeypatch):
+    """No regex runs over each token, no pool beside a task of one thread; markers are spaces wherever they stand."""
+    import os
+
+    import sentencepiece
+    from vitrina.llm import sentencepiece_codec as module
+    monkeypatch.setattr(module, "_built", {})
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    codec = module.load_codec(threads=1)
+    assert "Replace" not in repr(codec.tokenizer().decoder) and os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    other = sentencepiece.SentencePieceProcessor(model_proto=codec.data)
+    texts = ["a  b", "  a", "\u2581", "\u2581\u2581x \u2581", " ", "", "\u0e01\u2581\U0001f600 \n"]
+    assert codec.encode(texts) == other.encode(texts)
+    assert codec.decode(codec.encode(texts)) == [t.replace(MARK, " ") for t in texts]
+    monkeypatch.setattr(module, "_built", {})
+    module.load_codec(threads=2).tokenizer()
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "true"

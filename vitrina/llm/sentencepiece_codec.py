@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -129,9 +130,11 @@ def build(model: Model):
     else:
         core = models.Unigram([(p, s) for p, s, _ in model.pieces], model.unk, model.byte_fallback)
     t = Tokenizer(core)
-    steps = [decoders.Replace(MARK, " ")] if model.escape else []
-    steps += [decoders.ByteFallback()] if model.byte_fallback else []
-    steps += [decoders.Fuse()]
+    # each marker a space; Replace would run a regex on every token. A marker that is a piece is never spelt in bytes, so
+    # that it may become a space in the whole text
+    mark = [decoders.Metaspace(MARK, "never")] if model.escape else []
+    joined = [*([decoders.ByteFallback()] if model.byte_fallback else []), decoders.Fuse()]
+    steps = joined + mark if any(p == MARK and k == NORMAL for p, _, k in model.pieces) else mark + joined
     t.decoder = decoders.Sequence(steps + ([decoders.Strip(" ", 1, 0)] if model.add_prefix else []))
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
     if model.remove_extra:
@@ -156,7 +159,8 @@ class Codec:
 
     def _once(self, what: str, make):
         if (self.name, what) not in _built:
-            os.environ["TOKENIZERS_PARALLELISM"] = "true"
+            many = (self.threads or 1) > 1
+            os.environ["TOKENIZERS_PARALLELISM"] = str(many).lower()  # one thread: the task's own, no pool beside it
             os.environ.setdefault("RAYON_NUM_THREADS", str(self.threads or 1))
             _built[self.name, what] = make()
         return _built[self.name, what]
@@ -185,7 +189,7 @@ class Codec:
         import sentencepiece
         other = self._once("other", lambda: sentencepiece.SentencePieceProcessor(model_proto=self.data))
         ids = self.encode(texts)
-        return [(np.array(i, np.int32), d == t.replace(MARK, " ") if self.model().escape else d == t, i == o) for i, d, t, o in
+        return [(np.frombuffer(array("i", i), np.int32), d == t.replace(MARK, " ") if self.model().escape else d == t, i == o) for i, d, t, o in
                 zip(ids, self.decode(ids), texts, other.encode(texts, num_threads=self.threads or 1))]
 
 
@@ -247,5 +251,5 @@ def load_codec(path: str | None = None, threads: int | None = None) -> Codec:
 def op6_sentencepiece(spark, sf_dir):
     """Every whole text of ``documents`` encoded, decoded and compared with the sentencepiece library, row by row."""
     d = encode_column(documents(spark, sf_dir).select("doc_id", "text"), load_codec())
-    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))  # compiled, unlike a lambda over the array
     return d.select("doc_id", "n_tokens", "n_byte_tokens", F.sha2(ids, 256).alias("ids_sha256"), "round_trip", "parity")
