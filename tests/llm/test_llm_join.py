@@ -100,3 +100,31 @@ def test_bitmaps_are_wide_enough():
         of = int(np.floor(module.BANDS * np.log2(n) + 1e-9))
         assert bitmap_width(of) >= n
         assert of - int(np.floor(module.BANDS * np.log2(max(1, -(-84 * n // 100))) + 1e-9)) <= module.NEAR
+
+
+def test_shingles_that_cannot_link_make_no_members(spark, monkeypatch):
+    """Short texts within long ones share shingles early in their order, but no two sets of such sizes can be linked."""
+    stored, count = module.stored, {}
+
+    def counted(df, name):
+        out = stored(df, name)
+        count[name] = out.count()
+        return out
+    monkeypatch.setattr(module, "stored", counted)
+    monkeypatch.setattr(module, "rarity", lambda sketch: np.zeros(module.CELLS, np.uint16))
+    rows = []
+    for k in range(40):
+        own = [f"t{k}w{i}" for i in range(60)]
+        rows += [" ".join(own), " ".join(own[20:24])]
+    d = spark.createDataFrame(list(enumerate(rows)), f"{KEY} long, text string")
+    assert {tuple(r) for r in jaccard_join(d).collect()} == {(i, n, 0, i, i) for i, n in zip(range(80), [57, 1] * 40)}
+    assert count["members"] == count["roots"] == 0
+
+
+def test_linking_keeps_what_may_be_the_first_in_common(spark):
+    """Of two holders both are judged, of more only whether one can be the smaller set."""
+    rows = [(1, 10, 1, 0, 7), (2, 11, 1, 0, 7), (3, 10, 1, 0, 8), (4, 40, 1, 0, 8), (5, 20, 1, 3, 9), (6, 20, 1, 2, 9), (7, 9, 1, 0, 10),
+            (1, 10, 1, 1, 11), (3, 10, 1, 0, 11), (4, 40, 1, 5, 11)]
+    d = spark.createDataFrame(rows, "rep long, n long, copies long, at int, token long")
+    got = {(r["token"], r["rep"], r["df"], r["most"], r["serves"]) for r in module.linking(d, 85).collect()}
+    assert got == {(7, 1, 2, 10, True), (7, 2, 2, 11, True), (11, 1, 3, 9, False), (11, 3, 3, 10, True), (11, 4, 3, 35, False)}

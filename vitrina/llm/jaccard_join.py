@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import KEY, NO_ID, ROWS, doc_id, documents, keyed_rows, map_batches, stored
@@ -101,6 +101,23 @@ def prefixes(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
     return map_batches(docs.select(KEY, "text"), rows, f"{KEY} long, prefix array<long>")
 
 
+def linking(tokens: DataFrame, percent: int) -> DataFrame:
+    """Of (rep, n, copies, at, token) the shingles that two classes have, without those that can't be the first one that
+    sets alike enough have in common, with ``df`` (classes that have it), ``most`` and ``serves``.
+
+    ``most`` is what a set has in common at most with one that shares this shingle and none before it. The smaller set of
+    a link has ``most`` for a set of its own size at least (``serves``); where two classes alone have a shingle, their sizes
+    tell too. All of it comes from one shuffle of the shingles.
+    """
+    own = tokens.withColumn("most", F.col("n") - F.col("at"))
+    own = own.withColumn("serves", F.col("most") * (100 + percent) >= 2 * percent * F.col("n"))
+    holders = Window.partitionBy("token")
+    own = own.select("*", F.count(F.lit(1)).over(holders).alias("df"), F.max("serves").over(holders).alias("_serves"),
+                     F.min("most").over(holders).alias("_most"), F.sum("n").over(holders).alias("_n"))
+    own = own.where("df > 1 and _serves").where((F.col("df") > 2) | (F.col("_most") * (100 + percent) >= percent * F.col("_n")))
+    return own.drop("at", "_serves", "_most", "_n")
+
+
 def band(n: str) -> Column:
     """Sizes that are alike enough (from 0.84) are at most NEAR bands apart."""
     return F.floor(BANDS * F.log2(F.col(n)) + 1e-9)
@@ -289,15 +306,11 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = stored(sets.where("n > 0").groupBy("c1", "c2").agg(F.min(KEY).alias("rep"), F.first("n").alias("n"),
                                                                  F.count(F.lit(1)).alias("copies")), "classes")
     found = prefixes(docs, rarity(first), percent).withColumnRenamed(KEY, "rep").join(classes.select("rep", "n", "copies"), "rep")
-    found = stored(found.withColumn("band", band("n")), "prefixes")
-    tokens = found.select("rep", F.posexplode("prefix").alias("at", "token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    tokens = tokens.join(shared, "token").join(found.select("rep", "n", "copies", "band"), "rep")
-    # most that a set has in common with one that shares this shingle and none before it
-    tokens = stored(tokens.withColumn("most", F.col("n") - F.col("at")), "tokens")
-
-    serves = F.col("most") * (100 + percent) >= 2 * percent * F.col("n")  # links sets of one size
-    homes = tokens.groupBy("rep", "n", "copies", "band").agg(F.max(F.struct(serves.alias("serves"), "df", F.col("token").alias("home"))).alias("h"))
+    found = stored(found, "prefixes")
+    tokens = linking(found.select("rep", "n", "copies", F.posexplode("prefix").alias("at", "token")), percent)
+    tokens = stored(tokens.withColumn("band", band("n")), "tokens")
+
+    homes = tokens.groupBy("rep", "n", "copies", "band").agg(F.max(F.struct("serves", "df", F.col("token").alias("home"))).alias("h"))
     leaves = F.ceil(F.col("h.df") / (1 << FANOUT_BITS)).cast("long")
     homes = homes.select("rep", "n", "copies", "band", "h.home", F.pmod(F.xxhash64("rep"), leaves).alias("no"))
     homes = homes.withColumn("node", _number(F.col("no"), 0))
@@ -306,16 +319,20 @@ def jaccard_join(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     nodes = tree(members)
     root = members.select("rep", _number(F.lit(0).cast("long"), len(nodes) - 1).alias("root"))
-    t = (tokens.select("rep", "n", "token", "band", "most").join(root, "rep").groupBy("token", "band", "root")
-         .agg(F.max("most").alias("most"), F.min("n").alias("low")))
+    t = (tokens.select("rep", "n", "token", "band", "most", "serves").join(root, "rep").groupBy("token", "band", "root")
+         .agg(F.max("most").alias("most"), F.min("n").alias("low"), F.max("serves").alias("serves")))
     t = stored(t, "roots")
+    # the smaller set of a link has the first shingle in common where it serves; of roots of one band either may hold it
     wide = F.floor(F.col("band") / (NEAR + 1))  # bands near each other are in one wide band or in the next
-    near = t.select("token", F.col("band").alias("band_a"), F.col("root").alias("a"), F.col("most").alias("most_a"), F.col("low").alias("low_a"),
-                    F.explode(F.array(wide, wide + 1)).alias("wide"))
-    pairs = near.join(t.withColumnRenamed("root", "b").withColumn("wide", wide), ["token", "wide"])
-    pairs = pairs.where((F.col("band") - F.col("band_a")).between(0, NEAR) & ((F.col("band_a") < F.col("band")) | (F.col("a") <= F.col("b"))))
+    near = t.where("serves").select("token", F.col("band").alias("band_a"), F.col("root").alias("a"), F.col("most").alias("most_a"),
+                                    F.col("low").alias("low_a"), F.explode(F.array(wide, wide + 1)).alias("wide"))
+    pairs = near.join(t.drop("serves").withColumnRenamed("root", "b").withColumn("wide", wide), ["token", "wide"])
+    pairs = pairs.where((F.col("band") - F.col("band_a")).between(0, NEAR) & (F.col("a") != F.col("b")))
     pairs = pairs.where(F.least("most_a", "most") * (100 + percent) >= percent * (F.col("low_a") + F.col("low")))
-    pairs = pairs.select("a", "b").distinct()
+    swap = (F.col("band_a") == F.col("band")) & (F.col("a") > F.col("b"))
+    pairs = pairs.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
+    # members of one root share its home: no shingles are needed to pair it with itself
+    pairs = pairs.unionByName(nodes[-1].where("m > 1").select(F.col("node").alias("a"), F.col("node").alias("b")))
     pairs = pruned(pairs, nodes[-1], "node", percent)
     for level in reversed(nodes[:-1]):
         pairs = pruned(pairs, level, "parent", percent)
