@@ -2,12 +2,16 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from vitrina.operators import kpi, state, views
+from vitrina.operators import facts as facts_ops
+from vitrina.operators import dims, kpi, scd2, state, views
 from vitrina.operators.catalog import Catalog
+from vitrina.plans import queries_catalog
+from vitrina.session import cut_lineage
 
 FACT = "date_key int, order_id long, customer_id long, quantity int, total_amount decimal(12,2)"
 
@@ -64,6 +68,62 @@ def test_daily_sales_by_load(spark, catalog):
     same(first)
 
 
+def test_query_keeps_the_columns_of_the_state_alone(spark, monkeypatch):
+    mine = facts(spark, 5, range(1, 11)).withColumn("quantity", F.col("quantity") * 23).cache()
+    kept = []
+    monkeypatch.setattr(queries_catalog, "fact_orders_frame", lambda *_: (mine.withColumn("payment_method", F.lit("x" * 200)), None))
+    monkeypatch.setattr(queries_catalog, "read_table", lambda *_: spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-10')) o_orderdate"))
+    monkeypatch.setattr(queries_catalog, "cut_lineage", lambda df: kept.append(df.columns) or cut_lineage(df))
+    got = queries_catalog.q_daily_sales_by_load(spark, "")
+    assert kept == [state.SALES_FACTS]
+    dd = dims.dim_date_between(queries_catalog.read_table(), "o_orderdate")
+    assert rows(got) == rows(views.daily_sales(mine, dd)) and got.count() == 10
+
+
+def test_lines_of_an_order_are_summed_before_they_move(spark):
+    """Customers are bound last: a customer's lines lie together, so that partial sums by order leave a row an order."""
+    n, each = 200, 6
+    orders = spark.range(n).select(F.col("id").alias("order_id"), (F.col("id") % 50).alias("customer_id"), F.lit("2024-01-05").cast("date").alias("order_date"),
+                                   F.lit("10:00:00").alias("order_time"), F.lit("Pending").alias("status"), F.lit("card").alias("payment_method"))
+    items = spark.range(n * each).select((F.col("id") % n).alias("order_id"), (F.col("id") * 7 % 97).alias("product_id"), F.lit(1).alias("quantity"),
+                                         F.lit("2.50").cast("decimal(12,2)").alias("total_price"))
+    products = spark.range(97).select(F.col("id").alias("product_id"), F.lit("1.00").cast("decimal(10,2)").alias("cost_price"))
+    lines = facts_ops.order_lines(orders, items, products)
+    dim_c, dim_p = scd2.empty_dim(spark), scd2.empty_dim(spark, scd2.PRODUCTS)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(held, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        f = facts_ops.fact_orders(lines, dim_c, dim_p, F.broadcast(dims.order_status_seed(spark)), "2024-01-05")[0].select(*state.SALES_FACTS)
+        parts = f.withColumn("p", F.spark_partition_id()).groupBy("order_id").agg(F.countDistinct("p").alias("places"), F.count(F.lit(1)).alias("lines"))
+        assert rows(parts.select("places", "lines").distinct()) == [(1, each)]
+        assert f.count() == n * each and f.agg(F.sum("total_amount")).first()[0] * 2 == n * each * 5
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("write", ["cut", "table"])
+def test_writes_leave_no_shuffle_files(spark, catalog, write):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getPath() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    df = spark.range(5000).groupBy((F.col("id") % 1000).alias("k")).agg(F.sum("id").alias("s"))
+    if write == "cut":
+        out = cut_lineage(df)
+    else:
+        catalog.begin()._write(df, "t", ["k"])
+        out = df
+    until = time.time() + 10
+    while files() - before and time.time() < until:  # executors remove them on their own time
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert out.count() == df.count() == 1000  # what a frame has left to do, it does again
+
+
 def test_first_load_without_facts(spark, catalog):
     dd = spark.createDataFrame([(20240101, dt.date(2024, 1, 1))], "date_key int, full_date date")
     tx = catalog.begin()

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from vitrina.operators.merge import _fs, _keys, last_per_key, upsert
 from vitrina.operators.scd2 import CUSTOMERS, DimSpec, Merged, merge_current
-from vitrina.session import cut_lineage
+from vitrina.session import cut_lineage, shuffles_dropped
 
 #: Rows of a data file, and key ranges that a batch is described by.
 FILE_ROWS, SPANS = 1_000_000, 256
@@ -150,7 +150,8 @@ class Transaction:
         """New data files; (their folder, their index rows)."""
         path = f"{self.catalog.base}/{name}/data-{uuid.uuid4().hex[:12]}"
         w = df.write.partitionBy(*partition_by) if partition_by else df.write
-        w.parquet(path)
+        with shuffles_dropped(self.spark):
+            w.parquet(path)
         key = F.struct(*keys)
         schema = T.StructType([f for f in df.schema if f.name in keys])
         rows = self.spark.read.schema(schema.add(_BUCKET, T.IntegerType()) if partition_by else schema).parquet(path)

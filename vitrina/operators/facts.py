@@ -104,13 +104,15 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 def order_lines(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """J-5: one row per order item with its order and product attributes,
     cost = quantity x cost_price, profit = total - cost. An item without an
-    order stays, with ``order_found`` false; ``fact_orders`` rejects it."""
+    order stays, with ``order_found`` false; ``fact_orders`` rejects it.
+    Products come first, so that items move for them without the columns of
+    their orders."""
     o = orders.select("order_id", "customer_id", "order_date", "order_time", F.col("status").alias("order_status"),
                       "payment_method", *[c for c in ("shipping_city",) if c in orders.columns],
                       F.lit(True).alias("order_found"))
     p = products.select("product_id", "cost_price")
     li = (items.select("order_id", "product_id", "quantity", F.col("total_price").alias("total_amount"))
-          .join(o, "order_id", "left").join(p, "product_id", "left"))
+          .join(p, "product_id", "left").join(o, "order_id", "left"))
     cost = (F.col("quantity") * F.col("cost_price")).cast(MONEY)
     return li.select(
         "order_id", "customer_id", "product_id", "order_date", "order_time", "order_status", "payment_method",
@@ -133,12 +135,13 @@ def fact_orders(lines: DataFrame, dim_customers: DataFrame, dim_products: DataFr
                 load_date: str, source_system: str = "postgres_source", bind=asof_bind) -> tuple[DataFrame, DataFrame]:
     """B-5: order lines bound to the customer and product versions valid on
     the order date, with date/time/status keys. ``bind``: asof_bind, or
-    asof_merge for keys with very many versions. Returns (facts, rejected by
-    the CHECK constraints)."""
+    asof_merge for keys with very many versions. Customers are bound last: the
+    lines of an order then lie together, and sums by order are combined before
+    they are moved. Returns (facts, rejected by the CHECK constraints)."""
     valid, rejected = split_valid(lines, fact_checks())
     f = cut_lineage(valid) if bind is asof_merge else valid  # which reads facts twice for each dimension
-    f = bind(f, dim_customers, "customer_id", "order_date", "customer_id", "customer_key")
     f = bind(f, dim_products, "product_id", "order_date", "product_id", "product_key")
+    f = bind(f, dim_customers, "customer_id", "order_date", "customer_id", "customer_key")
     f = status_lookup(f, statuses)
     out = f.select(
         "customer_key", "product_key", date_key("order_date").cast("int").alias("date_key"),

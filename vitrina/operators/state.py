@@ -59,6 +59,8 @@ def daily_declared_kpis(tx: Transaction, orders: DataFrame, items: DataFrame, pr
 
 
 # ------------------------------------------------------------------ daily sales
+#: Columns of the order facts that ``record_sales`` reads.
+SALES_FACTS = ["date_key", "order_id", "customer_id", "quantity", "total_amount"]
 SALES_PARTS = T.StructType([
     T.StructField("date_key", T.IntegerType()), T.StructField("order_id", T.LongType()),
     T.StructField("customer_id", T.LongType()), T.StructField("items", T.LongType()),
